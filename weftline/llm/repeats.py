@@ -10,6 +10,8 @@ from .common import map_batches, packed, rows_of, stored, unpack
 
 #: Bytes of a string that counts as repeated, and of the q-grams that sort suffixes into buckets.
 LENGTH, GRAM = 200, 64
+#: Starts in a run of each refinement after the first.
+STEPS = (16, 4, 1)
 #: String starts of one text that are worked on at a time.
 BLOCK = 1 << 17
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -110,31 +112,76 @@ def starts_of_repeats(docs: DataFrame, id_col: str, text_col: str, length: int,
     first, last = F.expr("place - reach div 1024"), F.expr("place - reach % 1024")
     runs = live.join(whole, (F.col("bucket") == F.col("_b")) & (F.col("reach") == F.col("_r")) & (F.col("stretch") == F.col("_s"))) \
         .select("row", first.alias("a"), last.alias("b")).distinct()
-    # Next refinement, where a bucket has places left alone: string by string, against one of each class.
-    alone = classes.groupBy("bucket").agg(F.min("n").alias("least"), F.count("*").alias("m")).filter("least = 1 and m > 1").select(F.col("bucket").alias("_b"))
-    ask = classes.join(alone, F.col("bucket") == F.col("_b")).select(F.col("one.row").alias("row"), F.struct(F.col("one.place").alias("place"), "reach", "bucket").alias("ask"))
+    # Next refinements, where a bucket has places left alone, against one of each class.
+    ask = _left(classes, ["bucket"]).select(F.col("one.row").alias("row"), F.struct(F.col("one.place").alias("place"), "reach", "bucket").alias("ask"))
     ask = ask.groupBy("row").agg(F.collect_set("ask").alias("asks")).withColumnRenamed("row", "_row")
 
-    def run(batches):
+    def around(batches):
         import pyarrow as pa
 
         for batch in batches:
-            parts = []
-            for row, z, asks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                p = Prefixes(np.frombuffer(unpack(z), np.uint8))
+            rows = []
+            for row, z, asks in zip(*(c.to_pylist() for c in batch.columns)):
+                data = unpack(z)
                 for x in asks:
                     lead, tail = divmod(x["reach"], 1024)
-                    start = np.arange(x["place"] - lead, x["place"] - tail + 1)
-                    parts.append((np.full(len(start), row), start, np.full(len(start), x["bucket"]), p.of(start, start + length).view(np.int64), start - x["place"]))
+                    rows.append((row, x["place"], lead, tail, x["bucket"], data[x["place"] - lead:x["place"] - tail + length]))
+            cols = [*zip(*rows)] or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 5 else pa.binary()) for k, c in enumerate(cols)], names=["row", "place", "lead", "tail", "bucket", "body"])
+
+    bodies = map_batches(texts.select("row", "z").join(ask, F.col("row") == F.col("_row")).select("row", "z", "asks"), around, "row long, place long, lead long, tail long, bucket long, body binary")
+    bodies = stored(bodies.dropDuplicates(["row", "place", "lead", "tail"]).withColumn("ask", F.xxhash64("row", "place", "lead", "tail")))
+    part = bodies.withColumn("offs", F.lit(None).cast("array<long>"))
+    last_size = None
+    for size in STEPS:
+        level = stored(map_batches(part.select("ask", "row", "place", "lead", "tail", "bucket", "body", "offs"), _splitter(size, last_size, length), "ask long, row long, start long, n long, off long, core_of long, core long, stretch long"))
+        classes = stored(level.groupBy("core_of", "core", "n", "off", "stretch").agg(F.count("*").alias("m"), F.min(F.struct("ask")).alias("one")).withColumnRenamed("m", "n_rows"))
+        same = classes.filter("n_rows > 1").select(*[F.col(c).alias(f"_{c}") for c in ("core_of", "core", "n", "off", "stretch")])
+        on = [F.col(c) == F.col(f"_{c}") for c in ("core_of", "core", "n", "off", "stretch")]
+        runs = runs.unionByName(level.join(same, on).select("row", F.col("start").alias("a"), (F.col("start") + F.col("n") - 1).alias("b")))
+        if size == 1:
+            break
+        left = _left(classes.withColumnRenamed("n", "starts").withColumnRenamed("n_rows", "n"), ["core_of", "core"])
+        left = left.groupBy(F.col("one.ask").alias("_ask")).agg(F.collect_set("off").alias("offs"))
+        part, last_size = bodies.join(left, F.col("ask") == F.col("_ask")), size
+    return runs
+
+
+def _left(classes: DataFrame, bucket: list[str]) -> DataFrame:
+    """One of each class (``n`` members, one of them ``one``) of the buckets with several classes, some of them alone."""
+    some = classes.groupBy(*bucket).agg(F.min("n").alias("least"), F.count("*").alias("m")).filter("least = 1 and m > 1")
+    return classes.join(some.select(*[F.col(c).alias(f"_{c}") for c in bucket]), [F.col(c) == F.col(f"_{c}") for c in bucket])
+
+
+def _splitter(size: int, last_size: int | None, length: int):
+    """Cuts stretches into runs of up to ``size`` starts, aligned to the place.
+
+    Only those within the runs of ``last_size`` starts that ``offs`` names, if it names any. The core
+    of an aligned run is what all strings that start in it have in common: strings can only be
+    equal where cores are, so it is the bucket of the next refinement.
+    """
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            parts = []
+            for ask, row, place, lead, tail, bucket, body, offs in zip(*(c.to_pylist() for c in batch.columns)):
+                p = Prefixes(np.frombuffer(body, np.uint8))
+                if offs is None:
+                    a, b = np.array([-lead]), np.array([1 - tail])
+                else:
+                    a = np.array(sorted(offs))
+                    b = np.minimum((a // last_size + 1) * last_size, 1 - tail)
+                cuts = np.unique(np.concatenate([np.concatenate([[x], np.arange((x // size + 1) * size, y, size)]) for x, y in zip(a, b)]))
+                ends = np.minimum((cuts // size + 1) * size, 1 - tail)
+                base = cuts // size * size
+                core = p.of(base + size - 1 + lead, base + length + lead) if size > 1 else np.zeros(len(cuts), np.uint64)
+                n = len(cuts)
+                parts.append((np.full(n, ask), np.full(n, row), cuts + place, ends - cuts, cuts, np.full(n, bucket) ^ (base * 0x9E3779B9), core.view(np.int64), p.of(cuts + lead, ends - 1 + length + lead).view(np.int64)))
             if parts:
-                cols = [*map(np.concatenate, zip(*parts))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["row", "start", "bucket", "string", "off"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)], names=["ask", "row", "start", "n", "off", "core_of", "core", "stretch"])
 
-    strings = map_batches(texts.select("row", "z").join(ask, F.col("row") == F.col("_row")).select("row", "z", "asks"), run, "row long, start long, bucket long, string long, off long")
-    strings = stored(strings.select("row", "start", F.xxhash64("bucket", "off").alias("bucket"), "string"))
-    twice = strings.groupBy("bucket", "string").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_b"), F.col("string").alias("_s"))
-    more = strings.join(twice, (F.col("bucket") == F.col("_b")) & (F.col("string") == F.col("_s"))).select("row", F.col("start").alias("a"), F.col("start").alias("b")).distinct()
-    return runs.unionByName(more)
+    return run
 
 
 def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -157,8 +204,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Only the suffixes at sampled places are sorted: about one in (length - gram) / 2 bytes,
     chosen by content so that equal strings choose alike. Buckets of equal q-grams are refined by
-    the identifiers of the stretch around (which resolves copies at once), and the rest string by
-    string. Counts are combined before shuffles; hot buckets only meet in equi-joins, which are
+    the identifiers of the stretch around, which resolves copies at once. Where places are left
+    alone, stretches are cut into ever shorter runs of starts, refined by the identifiers of what
+    all strings of a run share and then of all their bytes, down to single strings. Counts are combined before shuffles; hot buckets only meet in equi-joins, which are
     split when skewed. Identifiers of a string are 128 bits (its bucket and its own).
 
     Returns ``doc_id``, ``n_bytes``, ``spans`` (array of start and end, end excluded) and ``kept``

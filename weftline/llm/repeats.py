@@ -104,7 +104,8 @@ def sampled_suffixes(docs: DataFrame, length: int, gram: int) -> DataFrame:
 def starts_of_repeats(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, texts: DataFrame) -> DataFrame:
     """``row``, ``a``, ``b``: runs of starts (both included) of strings that also start elsewhere."""
     suffixes = sampled_suffixes(rows_of(docs, id_col, text_col), length, gram)
-    shared = suffixes.select("bucket").groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_b"))
+    # Stored, so that both sides of the join come by plain exchanges, whose skewed partitions are split.
+    shared = stored(suffixes.select("bucket").groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_b")))
     live = stored(suffixes.join(shared, F.col("bucket") == F.col("_b")).drop("_b"))
     # First refinement: buckets split by the identifier of the whole stretch around the place.
     classes = stored(live.groupBy("bucket", "reach", "stretch").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")))

@@ -52,8 +52,9 @@ def gather(chats: DataFrame, id_col: str = "chat_id") -> DataFrame:
     none = F.lit(-1)
     item = lambda kind, field, i, j, text: F.struct(F.lit(kind).alias("kind"), F.lit(field).alias("field"), i.cast("int").alias("idx1"), j.cast("int").alias("idx2"), text.alias("text"))
     lists = []
+    traits = lambda name: F.transform(x[name]["traits"][SOURCE], lambda t, i: item(name, "traits", i, none, t))
     for name in ("persona1", "persona2"):
-        lists.append(F.transform(x[name]["traits"][SOURCE], lambda t, i, name=name: item(name, "traits", i, none, t)))
+        lists.append(traits(name))
         lists.append(F.array(*[item(name, f, none, none, x[name][f][SOURCE]) for f in PERSONA_TEXTS]))
     lists.append(F.array(*[item("scene", f, none, none, x[f][SOURCE]) for f in SCENE_TEXTS]))
     lists.append(F.flatten(F.transform("chat_parts", lambda p, i: F.filter(F.transform(p["messages"], lambda m, j: F.when(F.map_contains_key(m, SOURCE), item("message", "messages", i, j, m[SOURCE]))), lambda r: r.isNotNull()))))

@@ -7,6 +7,7 @@ from them inside each query, alike in the SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,11 +209,9 @@ def premature_end(spark, sf_dir):
 @query("SELECT conv_id, md5(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY conv_id")
 def transcript(spark, sf_dir):
     part = F.struct(F.col("role").alias("sender"), F.array("text").alias("messages"))
-    chats = _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", part.alias("p")))), lambda x: x["p"]).alias("parts"), F.collect_set("role").alias("roles"))
-    person = lambda who: F.struct(who.alias("id"), who.alias("name"))
+    chats = _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", part.alias("p")))), lambda x: x["p"]).alias("parts"))
     rows = chats.withColumn("parts", F.transform("parts", lambda p: F.struct(F.when(p["sender"] == "user", F.lit("1")).otherwise(F.lit("2")).alias("sender"), F.transform(p["messages"], lambda m: F.when(p["sender"] == "system", F.concat(F.lit("system: "), m)).otherwise(m)).alias("messages"), (p["sender"] == "system").alias("sys"))))
     experience = F.struct(F.struct(F.lit("1").alias("id"), F.lit("user").alias("name")).alias("persona1"), F.struct(F.lit("2").alias("id"), F.lit("assistant").alias("name")).alias("persona2"))
-    del person
     parts = F.transform("parts", lambda p: F.struct(F.when(p["sys"], F.lit("0")).otherwise(p["sender"]).alias("sender"), p["messages"].alias("messages")))
     return rows.select("conv_id", F.md5(prompts.transcript(parts, experience)).alias("digest"))
 
@@ -341,14 +340,14 @@ def lang_gather(spark, sf_dir):
     return items.select("chat_id", "kind", "field", "idx1", "idx2", F.md5("text").alias("digest"))
 
 
-@query(f"""WITH {_GATHERED}, t AS (SELECT doc_id, CASE WHEN trim(t, {_BL}) <> '' AND NOT starts_with(trim(t, {_BL}), '<') THEN upper(t) ELSE t END AS u, kind FROM g WHERE kind IN ('message', 'scene'))
+@query(f"""WITH {_GATHERED}, t AS (SELECT doc_id, CASE WHEN trim(t, {_BL}) <> '' AND NOT starts_with(trim(t, {_BL}), '<') THEN translate(t, '{ascii_lowercase}', '{ascii_uppercase}') ELSE t END AS u, kind FROM g WHERE kind IN ('message', 'scene'))
 SELECT doc_id AS chat_id, CAST(sum(CASE WHEN kind = 'scene' THEN length(u) ELSE 0 END) AS BIGINT) AS scene_chars, CAST(sum(CASE WHEN kind = 'message' THEN 1 ELSE 0 END) AS BIGINT) AS messages,
   CAST(sum(CASE WHEN kind = 'message' THEN length(regexp_replace(u, '[^A-Z]', '', 'g')) ELSE 0 END) AS BIGINT) AS capitals FROM t GROUP BY doc_id""")
 def lang_merge(spark, sf_dir):
-    """Gathered, translated by a stand-in (upper case) and put back; counted from the merged maps."""
+    """Gathered, translated by a stand-in (A-Z for a-z) and put back; counted from the merged maps."""
     wrapped = multilang.wrap(_lang_chats(spark, sf_dir))
     items = multilang.gather(wrapped)
-    done = items.withColumn("language", F.lit("de")).withColumn("translated", F.when(multilang.translatable(F.col("text")), F.upper("text")).otherwise(F.col("text")))
+    done = items.withColumn("language", F.lit("de")).withColumn("translated", F.when(multilang.translatable(F.col("text")), F.translate("text", ascii_lowercase, ascii_uppercase)).otherwise(F.col("text")))
     out = multilang.merge_translations(wrapped, done)
     x = F.col("experience")
     de = F.filter(F.transform(F.flatten(F.transform("chat_parts", lambda p: p["messages"])), lambda m: m["de"]), lambda m: m.isNotNull())

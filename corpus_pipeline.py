@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import decontaminate, langid, mixing, sharding, simhash
-from weftline.llm.common import stored, table
+from weftline.llm.common import fresh, stored, table
 
 #: A document is rejected if its text has no letter or no language reaches this pooled probability.
 LEAST_CONFIDENCE = 0.4
@@ -20,8 +20,9 @@ N_SHARDS = 24
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the languages that the labelled documents have."""
-    found = langid.identify(docs, docs.filter(F.col("lang").isNotNull()), pred_col="_pred_", score_col="_score_")
-    kept = found.filter((F.col("_pred_") != langid.UNKNOWN) & (F.col("_score_") >= LEAST_CONFIDENCE))
+    pred, score = fresh(docs, "_pred", "_score")
+    found = langid.identify(docs, docs.filter(F.col("lang").isNotNull()), pred_col=pred, score_col=score)
+    kept = found.filter((F.col(pred) != langid.UNKNOWN) & (F.col(score) >= LEAST_CONFIDENCE))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Functions travel to the executors by value, so these need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
@@ -25,14 +26,35 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests on one
     machine) a temporary folder is used. The files outlive executors.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="weftline-")
-        sc.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def map_batches(df: DataFrame, function: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+def shared_folder(spark: SparkSession) -> str:
+    """Where checkpoints go; the session's setting is used as it is, and one is made only without it."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-"))
+    return sc.getCheckpointDir()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` is called so (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_results(fields: list[T.StructField], *results: tuple[str, T.DataType]) -> T.StructType:
+    """The schema of ``fields`` followed by the named results."""
+    return T.StructType([*(T.StructField(f.name, f.dataType) for f in fields), *(T.StructField(n, t) for n, t in results)])
+
+
+def map_batches(df: DataFrame, function: Callable[[Iterator], Iterator], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -89,9 +111,6 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` as Parquet in the shared checkpoint folder: for larger tables than :func:`cut` is meant for."""
     import uuid
 
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="weftline-"))
-    path = f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import fresh, map_batches, with_results
 
 #: Edit similarity over words: 1 - edits / words of the item.
 SIMILARITY = 0.8
@@ -222,7 +222,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     kept = docs.schema.fields
     blocks = list(item_blocks(benchmark, named.pop("item_id_col", "item_id"), named.pop("item_text_col", "text")))
     similarity = named.pop("similarity", SIMILARITY)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    schema, [judged] = with_results(kept), fresh(docs, "_text")
     out = docs
     for block in blocks:
         def run(batches, block=block):
@@ -234,5 +234,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 clean = [not items.matches(t, automaton) for t in batch.column(batch.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(clean, pa.bool_()))
 
-        out = map_batches(out.withColumn("_text_", F.col(text_col).cast("string")), run, schema)
+        out = map_batches(out.withColumn(judged, F.col(text_col).cast("string")), run, schema)
     return out

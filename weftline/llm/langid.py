@@ -8,8 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_batches
+from .common import fresh, map_batches, with_results
 
 #: Labelled documents that training reads at most, and random words taken of each.
 TRAIN_DOCS = 3000
@@ -242,7 +243,7 @@ def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col
     langs = sorted({lang for lang, _ in sample})
     pairs = [(w, langs.index(lang)) for lang, words in sample for w in words]
     model = train([w for w, _ in pairs], [y for _, y in pairs], len(langs)) if pairs else None
-    kept = [f for f in docs.schema.fields if f.name not in (pred_col, score_col)]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in (pred_col.lower(), score_col.lower())]
 
     def run(batches):
         import pyarrow as pa
@@ -255,6 +256,5 @@ def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col
             scores = [0.0 if p is None else min(1.0, float(p.max())) for p in probs]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], pred_col, score_col])
 
-    given = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{pred_col}` string, `{score_col}` double"])
-    return map_batches(given, run, schema)
+    given = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).cast("string").alias(fresh(docs, "_text")[0]))
+    return map_batches(given, run, with_results(kept, (pred_col, T.StringType()), (score_col, T.DoubleType())))

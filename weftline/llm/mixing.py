@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, row_hash
+from .common import cut, fresh, row_hash
 
 #: Rows that one fold of the reduction tree reads on average.
 FAN_IN = 48
@@ -165,9 +165,10 @@ def mixed(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_col: s
     """The rows of ``docs``, all columns, each as often as :func:`mix_sources` takes it (0 to 3 times)."""
     taken = cut(mix_sources(docs, seed, id_col, source_col, text_col).select("row", "source", "j", "copies"))
     again = not taken.filter("j > 1").isEmpty()
-    marked = docs.withColumn("_row_", F.xxhash64(row_hash(id_col, text_col), source_col))
-    number = F.row_number().over(Window.partitionBy("_row_").orderBy(F.lit(1))) if again else F.lit(1)
-    marked = marked.withColumn("_j_", number.cast("long"))
-    chosen = taken.filter("copies > 0").select(F.xxhash64("row", "source").alias("_r"), F.col("j").alias("_j"), "copies").withColumnRenamed("copies", "_copies_")
-    out = marked.join(chosen, (F.col("_row_") == F.col("_r")) & (F.col("_j_") == F.col("_j"))).withColumn("_copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies_"))))
+    row, nth, r, j, copies, copy = fresh(docs, "_row", "_nth", "_r", "_j", "_copies", "_copy")
+    marked = docs.withColumn(row, F.xxhash64(row_hash(id_col, text_col), source_col))
+    number = F.row_number().over(Window.partitionBy(row).orderBy(F.lit(1))) if again else F.lit(1)
+    marked = marked.withColumn(nth, number.cast("long"))
+    chosen = taken.filter("copies > 0").select(F.xxhash64("row", "source").alias(r), F.col("j").alias(j), F.col("copies").alias(copies))
+    out = marked.join(chosen, (F.col(row) == F.col(r)) & (F.col(nth) == F.col(j))).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

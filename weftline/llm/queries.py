@@ -40,7 +40,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = _crc("doc_id") % 3 == 1
     known = table(spark, sf_dir, "labels").filter(~held).select("doc_id", "quality")
     out = quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), known)
-    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = _crc("doc_id") % 5 == 0
     learn = docs.filter(F.coalesce(~held, F.lit(False)) & F.col("lang").isNotNull())
     out = langid.identify(docs.select("doc_id", "text"), learn)
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op9_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, row_hash, rows_of
+from .common import cut, fresh, map_batches, row_hash, rows_of
 from .components import connected_components
 
 BITS = 64
@@ -144,9 +144,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", di
     it one stays.
     """
     found = cut(near_duplicates(docs, id_col, text_col, distance).select("row", "doc_id", "component_id"))
-    kept = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("one")).filter("component_id is not null").select(F.col("one.row").alias("_kept"))
-    alone = found.filter("component_id is null").select(F.col("row").alias("_kept"))
+    row, one = fresh(docs, "_row", "_kept")
+    kept = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("one")).filter("component_id is not null").select(F.col("one.row").alias(one))
+    alone = found.filter("component_id is null").select(F.col("row").alias(one))
     again = not found.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
-    marked = docs.withColumn("_row_", row_hash(id_col, text_col))
-    out = marked.join(kept.unionByName(alone).distinct(), F.col("_row_") == F.col("_kept"), "left_semi")
-    return (out.dropDuplicates(["_row_"]) if again else out).drop("_row_")
+    marked = docs.withColumn(row, row_hash(id_col, text_col))
+    out = marked.join(kept.unionByName(alone).distinct(), F.col(row) == F.col(one), "left_semi")
+    return (out.dropDuplicates([row]) if again else out).drop(row)

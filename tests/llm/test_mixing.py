@@ -1,5 +1,5 @@
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -53,17 +53,16 @@ def test_reruns_agree(spark):
 
 
 def test_expectation_is_kept(spark):
-    """Over many seeds a row is taken up as often as its probability says."""
-    rows = [("g", i, 0.1 + 0.05 * i, float(1 + i % 3)) for i in range(12)]
-    items = spark.createDataFrame(rows, "g string, k long, p double, s double").cache()
-    ups = defaultdict(int)
-    for seed in range(40):
-        out = mixing.pivotal_round(items, "g", "k", "p", "s", seed).collect()
-        mass = sum(r["p"] * rows[r["key"]][3] for r in out)
-        assert all(r["p"] in (0.0, 1.0) for r in out) and abs(mass - sum(r[2] * r[3] for r in rows)) <= 3
-        for r in out:
-            ups[r["key"]] += r["p"]
-    assert all(abs(ups[k] / 40 - rows[k][2]) < 0.28 for k in range(12))
+    """Over many groups a row is taken up as often as its probability says."""
+    n, p, size = 400, [0.1 + 0.05 * i for i in range(12)], [float(1 + i % 3) for i in range(12)]
+    rows = [(f"g{g}", g * 12 + i, p[i], size[i]) for g in range(n) for i in range(12)]
+    ups, mass = Counter(), Counter()
+    for r in mixing.pivotal_round(spark.createDataFrame(rows, "g string, k long, p double, s double"), "g", "k", "p", "s").collect():
+        assert r["p"] in (0.0, 1.0)
+        ups[r["key"] % 12] += r["p"]
+        mass[r["grp"]] += r["p"] * size[r["key"] % 12]
+    assert len(mass) == n and all(abs(m - sum(map(float.__mul__, p, size))) <= 3 for m in mass.values())
+    assert all(abs(ups[i] / n - p[i]) < 0.1 for i in range(12))
 
 
 def test_tree_keeps_every_row(spark):

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches
+from .common import cut, map_batches, stored
 
 #: 8-bit mono samples a second; samples of a frame, and from one frame to the next.
 RATE, FRAME, HOP = 8000, 256, 32
@@ -18,8 +18,10 @@ FILTERS = [
 ]
 #: Quantizer steps of a filter's log ratio; areas of kind 0 are compared with the mean area.
 STEP = 0.08
-#: Places among which the least key is indexed; integers of a matched stretch at least; its share of wrong bits at most.
-SPARSE, LEAST_RUN, BIT_ERRORS = 8, 8, 0.1
+#: Integers of a matched stretch at least; share of wrong bits in it at most.
+LEAST_RUN, BIT_ERRORS = 16, 0.05
+#: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
+STARTS = (0, 8, 16, 24)
 
 
 def samples_of(data: bytes | None) -> np.ndarray:
@@ -138,81 +140,105 @@ def fingerprints_of(many: list[bytes | None]) -> list[np.ndarray]:
     return out
 
 
-def media_fingerprints(media: DataFrame, id_col: str, data: Column | str) -> DataFrame:
-    """``doc_id`` and ``prints`` (array of int; empty for null or empty recordings) of every row."""
+def media_fingerprints(media: DataFrame, id_col: str, data: Column | str, is_query: Column | None = None) -> DataFrame:
+    """``doc_id``, ``q`` (whether it is a query), ``prints`` (array of int; empty for null or empty recordings) and
+    ``more`` (a query's integers from the other ``STARTS``) of every row."""
     def run(batches):
         import pyarrow as pa
 
+        def lists(many):
+            offsets = np.concatenate([[0], np.cumsum([len(p) for p in many])]).astype(np.int32)
+            flat = np.concatenate([*many, np.zeros(0, np.uint32)]).astype(np.uint32).view(np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
         for batch in batches:
-            prints = fingerprints_of(batch.column(1).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in prints])]).astype(np.int32)
-            flat = np.concatenate([*prints, np.zeros(0, np.uint32)]).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "prints"])
+            sound, asked = batch.column(2).to_pylist(), batch.column(1).to_pylist()
+            later = [[samples_of(x)[k:].tobytes() for k in STARTS[1:]] if q else [] for x, q in zip(sound, asked)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in later])]).astype(np.int32)
+            more = pa.ListArray.from_arrays(pa.array(ends), lists(fingerprints_of([y for x in later for y in x])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(fingerprints_of(sound)), more], names=["doc_id", "q", "prints", "more"])
 
     data = F.col(data) if isinstance(data, str) else data
-    return map_batches(media.select(F.col(id_col).cast("long").alias("doc_id"), data.cast("binary").alias("data")), run, "doc_id long, prints array<int>")
+    asks = F.lit(False) if is_query is None else F.coalesce(is_query, F.lit(False))
+    return map_batches(media.select(F.col(id_col).cast("long").alias("doc_id"), asks.alias("q"), data.cast("binary").alias("data")), run, "doc_id long, q boolean, prints array<int>, more array<array<int>>")
 
 
 def index_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, places): pairs of successive integers that are least by hash among ``SPARSE`` places; a key's first place only."""
+    """(keys, places): pairs of successive integers, each at its first place only."""
     p = prints.astype(np.uint64)
     if len(p) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = (p[:-1] << np.uint64(32)) | p[1:]
-    h = key * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    w = min(SPARSE, len(h))
-    least = np.lib.stride_tricks.sliding_window_view(h, w).argmin(axis=1) + np.arange(len(h) - w + 1)
-    places = np.unique(least)
-    _, first = np.unique(key[places], return_index=True)
-    places = places[np.sort(first)]
-    return key[places].view(np.int64), places
+    key, places = np.unique((p[:-1] << np.uint64(32)) | p[1:], return_index=True)
+    return key.view(np.int64), places
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.bitwise_count(a ^ b).mean() / 32) if len(a) else 1.0
 
 
-def align_recordings(prints: DataFrame, is_query: Column, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS) -> tuple[DataFrame, DataFrame]:
-    """(membership, links) of recordings given as ``doc_id``, ``prints``.
-
-    Membership: ``doc_id``, ``class_id`` (least id with the same integers) of every row. Links: for
-    each class with a row of ``is_query`` and each other class that aligns with it: ``class_id``,
-    ``match_id``, ``shift`` (place in the match minus place in the query), ``start``, ``run`` (integers of
-    the stretch in the query), ``votes`` and ``errors`` (share of wrong bits).
+def stretch(a: np.ndarray, b: np.ndarray, shift: int, least_run: int, most_errors: float) -> tuple[float, int, int] | None:
+    """(errors, start, run) where ``a`` at some place is like ``b`` ``shift`` places further; None where nothing is.
 
-    Pairs of successive integers at places chosen by content are the index, of every recording.
-    Equal keys vote for a shift in an offset histogram; the shift with most votes (least on ties)
-    is verified by bit errors over the stretch from its first vote to its last. Classes stand for
-    any number of copies, so equal recordings are never paired. Recordings without integers are
-    members but have no links.
+    ``errors`` is that of the best window of ``least_run`` integers, ``start`` the first place of a window
+    with ``most_errors`` or less, ``run`` the number of integers in such windows.
     """
-    members = cut(prints.select("doc_id", F.xxhash64("prints").alias("h"), F.size("prints").alias("n"), is_query.alias("q")))
-    classes = members.groupBy("h", "n").agg(F.min("doc_id").alias("class_id"), F.max("q").alias("q"))
+    first, last = max(0, -shift), min(len(a), len(b) - shift)
+    if last - first < least_run:
+        return None
+    wrong = np.concatenate([[0], np.cumsum(np.bitwise_count(a[first:last] ^ b[first + shift:last + shift]), dtype=np.int64)])
+    windows = (wrong[least_run:] - wrong[:-least_run]) / (32 * least_run)
+    good = np.flatnonzero(windows <= most_errors)
+    if not len(good):
+        return None
+    run = least_run + int(np.minimum(np.diff(good), least_run).sum())
+    return float(windows.min()), first + int(good[0]), run
+
+
+def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS) -> tuple[DataFrame, DataFrame]:
+    """(membership, links) of recordings as :func:`media_fingerprints` gives them.
+
+    Membership: ``doc_id``, ``class_id`` (least id with the same integers), ``n`` and ``q`` of every row. Links:
+    for each class with a query and each other class that aligns with it: ``class_id``, ``match_id``, ``shift``
+    (place in the match minus place in the query), ``start`` and ``run`` (see :func:`stretch`), ``votes`` and ``errors``.
+
+    Every pair of successive integers of every recording is in the index. Equal keys of a query, from any of its
+    ``STARTS``, vote for a shift in an offset histogram. Two classes are compared at the shift with most votes (the
+    least on ties), if these come from two places at least, and at those next to it: they align if a stretch of
+    ``least_run`` integers has ``most_errors`` wrong bits or less. Classes stand for any number of copies, so equal
+    recordings are never paired. Shorter recordings are members but have no links.
+    """
+    members = prints.select("doc_id", F.xxhash64("prints").alias("h"), F.size("prints").alias("n"), "q")
+    classes = cut(members.groupBy("h", "n").agg(F.min("doc_id").alias("class_id"), F.max("q").alias("q"), F.min(F.when(F.col("q"), F.col("doc_id"))).alias("asker")))
     membership = members.join(classes.select(F.col("h").alias("_h"), F.col("n").alias("_n"), "class_id"), (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n"))).select("doc_id", "class_id", "n", "q")
-    leaders = cut(prints.join(classes.filter("n > 1").select(F.col("class_id").alias("_c"), "q"), F.col("doc_id") == F.col("_c")).select(F.col("doc_id").alias("id"), "q", "prints").dropDuplicates(["id"]))
+    long = classes.filter(F.col("n") >= least_run)
+
+    def stands(which: str, kept: list[str]) -> DataFrame:
+        """One row for each class: that of its ``which``."""
+        chosen = long.filter(F.col(which).isNotNull()).select(F.col(which).alias("_c"), F.col("class_id").alias("id"))
+        return prints.join(chosen, F.col("doc_id") == F.col("_c")).select("id", *kept).dropDuplicates(["id"])
 
     def keyed(batches):
         import pyarrow as pa
 
         for batch in batches:
-            ids, qs, keys, at = [], [], [], []
-            for i, q, p in zip(*(c.to_pylist() for c in batch.columns)):
-                k, a = index_keys(np.array(p, np.int32).view(np.uint32))
-                ids.append(np.full(len(k), i, np.int64))
-                qs.append(np.full(len(k), bool(q)))
-                keys.append(k)
-                at.append(a)
+            ids, keys, at = [], [], []
+            for i, many in zip(*(c.to_pylist() for c in batch.columns)):
+                for p in many:
+                    k, a = index_keys(np.array(p, np.int32).view(np.uint32))
+                    ids.append(np.full(len(k), i, np.int64))
+                    keys.append(k)
+                    at.append(a)
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ids, qs, keys, at)], names=["id", "q", "key", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(at).astype(np.int32))], names=["id", "key", "at"])
 
-    keys = map_batches(leaders.select("id", "q", "prints"), keyed, "id long, q boolean, key long, at long")
-    asked = keys.filter("q").select(F.col("id").alias("qid"), F.col("key").alias("qkey"), F.col("at").alias("qat"))
+    leaders, askers = stands("class_id", ["prints"]), stands("asker", ["prints", "more"])
+    keys = map_batches(leaders.select("id", F.array("prints").alias("many")), keyed, "id long, key long, at int")
+    asked = map_batches(askers.select("id", F.concat(F.array("prints"), "more").alias("many")), keyed, "id long, key long, at int")
+    asked = asked.select(F.col("id").alias("qid"), F.col("key").alias("qkey"), F.col("at").alias("qat"))
     hits = asked.join(keys, (F.col("qkey") == F.col("key")) & (F.col("qid") != F.col("id")))
-    histogram = hits.groupBy("qid", "id", (F.col("at") - F.col("qat")).alias("shift")).agg(F.count("*").alias("votes"), F.min("qat").alias("lo"), F.max("qat").alias("hi"))
-    best = histogram.groupBy("qid", "id").agg(F.min(F.struct((-F.col("votes")).alias("v"), "shift", "lo", "hi")).alias("b"))
-    best = best.select("qid", "id", "b.shift", "b.lo", "b.hi", (-F.col("b.v")).alias("votes")).filter(F.col("hi") - F.col("lo") + 2 >= least_run)
+    histogram = hits.groupBy("qid", "id", (F.col("at") - F.col("qat")).alias("shift")).agg(F.count("*").alias("votes"), F.min("qat").alias("lo"), F.max("qat").alias("hi")).filter("lo < hi")
+    best = histogram.groupBy("qid", "id").agg(F.min(F.struct((-F.col("votes")).alias("v"), "shift")).alias("b"))
+    best = best.select("qid", "id", "b.shift", (-F.col("b.v")).alias("votes"))
     sides = best.join(leaders.select(F.col("id").alias("_a"), F.col("prints").alias("x")), F.col("qid") == F.col("_a")).join(leaders.select(F.col("id").alias("_b"), F.col("prints").alias("y")), F.col("id") == F.col("_b"))
 
     def verified(batches):
@@ -220,15 +246,16 @@ def align_recordings(prints: DataFrame, is_query: Column, least_run: int = LEAST
 
         for batch in batches:
             rows = []
-            for q, i, shift, lo, hi, votes, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                a, b = np.array(x, np.int32)[lo:hi + 2], np.array(y, np.int32)[lo + shift:hi + shift + 2]
-                wrong = bit_errors(a, b)
-                if wrong <= most_errors:
-                    rows.append((q, i, shift, lo, hi - lo + 2, votes, wrong))
+            for q, i, shift, votes, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                a, b = np.array(x, np.int32).view(np.uint32), np.array(y, np.int32).view(np.uint32)
+                found = [(*f, s) for s in (shift, shift - 1, shift + 1) if (f := stretch(a, b, s, least_run, most_errors))]
+                if found:
+                    wrong, start, run, s = min(found)
+                    rows.append((q, i, s, start, run, votes, wrong))
             cols = [*zip(*rows)] or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 6 else pa.float64()) for k, c in enumerate(cols)], names=["class_id", "match_id", "shift", "start", "run", "votes", "errors"])
 
-    links = map_batches(sides.select("qid", "id", "shift", "lo", "hi", "votes", "x", "y"), verified, "class_id long, match_id long, shift long, start long, run long, votes long, errors double")
+    links = map_batches(sides.select("qid", "id", "shift", "votes", "x", "y"), verified, "class_id long, match_id long, shift long, start long, run long, votes long, errors double")
     return membership, links
 
 
@@ -241,8 +268,8 @@ def search_recordings(media: DataFrame, id_col: str, data: Column | str, every:
     recordings have no integers: they form one class without links. Rows with a null id are no
     queries and not searched for. Repeated rows each count. An empty table gives no rows.
     """
-    prints = cut(media_fingerprints(media.filter(F.col(id_col).isNotNull()), id_col, data))
-    membership, links = align_recordings(prints, F.col("doc_id") % every == 0, least_run, most_errors)
+    prints = stored(media_fingerprints(media.filter(F.col(id_col).isNotNull()), id_col, data, F.col(id_col) % every == 0))
+    membership, links = align_recordings(prints, least_run, most_errors)
     sizes = membership.groupBy("class_id").agg((F.count("*") - 1).alias("copies")).withColumnRenamed("class_id", "_s")
     best = links.groupBy("class_id").agg(F.count("*").alias("links"), F.max(F.struct("votes", "run", (-F.col("match_id")).alias("m"), "shift", "errors")).alias("b")).withColumnRenamed("class_id", "_l")
     return membership.filter("q").join(sizes, F.col("class_id") == F.col("_s")).join(best, F.col("class_id") == F.col("_l"), "left") \

@@ -20,6 +20,8 @@ FILTERS = [
 STEP = 0.08
 #: Integers of a matched stretch at least; share of wrong bits in it at most.
 LEAST_RUN, BIT_ERRORS = 16, 0.05
+#: Places among which the pair of least hash is indexed.
+SPARSE = 8
 #: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
 STARTS = (0, 8, 16, 24)
 
@@ -163,13 +165,20 @@ def media_fingerprints(media: DataFrame, id_col: str, data: Column | str, is_que
     return map_batches(media.select(F.col(id_col).cast("long").alias("doc_id"), asks.alias("q"), data.cast("binary").alias("data")), run, "doc_id long, q boolean, prints array<int>, more array<array<int>>")
 
 
-def index_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, places): pairs of successive integers, each at its first place only."""
+def index_keys(prints: np.ndarray, sparse: int = SPARSE) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places): of any ``sparse`` successive pairs of integers that of least hash, each key at its first place only."""
     p = prints.astype(np.uint64)
     if len(p) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key, places = np.unique((p[:-1] << np.uint64(32)) | p[1:], return_index=True)
-    return key.view(np.int64), places
+    pairs = (p[:-1] << np.uint64(32)) | p[1:]
+    h = pairs * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    w = min(sparse, len(h))
+    places = np.unique(np.lib.stride_tricks.sliding_window_view(h, w).argmin(axis=1) + np.arange(len(h) - w + 1))
+    key, first = np.unique(pairs[places], return_index=True)
+    return key.view(np.int64), places[first]
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray) -> float:
@@ -201,9 +210,10 @@ def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors:
     for each class with a query and each other class that aligns with it: ``class_id``, ``match_id``, ``shift``
     (place in the match minus place in the query), ``start`` and ``run`` (see :func:`stretch`), ``votes`` and ``errors``.
 
-    Every pair of successive integers of every recording is in the index. Equal keys of a query, from any of its
-    ``STARTS``, vote for a shift in an offset histogram. Two classes are compared at the shift with most votes (the
-    least on ties), if these come from two places at least, and at those next to it: they align if a stretch of
+    Pairs of successive integers at places chosen by content are the index, of every recording: any stretch of
+    ``SPARSE`` + 1 equal integers has a common one. Equal keys of a query, from any of its ``STARTS``, vote for a shift
+    in an offset histogram. Two classes are compared at the shift with most votes (the least on ties)
+    and at those next to it: they align if a stretch of
     ``least_run`` integers has ``most_errors`` wrong bits or less. Classes stand for any number of copies, so equal
     recordings are never paired. Shorter recordings are members but have no links.
     """
@@ -236,7 +246,7 @@ def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors:
     asked = map_batches(askers.select("id", F.concat(F.array("prints"), "more").alias("many")), keyed, "id long, key long, at int")
     asked = asked.select(F.col("id").alias("qid"), F.col("key").alias("qkey"), F.col("at").alias("qat"))
     hits = asked.join(keys, (F.col("qkey") == F.col("key")) & (F.col("qid") != F.col("id")))
-    histogram = hits.groupBy("qid", "id", (F.col("at") - F.col("qat")).alias("shift")).agg(F.count("*").alias("votes"), F.min("qat").alias("lo"), F.max("qat").alias("hi")).filter("lo < hi")
+    histogram = hits.groupBy("qid", "id", (F.col("at") - F.col("qat")).alias("shift")).agg(F.count("*").alias("votes"))
     best = histogram.groupBy("qid", "id").agg(F.min(F.struct((-F.col("votes")).alias("v"), "shift")).alias("b"))
     best = best.select("qid", "id", "b.shift", (-F.col("b.v")).alias("votes"))
     sides = best.join(leaders.select(F.col("id").alias("_a"), F.col("prints").alias("x")), F.col("qid") == F.col("_a")).join(leaders.select(F.col("id").alias("_b"), F.col("prints").alias("y")), F.col("id") == F.col("_b"))

@@ -114,3 +114,34 @@ def test_odd_rows(spark):
         if r["doc_id"] in (5, 6):
             assert r["n_prints"] == 1 and r["copies"] >= 2
     assert audio.search_recordings(df.limit(0), "doc_id", "recording").collect() == []
+
+
+def brute_links_of_starts(rows, asks, least_run=audio.LEAST_RUN, most_errors=audio.BIT_ERRORS):
+    """As :func:`brute_links`, the query played from each of its starts."""
+    prints, found = {i: audio.fingerprint(b) for i, b in rows}, set()
+    for q, sound in ((i, b) for i, b in rows if i in asks):
+        for start in audio.STARTS:
+            found |= {(q, i) for _, i in brute_links(prints | {-1: audio.fingerprint(sound[start:])}, {-1}, least_run, most_errors) if i != q and not np.array_equal(prints[i], prints[q])}
+    return found
+
+
+def displaced(spark, step):
+    """Texts of one table, each asked for and each with a copy that is cut by another number of bytes."""
+    texts = [r["text"].encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect() if r["text"] and 1500 <= len(r["text"]) <= 4000]
+    rows = []
+    for k, text in enumerate(texts[:24 * step:step]):
+        rows += [(50 * k + 50, text), (50 * k + 51, text[12 + k % 9:])]
+    return rows
+
+
+def test_copies_displaced_by_any_number_of_bytes(spark):
+    """What lies between two hops of the query is verified from the start that meets it."""
+    rows = displaced(spark, 3)
+    want = {(q, i) for q, i in brute_links_of_starts(rows, {i for i, _ in rows if i % 50 == 0}) if i == q + 1}
+    prints = audio.media_fingerprints(media(spark, rows), "doc_id", "recording", F.col("doc_id") % 50 == 0).cache()
+    got = {(r["class_id"], r["match_id"]) for r in audio.align_recordings(prints, every_start=True)[1].collect()}
+    before = {(r["class_id"], r["match_id"]) for r in audio.align_recordings(prints)[1].collect()}
+    print("displaced copies", len(want & got), "of", len(want), "from the first start", len(want & before))
+    assert len(want) >= 23 and len(want & got) >= 23
+    found = {r["doc_id"]: r["links"] for r in audio.search_recordings(media(spark, rows), "doc_id", "recording").collect()}
+    assert sum(n > 0 for n in found.values()) >= 23

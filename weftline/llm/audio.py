@@ -203,7 +203,7 @@ def stretch(a: np.ndarray, b: np.ndarray, shift: int, least_run: int, most_error
     return float(windows.min()), first + int(good[0]), run
 
 
-def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS) -> tuple[DataFrame, DataFrame]:
+def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS, every_start: bool = False) -> tuple[DataFrame, DataFrame]:
     """(membership, links) of recordings as :func:`media_fingerprints` gives them.
 
     Membership: ``doc_id``, ``class_id`` (least id with the same integers), ``n`` and ``q`` of every row. Links:
@@ -214,7 +214,9 @@ def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors:
     ``SPARSE`` + 1 equal integers has a common one. Equal keys of a query, from any of its ``STARTS``, vote for a shift
     in an offset histogram. Two classes are compared at the shift with most votes (the least on ties)
     and at those next to it: they align if a stretch of
-    ``least_run`` integers has ``most_errors`` wrong bits or less. Classes stand for any number of copies, so equal
+    ``least_run`` integers has ``most_errors`` wrong bits or less. With ``every_start`` the query's integers
+    from each of its ``STARTS`` are compared so (``start`` is then a place among those of the best), else
+    only those from its first sample. Classes stand for any number of copies, so equal
     recordings are never paired. Shorter recordings are members but have no links.
     """
     members = prints.select("doc_id", F.xxhash64("prints").alias("h"), F.size("prints").alias("n"), "q")
@@ -243,13 +245,14 @@ def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors:
 
     leaders, askers = stands("class_id", ["prints"]), stands("asker", ["prints", "more"])
     keys = map_batches(leaders.select("id", F.array("prints").alias("many")), keyed, "id long, key long, at int")
-    asked = map_batches(askers.select("id", F.concat(F.array("prints"), "more").alias("many")), keyed, "id long, key long, at int")
+    asking = askers.select("id", F.concat(F.array("prints"), "more").alias("many"))
+    asked = map_batches(asking, keyed, "id long, key long, at int")
     asked = asked.select(F.col("id").alias("qid"), F.col("key").alias("qkey"), F.col("at").alias("qat"))
     hits = asked.join(keys, (F.col("qkey") == F.col("key")) & (F.col("qid") != F.col("id")))
     histogram = hits.groupBy("qid", "id", (F.col("at") - F.col("qat")).alias("shift")).agg(F.count("*").alias("votes"))
     best = histogram.groupBy("qid", "id").agg(F.min(F.struct((-F.col("votes")).alias("v"), "shift")).alias("b"))
     best = best.select("qid", "id", "b.shift", (-F.col("b.v")).alias("votes"))
-    sides = best.join(leaders.select(F.col("id").alias("_a"), F.col("prints").alias("x")), F.col("qid") == F.col("_a")).join(leaders.select(F.col("id").alias("_b"), F.col("prints").alias("y")), F.col("id") == F.col("_b"))
+    sides = best.join(asking.select(F.col("id").alias("_a"), F.col("many").alias("x")), F.col("qid") == F.col("_a")).join(leaders.select(F.col("id").alias("_b"), F.col("prints").alias("y")), F.col("id") == F.col("_b"))
 
     def verified(batches):
         import pyarrow as pa
@@ -257,8 +260,9 @@ def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors:
         for batch in batches:
             rows = []
             for q, i, shift, votes, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                a, b = np.array(x, np.int32).view(np.uint32), np.array(y, np.int32).view(np.uint32)
-                found = [(*f, s) for s in (shift, shift - 1, shift + 1) if (f := stretch(a, b, s, least_run, most_errors))]
+                b = np.array(y, np.int32).view(np.uint32)
+                starts = [np.array(p, np.int32).view(np.uint32) for p in (x if every_start else x[:1])]
+                found = [(*f, s) for a in starts for s in (shift, shift - 1, shift + 1) if (f := stretch(a, b, s, least_run, most_errors))]
                 if found:
                     wrong, start, run, s = min(found)
                     rows.append((q, i, s, start, run, votes, wrong))
@@ -279,7 +283,7 @@ def search_recordings(media: DataFrame, id_col: str, data: Column | str, every:
     queries and not searched for. Repeated rows each count. An empty table gives no rows.
     """
     prints = stored(media_fingerprints(media.filter(F.col(id_col).isNotNull()), id_col, data, F.col(id_col) % every == 0))
-    membership, links = align_recordings(prints, least_run, most_errors)
+    membership, links = align_recordings(prints, least_run, most_errors, every_start=True)
     sizes = membership.groupBy("class_id").agg((F.count("*") - 1).alias("copies")).withColumnRenamed("class_id", "_s")
     best = links.groupBy("class_id").agg(F.count("*").alias("links"), F.max(F.struct("votes", "run", (-F.col("match_id")).alias("m"), "shift", "errors")).alias("b")).withColumnRenamed("class_id", "_l")
     return membership.filter("q").join(sizes, F.col("class_id") == F.col("_s")).join(best, F.col("class_id") == F.col("_l"), "left") \

@@ -145,3 +145,13 @@ def test_copies_displaced_by_any_number_of_bytes(spark):
     assert len(want) >= 23 and len(want & got) >= 23
     found = {r["doc_id"]: r["links"] for r in audio.search_recordings(media(spark, rows), "doc_id", "recording").collect()}
     assert sum(n > 0 for n in found.values()) >= 23
+
+
+def test_every_pair_of_integers_is_indexed():
+    """Two recordings that share only one pair of integers have a common key."""
+    rng = np.random.default_rng(9)
+    a, b = rng.integers(0, 1 << 32, (2, 300), dtype=np.uint32)
+    for at in range(0, 298, 7):
+        c = b.copy()
+        c[at:at + 2] = a[at:at + 2]
+        assert len(np.intersect1d(audio.index_keys(a)[0], audio.index_keys(c)[0])) == 1

@@ -21,7 +21,7 @@ STEP = 0.08
 #: Integers of a matched stretch at least; share of wrong bits in it at most.
 LEAST_RUN, BIT_ERRORS = 16, 0.05
 #: Places among which the pair of least hash is indexed.
-SPARSE = 8
+SPARSE = 1
 #: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
 STARTS = (0, 8, 16, 24)
 
@@ -210,8 +210,9 @@ def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors:
     for each class with a query and each other class that aligns with it: ``class_id``, ``match_id``, ``shift``
     (place in the match minus place in the query), ``start`` and ``run`` (see :func:`stretch`), ``votes`` and ``errors``.
 
-    Pairs of successive integers at places chosen by content are the index, of every recording: any stretch of
-    ``SPARSE`` + 1 equal integers has a common one. Equal keys of a query, from any of its ``STARTS``, vote for a shift
+    All pairs of successive integers are the index, of every recording: any two equal integers
+    in a row are a common one (with ``SPARSE`` over 1 only any ``SPARSE`` + 1). A stretch whose wrong bits leave
+    no two equal integers in a row is not nominated. Equal keys of a query, from any of its ``STARTS``, vote for a shift
     in an offset histogram. Two classes are compared at the shift with most votes (the least on ties)
     and at those next to it: they align if a stretch of
     ``least_run`` integers has ``most_errors`` wrong bits or less. With ``every_start`` the query's integers

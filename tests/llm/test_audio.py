@@ -155,3 +155,29 @@ def test_every_pair_of_integers_is_indexed():
         c = b.copy()
         c[at:at + 2] = a[at:at + 2]
         assert len(np.intersect1d(audio.index_keys(a)[0], audio.index_keys(c)[0])) == 1
+
+
+def test_every_shift_is_verified(spark):
+    """A qualifying stretch is found although another shift of the same pair has more equal pairs."""
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 1 << 32, (2, 200), dtype=np.uint32)
+    b[20:28] = a[60:68]  # seven equal pairs, too short a stretch
+    b[100:116] = a[10:26]
+    b[99], b[116] = ~a[9], ~a[26]
+    b[100:116:3] ^= np.uint32(1)  # five equal pairs, six wrong bits
+    rows = [(50, True, a.view(np.int32).tolist(), []), (51, False, b.view(np.int32).tolist(), [])]
+    prints = spark.createDataFrame(rows, "doc_id long, q boolean, prints array<int>, more array<array<int>>")
+    [r] = audio.align_recordings(prints)[1].collect()
+    assert (r["match_id"], r["shift"], r["start"], r["run"], r["votes"]) == (51, 90, 10, 16, 5) and abs(r["errors"] - 6 / 512) < 1e-12
+
+
+def test_least_errors_is_brute_force():
+    rng = np.random.default_rng(6)
+    for k, run in enumerate((1, 3, 13, 16, 20)):
+        a, b = rng.integers(0, 4, 37 + k, dtype=np.uint32), rng.integers(0, 4, 29, dtype=np.uint32)
+        every = {(int(np.bitwise_count(a[i:i + run] ^ b[j:j + run]).sum()), j - i) for i in range(len(a) - run + 1) for j in range(len(b) - run + 1)}
+        least = min(every)[0]
+        for audio.CELLS in (40, 300, 1 << 22):
+            got, shifts = audio.least_errors(a, b, run)
+            assert got == least and set(shifts.tolist()) == {s for w, s in every if w == least}
+    assert len(audio.least_errors(a[:3], b, 16)[1]) == 0

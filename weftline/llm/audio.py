@@ -22,6 +22,8 @@ STEP = 0.08
 LEAST_RUN, BIT_ERRORS = 16, 0.05
 #: Places among which the pair of least hash is indexed.
 SPARSE = 1
+#: Cells of the table of bit errors that is held at once.
+CELLS = 1 << 22
 #: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
 STARTS = (0, 8, 16, 24)
 
@@ -165,12 +167,17 @@ def media_fingerprints(media: DataFrame, id_col: str, data: Column | str, is_que
     return map_batches(media.select(F.col(id_col).cast("long").alias("doc_id"), asks.alias("q"), data.cast("binary").alias("data")), run, "doc_id long, q boolean, prints array<int>, more array<array<int>>")
 
 
+def pairs_of(prints: np.ndarray) -> np.ndarray:
+    """Each two successive integers as one."""
+    p = prints.astype(np.uint64)
+    return (p[:-1] << np.uint64(32)) | p[1:]
+
+
 def index_keys(prints: np.ndarray, sparse: int = SPARSE) -> tuple[np.ndarray, np.ndarray]:
     """(keys, places): of any ``sparse`` successive pairs of integers that of least hash, each key at its first place only."""
-    p = prints.astype(np.uint64)
-    if len(p) < 2:
+    if len(prints) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = (p[:-1] << np.uint64(32)) | p[1:]
+    pairs = pairs_of(prints)
     h = pairs * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xBF58476D1CE4E5B9)
@@ -203,18 +210,67 @@ def stretch(a: np.ndarray, b: np.ndarray, shift: int, least_run: int, most_error
     return float(windows.min()), first + int(good[0]), run
 
 
+def least_errors(a: np.ndarray, b: np.ndarray, least_run: int) -> tuple[int, np.ndarray]:
+    """Wrong bits of the best window of ``least_run`` integers over all places of both, and the shifts that have it."""
+    rows, cols = len(a) - least_run + 1, len(b) - least_run + 1
+    if rows < 1 or cols < 1:
+        return 33 * least_run, np.zeros(0, np.int64)
+    best, shifts = 33 * least_run, []
+    block = max(1, CELLS // len(b))
+    for i in range(0, rows, block):
+        part = a[i:min(i + block, rows) + least_run - 1]
+        span, size, total, at = np.bitwise_count(part[:, None] ^ b[None, :]).astype(np.uint16 if least_run < 2048 else np.uint32), 1, None, 0
+        left = least_run
+        while left:  # spans of 1, 2, 4, ... integers along the diagonals; those in least_run add up
+            if left & 1:
+                x = span[at:, at:]
+                n, m = min(i + block, rows) - i, cols
+                total = x[:n, :m].copy() if total is None else total + x[:n, :m]
+                at += size
+            left >>= 1
+            if left:
+                span = span[:-size, :-size] + span[size:, size:]
+                size *= 2
+        least = int(total.min())
+        if least < best:
+            best, shifts = least, []
+        if least == best:
+            y, x = np.nonzero(total == best)
+            shifts.append(np.unique(x - y - i))
+    return best, np.unique(np.concatenate(shifts))
+
+
+def aligned(starts: list[np.ndarray], b: np.ndarray, least_run: int, most_errors: float) -> tuple[float, int, int, int, int] | None:
+    """(errors, start, run, shift, votes) of the best shift of all, with any of the query's ``starts``; None where nothing aligns.
+
+    ``votes`` are the pairs of successive integers that are equal at that shift.
+    """
+    found = []
+    for a in starts:
+        wrong, shifts = least_errors(a, b, least_run)
+        if wrong / (32 * least_run) <= most_errors:
+            found.append((wrong, shifts, a))
+    least = min((f[0] for f in found), default=None)
+    best = min(((*f, int(s), k) for k, (wrong, shifts, a) in enumerate(found) if wrong == least for s in shifts if (f := stretch(a, b, int(s), least_run, most_errors))), default=None)
+    if best is None:
+        return None
+    a, shift = found[best[4]][2], best[3]
+    first, last = max(0, -shift), min(len(a), len(b) - shift)
+    votes = int((pairs_of(a[first:last]) == pairs_of(b[first + shift:last + shift])).sum())
+    return (*best[:4], votes)
+
+
 def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS, every_start: bool = False) -> tuple[DataFrame, DataFrame]:
     """(membership, links) of recordings as :func:`media_fingerprints` gives them.
 
     Membership: ``doc_id``, ``class_id`` (least id with the same integers), ``n`` and ``q`` of every row. Links:
     for each class with a query and each other class that aligns with it: ``class_id``, ``match_id``, ``shift``
-    (place in the match minus place in the query), ``start`` and ``run`` (see :func:`stretch`), ``votes`` and ``errors``.
+    (place in the match minus place in the query), ``start`` and ``run`` (see :func:`stretch`), ``votes`` (see :func:`aligned`) and ``errors``.
 
     All pairs of successive integers are the index, of every recording: any two equal integers
     in a row are a common one (with ``SPARSE`` over 1 only any ``SPARSE`` + 1). A stretch whose wrong bits leave
-    no two equal integers in a row is not nominated. Equal keys of a query, from any of its ``STARTS``, vote for a shift
-    in an offset histogram. Two classes are compared at the shift with most votes (the least on ties)
-    and at those next to it: they align if a stretch of
+    no two equal integers in a row is not nominated. Two classes with
+    an equal key, from any of the query's ``STARTS``, are compared at every shift: they align if a stretch of
     ``least_run`` integers has ``most_errors`` wrong bits or less. With ``every_start`` the query's integers
     from each of its ``STARTS`` are compared so (``start`` is then a place among those of the best), else
     only those from its first sample. Classes stand for any number of copies, so equal
@@ -234,43 +290,37 @@ def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors:
         import pyarrow as pa
 
         for batch in batches:
-            ids, keys, at = [], [], []
+            ids, keys = [], []
             for i, many in zip(*(c.to_pylist() for c in batch.columns)):
-                for p in many:
-                    k, a = index_keys(np.array(p, np.int32).view(np.uint32))
-                    ids.append(np.full(len(k), i, np.int64))
-                    keys.append(k)
-                    at.append(a)
+                k = np.unique(np.concatenate([index_keys(np.array(p, np.int32).view(np.uint32))[0] for p in many]))
+                ids.append(np.full(len(k), i, np.int64))
+                keys.append(k)
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(at).astype(np.int32))], names=["id", "key", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys))], names=["id", "key"])
 
     leaders, askers = stands("class_id", ["prints"]), stands("asker", ["prints", "more"])
-    keys = map_batches(leaders.select("id", F.array("prints").alias("many")), keyed, "id long, key long, at int")
+    keys = map_batches(leaders.select("id", F.array("prints").alias("many")), keyed, "id long, key long")
     asking = askers.select("id", F.concat(F.array("prints"), "more").alias("many"))
-    asked = map_batches(asking, keyed, "id long, key long, at int")
-    asked = asked.select(F.col("id").alias("qid"), F.col("key").alias("qkey"), F.col("at").alias("qat"))
+    asked = map_batches(asking, keyed, "id long, key long")
+    asked = asked.select(F.col("id").alias("qid"), F.col("key").alias("qkey"))
     hits = asked.join(keys, (F.col("qkey") == F.col("key")) & (F.col("qid") != F.col("id")))
-    histogram = hits.groupBy("qid", "id", (F.col("at") - F.col("qat")).alias("shift")).agg(F.count("*").alias("votes"))
-    best = histogram.groupBy("qid", "id").agg(F.min(F.struct((-F.col("votes")).alias("v"), "shift")).alias("b"))
-    best = best.select("qid", "id", "b.shift", (-F.col("b.v")).alias("votes"))
-    sides = best.join(asking.select(F.col("id").alias("_a"), F.col("many").alias("x")), F.col("qid") == F.col("_a")).join(leaders.select(F.col("id").alias("_b"), F.col("prints").alias("y")), F.col("id") == F.col("_b"))
+    pairs = hits.select("qid", "id").distinct()
+    sides = pairs.join(asking.select(F.col("id").alias("_a"), F.col("many").alias("x")), F.col("qid") == F.col("_a")).join(leaders.select(F.col("id").alias("_b"), F.col("prints").alias("y")), F.col("id") == F.col("_b"))
 
     def verified(batches):
         import pyarrow as pa
 
         for batch in batches:
             rows = []
-            for q, i, shift, votes, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                b = np.array(y, np.int32).view(np.uint32)
+            for q, i, x, y in zip(*(c.to_pylist() for c in batch.columns)):
                 starts = [np.array(p, np.int32).view(np.uint32) for p in (x if every_start else x[:1])]
-                found = [(*f, s) for a in starts for s in (shift, shift - 1, shift + 1) if (f := stretch(a, b, s, least_run, most_errors))]
-                if found:
-                    wrong, start, run, s = min(found)
-                    rows.append((q, i, s, start, run, votes, wrong))
+                if found := aligned(starts, np.array(y, np.int32).view(np.uint32), least_run, most_errors):
+                    wrong, start, run, shift, votes = found
+                    rows.append((q, i, shift, start, run, votes, wrong))
             cols = [*zip(*rows)] or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 6 else pa.float64()) for k, c in enumerate(cols)], names=["class_id", "match_id", "shift", "start", "run", "votes", "errors"])
 
-    links = map_batches(sides.select("qid", "id", "shift", "votes", "x", "y"), verified, "class_id long, match_id long, shift long, start long, run long, votes long, errors double")
+    links = map_batches(sides.select("qid", "id", "x", "y"), verified, "class_id long, match_id long, shift long, start long, run long, votes long, errors double")
     return membership, links
 
 

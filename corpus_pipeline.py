@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), null_ids=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,3 +94,14 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert decontaminate.benchmark_matches(empty, bench).collect() == [] and decontaminate.decontaminate(empty, bench).collect() == []
     assert decontaminate.benchmark_matches(df, bench.limit(0)).collect() == [] and decontaminate.decontaminate(df, bench.limit(0)).count() == len(odd_rows())
+
+
+def test_items_without_an_integer_id_count_in_the_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    passages = [prose(70 + k, 40) for k in range(3)]
+    given = docs(spark, [(k, prose(80 + k, 20) + " " + p + " " + prose(90 + k, 20), "en", "a", 1) for k, p in enumerate([*passages, prose(99, 40)])])
+    for k, ids in enumerate(([None, "x-1", "7"], [None, None, 7])):
+        kind = "string" if k == 0 else "long"
+        spark.createDataFrame([*zip(ids, passages)], f"item_id {kind}, text string").write.parquet(f"{tmp_path}/{k}/benchmark.parquet")
+        assert [r["doc_id"] for r in corpus_pipeline.decontamination(spark, given, f"{tmp_path}/{k}").collect()] == [3]

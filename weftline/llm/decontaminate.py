@@ -160,10 +160,13 @@ class Items:
         return out
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str):
-    """Blocks of items of bounded size, in order of id; one block at a time is in memory."""
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, null_ids: bool = False):
+    """Blocks of items of bounded size, in order of id; one block at a time is in memory. Items whose id is null are left out;
+    with ``null_ids`` they are in, their ids and those that are no integer as null."""
     block, size = [], 0
-    for row in benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).filter("i is not null").orderBy("i", "t").toLocalIterator():
+    i = F.col(id_col).try_cast("long") if null_ids else F.col(id_col).cast("long")
+    items = benchmark.select(i.alias("i"), F.col(text_col).cast("string").alias("t"))
+    for row in (items if null_ids else items.filter("i is not null")).orderBy("i", "t").toLocalIterator():
         if block and (len(block) >= BLOCK_ITEMS or size > BLOCK_BYTES):
             yield block
             block, size = [], 0
@@ -184,7 +187,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
     Returns ``doc_id``, ``item_id``, ``edits``, ``first_word``, ``end_word``, ``similarity`` (best place;
     earliest on ties). Items are read in blocks of bounded size, each against all rows. Null or
-    wordless texts and items match nothing; repeated rows each give their own; items of equal id
+    wordless texts and items match nothing, nor do items whose id is null; repeated rows each give their own; items of equal id
     give the better one. Empty tables give no rows; other columns are ignored.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -213,14 +216,15 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **named) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids: bool = False, **named) -> DataFrame:
     """The rows of ``docs``, all columns, whose text matches no benchmark item by :func:`benchmark_matches`.
 
-    Rows with a null id are judged by the text too: matching is done row by row in one pass and
+    With ``null_ids`` items count whatever their id, null or no integer included; without, those with a
+    null id are left out. Rows with a null id are judged by the text too: matching is done row by row in one pass and
     moves no text.
     """
     kept = docs.schema.fields
-    blocks = list(item_blocks(benchmark, named.pop("item_id_col", "item_id"), named.pop("item_text_col", "text")))
+    blocks = list(item_blocks(benchmark, named.pop("item_id_col", "item_id"), named.pop("item_text_col", "text"), null_ids))
     similarity = named.pop("similarity", SIMILARITY)
     schema, [judged] = with_results(kept), fresh(docs, "_text")
     out = docs

@@ -66,3 +66,12 @@ def test_odd_rows(spark):
         assert (r["lang_pred"] == "und" and r["score"] == 0) if und else r["lang_pred"] in ("en", "de", "fr")
     assert {r["lang_pred"] for r in langid.identify(df, df.limit(0)).collect()} == {"und"}
     assert langid.identify(spark.createDataFrame([], SCHEMA), df).collect() == []
+
+
+def test_rare_languages_are_in_the_sample(spark):
+    rows = [(k, prose(k, 6), "en" if k % 2 else "de", "a", 1) for k in range(400)] + [(1000 + k, prose(k, 6), lang, "a", 1) for k, lang in enumerate(["fi", "fi", "eo"])]
+    given = docs(spark, rows)
+    found = langid.training_words(given, "doc_id", "text", "lang", n_docs=40)
+    langs = [lang for lang, _ in found]
+    assert len(found) == 40 and langs.count("fi") == 2 and langs.count("eo") == 1 and min(langs.count("en"), langs.count("de")) >= 10
+    assert len(langid.training_words(given, "doc_id", "text", "lang", n_docs=1000)) == len(rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from .common import fresh, map_batches, with_results
 #: Labelled documents that training reads at most, and random words taken of each.
 TRAIN_DOCS = 3000
 TRAIN_WORDS = 100
+#: Documents of each language in the sample at least, where it has them.
+LEAST_DOCS = 50
 HIDDEN = 12
 #: Bytes of one sequence: words are cut there.
 LONGEST = 24
@@ -206,7 +209,11 @@ def document_probs(texts: list[str | None], pooler: Pooler) -> Iterator[np.ndarr
 
 
 def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n_docs: int = TRAIN_DOCS, n_words: int = TRAIN_WORDS) -> list[tuple[str, list[bytes]]]:
-    """Random words of at most ``n_docs`` labelled documents, those of least hash: (language, words)."""
+    """Random words of at most ``n_docs`` labelled documents, those of least hash: (language, words).
+
+    A language with fewer than ``LEAST_DOCS`` of them (less with many languages) gets its own documents of least hash
+    in place of others, so every language of the table is in the sample; ``n_docs`` is passed only by more languages than that.
+    """
     def run(batches):
         import pyarrow as pa
 
@@ -225,9 +232,42 @@ def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n
         return []
     chosen = map_batches(labelled.filter(F.col("key") <= F.lit(bound)), run, "lang string, key long, words array<binary>")
     rows = chosen.orderBy("key", "lang", "words").limit(n_docs).collect()
+    if len(rows) == n_docs:
+        counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        least = max(1, min(LEAST_DOCS, n_docs // len(counts)))
+        have = Counter(r["lang"] for r in rows)
+        rare = [lang for lang, n in counts.items() if have[lang] < min(least, n)]
+        if rare:
+            own = least_keys(labelled.filter(F.col("lang").isin(rare)), least)
+            extra = map_batches(labelled.join(F.broadcast(own), (F.col("lang") == F.col("_l")) & (F.col("key") == F.col("_k"))).select("text", "lang", "key"), run, "lang string, key long, words array<binary>").collect()
+            rows = [r for r in rows if r["lang"] not in rare]
+            spare, over = Counter(r["lang"] for r in rows), len(rows) + len(extra) - n_docs
+            for i in range(len(rows) - 1, -1, -1):
+                if over > 0 and spare[rows[i]["lang"]] > least:
+                    spare[rows[i]["lang"]] -= 1
+                    over -= 1
+                    del rows[i]
+            rows = sorted([*rows, *extra], key=lambda r: (r["key"], r["lang"], r["words"]))
     return [(r["lang"], [bytes(w) for w in r["words"]]) for r in rows]
 
 
+def least_keys(labelled: DataFrame, n: int) -> DataFrame:
+    """The ``n`` least keys of each language as ``_l``, ``_k``; of each task's rows only so many are moved."""
+    def run(batches):
+        import pyarrow as pa
+
+        found: dict[str, set[int]] = {}
+        for batch in batches:
+            for lang, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found.setdefault(lang, set()).add(key)
+            found = {lang: set(sorted(keys)[:n]) for lang, keys in found.items()}
+        pairs = [(lang, key) for lang, keys in found.items() for key in keys]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.string()), pa.array([x for _, x in pairs], pa.int64())], names=["lang", "key"])
+
+    firsts = map_batches(labelled.select("lang", "key"), run, "lang string, key long").groupBy(F.col("lang").alias("_l")).agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    return firsts.select("_l", F.explode(F.slice("keys", 1, n)).alias("_k"))
+
+
 def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """Every row of ``docs`` with ``lang_pred`` and ``score``, the pooled probability of that language.
 

@@ -44,6 +44,16 @@ def test_wave_files():
     assert np.array_equal(audio.samples_of(head + wide), x)
 
 
+def align(spark, rows, least_run=audio.LEAST_RUN, ask="doc_id % 50 = 0"):
+    """({(query, match): link}, {id: class}) with classes by their least id."""
+    segments = audio.media_segments(media(spark, rows), "doc_id", "recording", F.expr(ask), least_run).cache()
+    membership, links = audio.align_recordings(segments, least_run)
+    least, of = {}, {}
+    for r in sorted(membership.collect(), key=lambda r: r["doc_id"]):
+        of[r["doc_id"]] = least.setdefault((r["c1"], r["n"]), r["doc_id"])
+    return {(least[r["c1"], r["n"]], least[r["m1"], r["mn"]]): r for r in links.collect()}, of
+
+
 def test_alignment(spark):
     """An excerpt, a noisy copy and an exact copy are found with their shift; other tunes are not."""
     rng = np.random.default_rng(5)
@@ -51,56 +61,62 @@ def test_alignment(spark):
     noisy = np.clip(base.astype(int) + rng.integers(-2, 3, len(base)), 0, 255).astype(np.uint8)
     rows = [(50, base), (51, base), (52, base[audio.HOP * 200:audio.HOP * 600]), (53, noisy), (54, base[5000 + 13:]), *((100 + k, tune(20 + k)) for k in range(30)), (60, b""), (61, None)]
     rows = [(i, x.tobytes() if isinstance(x, np.ndarray) else x) for i, x in rows]
-    prints = audio.media_fingerprints(media(spark, rows), "doc_id", "recording", F.col("doc_id") == 50).cache()
-    membership, links = audio.align_recordings(prints, least_run=100)  # longer than a few common notes
-    links = {r["match_id"]: r for r in links.collect()}
+    links, of = align(spark, rows, 100, "doc_id = 50")  # longer than a few common notes
+    links = {i: r for (_, i), r in links.items()}
     assert set(links) == {52, 53, 54} and links[52]["shift"] == -200 and links[53]["shift"] == 0 and links[54]["shift"] in (-156, -157)
-    assert links[52]["run"] >= 350 and links[52]["errors"] == 0
-    assert {r["doc_id"]: r["class_id"] for r in membership.collect()}[51] == 50
+    assert links[52]["run"] == 400 - audio.SPAN + 1 - (audio.FRAME // audio.HOP - 1) and links[52]["errors"] == 0
+    assert of[51] == 50
     found = audio.search_recordings(media(spark, rows), "doc_id", "recording", least_run=100).collect()
     assert sorted(r["doc_id"] for r in found) == [50, 100] and {r["doc_id"]: r["copies"] for r in found}[50] == 1
 
 
-def test_stretch():
-    a = np.arange(1, 60, dtype=np.uint32)
-    assert audio.stretch(a, np.concatenate([a[:3], a]), 3, 16, 0.05) == (0.0, 0, 59)
-    assert audio.stretch(a, a[20:50], -20, 16, 0.0) == (0.0, 20, 30)
-    assert audio.stretch(a, a[50:], -50, 16, 0.05) is None and audio.stretch(a, ~a, 0, 16, 0.4) is None
-
-
-def brute_links(prints, queries_, least_run=audio.LEAST_RUN, most_errors=audio.BIT_ERRORS):
-    """Pairs of different recordings with a stretch of few enough wrong bits at any shift at all."""
-    found = set()
-    for q in queries_:
-        for i, p in prints.items():
-            if i == q or np.array_equal(p, prints[q]) or min(len(p), len(prints[q])) < least_run:
-                continue
-            wrong = np.bitwise_count(prints[q][:, None] ^ p[None, :]).astype(np.int32)
-            sums = np.zeros((wrong.shape[0] + 1, wrong.shape[1] + 1), np.int32)
-            for k in range(len(wrong)):
-                sums[k + 1, 1:] = sums[k, :-1] + wrong[k]
-            if (sums[least_run:, least_run:] - sums[:-least_run, :-least_run]).min() <= most_errors * 32 * least_run:
-                found.add((q, i))
+def test_one_id_with_two_recordings(spark):
+    """Classes go by content: each recording of an id is a member of its own class, and no match is lost."""
+    a, b, c = tune(1).tobytes(), tune(2).tobytes(), tune(3).tobytes()
+    rows = [(50, a), (50, b), (7, a[640:]), (8, b), (9, b[3200:]), (9, c)]
+    found = audio.search_recordings(media(spark, rows), "doc_id", "recording", least_run=100).collect()
+    got = sorted((r["class_id"], r["copies"], r["links"], r["match_id"]) for r in found)
+    assert got == [(8, 1, 1, 9), (50, 0, 1, 7)]
+
+
+def test_segments_hold_every_window_once():
+    for n in (3, 16, 17, 111, 112, 127, 128, 129, 500):
+        prints = np.arange(n, dtype=np.uint32)
+        seen = [int(p[i]) for _, p in audio.segments_of(prints, 16) for i in range(len(p) - 15)]
+        assert seen == list(range(max(0, n - 15)))
+
+
+def brute_links(rows, asks, least_run=audio.LEAST_RUN, most_errors=audio.BIT_ERRORS):
+    """Pairs of different recordings with a stretch of few enough wrong bits at any shift at all, the query from any start."""
+    prints, found = {i: audio.fingerprint(b) for i, b in rows}, set()
+    for q, sound in ((i, b) for i, b in rows if i in asks):
+        for x in (audio.fingerprint(sound[start:]) for start in audio.STARTS):
+            for i, y in prints.items():
+                if i == q or (q, i) in found or np.array_equal(y, prints[q]) or min(len(y), len(x)) < least_run:
+                    continue
+                wrong = np.bitwise_count(x[:, None] ^ y[None, :]).astype(np.int32)
+                sums = np.zeros((wrong.shape[0] + 1, wrong.shape[1] + 1), np.int32)
+                for k in range(len(wrong)):
+                    sums[k + 1, 1:] = sums[k, :-1] + wrong[k]
+                if (sums[least_run:, least_run:] - sums[:-least_run, :-least_run]).min() <= most_errors * 32 * least_run:
+                    found.add((q, i))
     return found
 
 
 def test_recall_over_a_table(spark):
     """Against brute force over all shifts of all pairs, the index finds at least nine of ten, and nothing else."""
     rows = [(r["doc_id"], r["text"].encode()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    texts = dict(rows)
     for k in range(12):  # copies with a few edits, cut at any byte
-        i, text = rows[50 * k]
+        text = texts[50 * k]
         rows.append((100_001 + k, b"lead-in %d " % k + text[7 * k:400] + b"edit" + text[400:]))
-    prints = {i: audio.fingerprint(b) for i, b in rows}
-    ask = {i for i in prints if i % 50 == 0}
-    want = brute_links(prints, ask)
-    membership, links = audio.align_recordings(audio.media_fingerprints(media(spark, rows), "doc_id", "recording", F.col("doc_id") % 50 == 0).cache())
-    of = {r["doc_id"]: r["class_id"] for r in membership.collect()}
-    got = {(r["class_id"], r["match_id"]) for r in links.collect()}
+    want = brute_links(rows, {i for i, _ in rows if i % 50 == 0})
+    links, of = align(spark, rows)
     want = {(of[q], of[i]) for q, i in want}
-    print("recall", len(want & got), len(want))
-    assert len(want) >= 8 and len(want & got) >= 0.9 * len(want) and got <= want
+    print("recall", len(want & links.keys()), len(want))
+    assert len(want) >= 8 and len(want & links.keys()) >= 0.9 * len(want) and links.keys() <= want
     found = queries.op10_audio_alignment(spark, "/root/testdata/sf0.01").collect()
-    assert {r["doc_id"] for r in found} == {i for i in ask if i < 100_000}
+    assert {r["doc_id"] for r in found} == {i for i in texts if i % 50 == 0}
 
 
 def test_odd_rows(spark):
@@ -116,68 +132,49 @@ def test_odd_rows(spark):
     assert audio.search_recordings(df.limit(0), "doc_id", "recording").collect() == []
 
 
-def brute_links_of_starts(rows, asks, least_run=audio.LEAST_RUN, most_errors=audio.BIT_ERRORS):
-    """As :func:`brute_links`, the query played from each of its starts."""
-    prints, found = {i: audio.fingerprint(b) for i, b in rows}, set()
-    for q, sound in ((i, b) for i, b in rows if i in asks):
-        for start in audio.STARTS:
-            found |= {(q, i) for _, i in brute_links(prints | {-1: audio.fingerprint(sound[start:])}, {-1}, least_run, most_errors) if i != q and not np.array_equal(prints[i], prints[q])}
-    return found
-
-
-def displaced(spark, step):
-    """Texts of one table, each asked for and each with a copy that is cut by another number of bytes."""
+def test_copies_displaced_by_any_number_of_bytes(spark):
+    """What lies between two hops of the query is found from the start that meets it."""
     texts = [r["text"].encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect() if r["text"] and 1500 <= len(r["text"]) <= 4000]
     rows = []
-    for k, text in enumerate(texts[:24 * step:step]):
+    for k, text in enumerate(texts[:72:3]):
         rows += [(50 * k + 50, text), (50 * k + 51, text[12 + k % 9:])]
-    return rows
-
-
-def test_copies_displaced_by_any_number_of_bytes(spark):
-    """What lies between two hops of the query is verified from the start that meets it."""
-    rows = displaced(spark, 3)
-    want = {(q, i) for q, i in brute_links_of_starts(rows, {i for i, _ in rows if i % 50 == 0}) if i == q + 1}
-    prints = audio.media_fingerprints(media(spark, rows), "doc_id", "recording", F.col("doc_id") % 50 == 0).cache()
-    got = {(r["class_id"], r["match_id"]) for r in audio.align_recordings(prints, every_start=True)[1].collect()}
-    before = {(r["class_id"], r["match_id"]) for r in audio.align_recordings(prints)[1].collect()}
-    print("displaced copies", len(want & got), "of", len(want), "from the first start", len(want & before))
-    assert len(want) >= 23 and len(want & got) >= 23
+    want = {(q, i) for q, i in brute_links(rows, {i for i, _ in rows if i % 50 == 0}) if i == q + 1}
+    links, _ = align(spark, rows)
+    print("displaced copies", len(want & links.keys()), "of", len(want))
+    assert len(want) >= 23 and len(want & links.keys()) >= 23
     found = {r["doc_id"]: r["links"] for r in audio.search_recordings(media(spark, rows), "doc_id", "recording").collect()}
     assert sum(n > 0 for n in found.values()) >= 23
 
 
-def test_every_pair_of_integers_is_indexed():
-    """Two recordings that share only one pair of integers have a common key."""
+def test_every_run_of_integers_is_indexed():
+    """Two segments that share three successive integers have a common key."""
     rng = np.random.default_rng(9)
-    a, b = rng.integers(0, 1 << 32, (2, 300), dtype=np.uint32)
-    for at in range(0, 298, 7):
+    a, b = rng.integers(0, 1 << 32, (2, 120), dtype=np.uint32)
+    assert len(audio.index_keys(a)) == 118 and not len(np.intersect1d(audio.index_keys(a), audio.index_keys(b)))
+    for at in range(0, 118, 7):
         c = b.copy()
-        c[at:at + 2] = a[at:at + 2]
-        assert len(np.intersect1d(audio.index_keys(a)[0], audio.index_keys(c)[0])) == 1
+        c[at:at + 3] = a[at:at + 3]
+        assert len(np.intersect1d(audio.index_keys(a), audio.index_keys(c))) == 1
 
 
-def test_every_shift_is_verified(spark):
-    """A qualifying stretch is found although another shift of the same pair has more equal pairs."""
+def test_every_shift_is_verified():
+    """A qualifying stretch is found although another shift of the same segments has more equal integers."""
     rng = np.random.default_rng(4)
-    a, b = rng.integers(0, 1 << 32, (2, 200), dtype=np.uint32)
-    b[20:28] = a[60:68]  # seven equal pairs, too short a stretch
+    a, b = rng.integers(0, 1 << 32, (2, 120), dtype=np.uint32)
+    b[20:28] = a[60:68]  # equal, too short a stretch
     b[100:116] = a[10:26]
     b[99], b[116] = ~a[9], ~a[26]
-    b[100:116:3] ^= np.uint32(1)  # five equal pairs, six wrong bits
-    rows = [(50, True, a.view(np.int32).tolist(), []), (51, False, b.view(np.int32).tolist(), [])]
-    prints = spark.createDataFrame(rows, "doc_id long, q boolean, prints array<int>, more array<array<int>>")
-    [r] = audio.align_recordings(prints)[1].collect()
-    assert (r["match_id"], r["shift"], r["start"], r["run"], r["votes"]) == (51, 90, 10, 16, 5) and abs(r["errors"] - 6 / 512) < 1e-12
+    b[100:104] ^= np.uint32(1)
+    b[110:116] ^= np.uint32(2)  # six equal integers, ten wrong bits
+    errors, start, windows, shift, votes = audio.aligned(a, b)
+    assert (start, windows, shift, votes) == (10, 1, 90, 6) and abs(errors - 10 / 512) < 1e-12
+    assert audio.offset_histogram(a, b)[-40] == 8
 
 
-def test_least_errors_is_brute_force():
+def test_window_errors_are_brute_force():
     rng = np.random.default_rng(6)
     for k, run in enumerate((1, 3, 13, 16, 20)):
         a, b = rng.integers(0, 4, 37 + k, dtype=np.uint32), rng.integers(0, 4, 29, dtype=np.uint32)
-        every = {(int(np.bitwise_count(a[i:i + run] ^ b[j:j + run]).sum()), j - i) for i in range(len(a) - run + 1) for j in range(len(b) - run + 1)}
-        least = min(every)[0]
-        for audio.CELLS in (40, 300, 1 << 22):
-            got, shifts = audio.least_errors(a, b, run)
-            assert got == least and set(shifts.tolist()) == {s for w, s in every if w == least}
-    assert len(audio.least_errors(a[:3], b, 16)[1]) == 0
+        got = audio.window_errors(a, b, run)
+        assert got.tolist() == [[int(np.bitwise_count(a[i:i + run] ^ b[j:j + run]).sum()) for j in range(len(b) - run + 1)] for i in range(len(a) - run + 1)]
+    assert audio.aligned(a[:3], b, 16) is None

@@ -20,10 +20,10 @@ FILTERS = [
 STEP = 0.08
 #: Integers of a matched stretch at least; share of wrong bits in it at most.
 LEAST_RUN, BIT_ERRORS = 16, 0.05
-#: Places among which the pair of least hash is indexed.
-SPARSE = 1
-#: Cells of the table of bit errors that is held at once.
-CELLS = 1 << 22
+#: Successive integers that make a key of the index.
+KEYED = 3
+#: Places of a segment. A recording is cut into segments so that every stretch of the least length lies in one of them.
+SEGMENT = 112
 #: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
 STARTS = (0, 8, 16, 24)
 
@@ -144,198 +144,175 @@ def fingerprints_of(many: list[bytes | None]) -> list[np.ndarray]:
     return out
 
 
-def media_fingerprints(media: DataFrame, id_col: str, data: Column | str, is_query: Column | None = None) -> DataFrame:
-    """``doc_id``, ``q`` (whether it is a query), ``prints`` (array of int; empty for null or empty recordings) and
-    ``more`` (a query's integers from the other ``STARTS``) of every row."""
+def segments_of(prints: np.ndarray, least_run: int) -> list[tuple[int, np.ndarray]]:
+    """(first place, integers): parts of up to ``SEGMENT + least_run - 1`` integers; a stretch of ``least_run`` that starts at
+    place i lies in part i // ``SEGMENT``, and in no other from its first integer on."""
+    return [(i, prints[i:i + SEGMENT + least_run - 1]) for i in range(0, max(1, len(prints) - least_run + 1), SEGMENT)]
+
+
+def media_segments(media: DataFrame, id_col: str, data: Column | str, is_query: Column | None = None, least_run: int = LEAST_RUN) -> DataFrame:
+    """The fingerprint of every row, cut into segments.
+
+    ``doc_id``, ``q`` (whether the row is a query), ``c1`` and ``n`` (hash and number of its integers: its class), ``start`` (0, and
+    for queries each other place of ``STARTS``), ``place`` (of the segment's first integer) and ``prints`` (32-bit integers, little
+    endian). A row of start 0 and place 0 stands for each recording, however short.
+    """
     def run(batches):
         import pyarrow as pa
-
-        def lists(many):
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in many])]).astype(np.int32)
-            flat = np.concatenate([*many, np.zeros(0, np.uint32)]).astype(np.uint32).view(np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        import xxhash
 
         for batch in batches:
             sound, asked = batch.column(2).to_pylist(), batch.column(1).to_pylist()
-            later = [[samples_of(x)[k:].tobytes() for k in STARTS[1:]] if q else [] for x, q in zip(sound, asked)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in later])]).astype(np.int32)
-            more = pa.ListArray.from_arrays(pa.array(ends), lists(fingerprints_of([y for x in later for y in x])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(fingerprints_of(sound)), more], names=["doc_id", "q", "prints", "more"])
+            whole = fingerprints_of(sound)
+            asking = [k for k, q in enumerate(asked) if q]
+            later = fingerprints_of([samples_of(sound[k])[s:].tobytes() for k in asking for s in STARTS[1:]])
+            all_of = [(k, 0, p) for k, p in enumerate(whole)] + [(k, s, p) for (k, s), p in zip([(k, s) for k in asking for s in STARTS[1:]], later)]
+            rows = []
+            for k, start, prints in all_of:
+                digest = xxhash.xxh3_64_intdigest(whole[k].tobytes())
+                c1 = digest - (1 << 64) if digest >> 63 else digest
+                rows += [(k, c1, len(whole[k]), start, place, part.astype("<u4").tobytes()) for place, part in segments_of(prints, least_run) if not start or len(prints) >= least_run]
+            at, *cols = zip(*rows)
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["doc_id", "q", "c1", "n", "start", "place", "prints"])
 
     data = F.col(data) if isinstance(data, str) else data
     asks = F.lit(False) if is_query is None else F.coalesce(is_query, F.lit(False))
-    return map_batches(media.select(F.col(id_col).cast("long").alias("doc_id"), asks.alias("q"), data.cast("binary").alias("data")), run, "doc_id long, q boolean, prints array<int>, more array<array<int>>")
-
-
-def pairs_of(prints: np.ndarray) -> np.ndarray:
-    """Each two successive integers as one."""
-    p = prints.astype(np.uint64)
-    return (p[:-1] << np.uint64(32)) | p[1:]
+    given = media.select(F.col(id_col).cast("long").alias("doc_id"), asks.alias("q"), data.cast("binary").alias("data"))
+    return map_batches(given, run, "doc_id long, q boolean, c1 long, n int, start int, place int, prints binary")
 
 
-def index_keys(prints: np.ndarray, sparse: int = SPARSE) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, places): of any ``sparse`` successive pairs of integers that of least hash, each key at its first place only."""
-    if len(prints) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = pairs_of(prints)
-    h = pairs * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(29)
-    w = min(sparse, len(h))
-    places = np.unique(np.lib.stride_tricks.sliding_window_view(h, w).argmin(axis=1) + np.arange(len(h) - w + 1))
-    key, first = np.unique(pairs[places], return_index=True)
-    return key.view(np.int64), places[first]
+def index_keys(prints: np.ndarray, keyed: int = KEYED) -> np.ndarray:
+    """The distinct hashes of each ``keyed`` successive integers."""
+    n = len(prints) - keyed + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    h = np.zeros(n, np.uint64)
+    for k in range(keyed):
+        h = (h ^ prints[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return np.unique(h).view(np.int64)
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.bitwise_count(a ^ b).mean() / 32) if len(a) else 1.0
 
 
-def stretch(a: np.ndarray, b: np.ndarray, shift: int, least_run: int, most_errors: float) -> tuple[float, int, int] | None:
-    """(errors, start, run) where ``a`` at some place is like ``b`` ``shift`` places further; None where nothing is.
-
-    ``errors`` is that of the best window of ``least_run`` integers, ``start`` the first place of a window
-    with ``most_errors`` or less, ``run`` the number of integers in such windows.
-    """
-    first, last = max(0, -shift), min(len(a), len(b) - shift)
-    if last - first < least_run:
-        return None
-    wrong = np.concatenate([[0], np.cumsum(np.bitwise_count(a[first:last] ^ b[first + shift:last + shift]), dtype=np.int64)])
-    windows = (wrong[least_run:] - wrong[:-least_run]) / (32 * least_run)
-    good = np.flatnonzero(windows <= most_errors)
-    if not len(good):
-        return None
-    run = least_run + int(np.minimum(np.diff(good), least_run).sum())
-    return float(windows.min()), first + int(good[0]), run
-
-
-def least_errors(a: np.ndarray, b: np.ndarray, least_run: int) -> tuple[int, np.ndarray]:
-    """Wrong bits of the best window of ``least_run`` integers over all places of both, and the shifts that have it."""
+def window_errors(a: np.ndarray, b: np.ndarray, least_run: int) -> np.ndarray:
+    """Wrong bits of ``least_run`` integers of ``a`` from place i on against as many of ``b`` from place j on, for all i and j."""
     rows, cols = len(a) - least_run + 1, len(b) - least_run + 1
-    if rows < 1 or cols < 1:
-        return 33 * least_run, np.zeros(0, np.int64)
-    best, shifts = 33 * least_run, []
-    block = max(1, CELLS // len(b))
-    for i in range(0, rows, block):
-        part = a[i:min(i + block, rows) + least_run - 1]
-        span, size, total, at = np.bitwise_count(part[:, None] ^ b[None, :]).astype(np.uint16 if least_run < 2048 else np.uint32), 1, None, 0
-        left = least_run
-        while left:  # spans of 1, 2, 4, ... integers along the diagonals; those in least_run add up
-            if left & 1:
-                x = span[at:, at:]
-                n, m = min(i + block, rows) - i, cols
-                total = x[:n, :m].copy() if total is None else total + x[:n, :m]
-                at += size
-            left >>= 1
-            if left:
-                span = span[:-size, :-size] + span[size:, size:]
-                size *= 2
-        least = int(total.min())
-        if least < best:
-            best, shifts = least, []
-        if least == best:
-            y, x = np.nonzero(total == best)
-            shifts.append(np.unique(x - y - i))
-    return best, np.unique(np.concatenate(shifts))
-
-
-def aligned(starts: list[np.ndarray], b: np.ndarray, least_run: int, most_errors: float) -> tuple[float, int, int, int, int] | None:
-    """(errors, start, run, shift, votes) of the best shift of all, with any of the query's ``starts``; None where nothing aligns.
-
-    ``votes`` are the pairs of successive integers that are equal at that shift.
+    span, size, total, at, left = np.bitwise_count(a[:, None] ^ b[None, :]).astype(np.uint16 if least_run < 2048 else np.uint32), 1, None, 0, least_run
+    while left:  # spans of 1, 2, 4, ... integers along the diagonals; those in least_run add up
+        if left & 1:
+            x = span[at:at + rows, at:at + cols]
+            total = x.copy() if total is None else total + x
+            at += size
+        left >>= 1
+        if left:
+            span = span[:-size, :-size] + span[size:, size:]
+            size *= 2
+    return total
+
+
+def offset_histogram(a: np.ndarray, b: np.ndarray) -> dict[int, int]:
+    """Equal integers of both by shift (place in ``b`` minus place in ``a``)."""
+    i, j = np.nonzero(a[:, None] == b[None, :])
+    shifts, votes = np.unique(j - i, return_counts=True)
+    return dict(zip(shifts.tolist(), votes.tolist()))
+
+
+def aligned(a: np.ndarray, b: np.ndarray, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS) -> tuple[float, int, int, int, int] | None:
+    """(errors, start, windows, shift, votes) of the best shift of two segments; None where none aligns.
+
+    Bit errors are taken at every shift. ``errors`` is the share of wrong bits in the best window of ``least_run`` integers; of
+    the shifts that have it the one with most votes in the offset histogram is the best, then the least. ``start`` is the first
+    place in ``a`` of a window with ``most_errors`` or less there, ``windows`` the number of such windows.
     """
-    found = []
-    for a in starts:
-        wrong, shifts = least_errors(a, b, least_run)
-        if wrong / (32 * least_run) <= most_errors:
-            found.append((wrong, shifts, a))
-    least = min((f[0] for f in found), default=None)
-    best = min(((*f, int(s), k) for k, (wrong, shifts, a) in enumerate(found) if wrong == least for s in shifts if (f := stretch(a, b, int(s), least_run, most_errors))), default=None)
-    if best is None:
+    if min(len(a), len(b)) < least_run:
+        return None
+    wrong = window_errors(a, b, least_run)
+    least = int(wrong.min())
+    if least > most_errors * 32 * least_run:
         return None
-    a, shift = found[best[4]][2], best[3]
-    first, last = max(0, -shift), min(len(a), len(b) - shift)
-    votes = int((pairs_of(a[first:last]) == pairs_of(b[first + shift:last + shift])).sum())
-    return (*best[:4], votes)
-
-
-def align_recordings(prints: DataFrame, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS, every_start: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(membership, links) of recordings as :func:`media_fingerprints` gives them.
-
-    Membership: ``doc_id``, ``class_id`` (least id with the same integers), ``n`` and ``q`` of every row. Links:
-    for each class with a query and each other class that aligns with it: ``class_id``, ``match_id``, ``shift``
-    (place in the match minus place in the query), ``start`` and ``run`` (see :func:`stretch`), ``votes`` (see :func:`aligned`) and ``errors``.
-
-    All pairs of successive integers are the index, of every recording: any two equal integers
-    in a row are a common one (with ``SPARSE`` over 1 only any ``SPARSE`` + 1). A stretch whose wrong bits leave
-    no two equal integers in a row is not nominated. Two classes with
-    an equal key, from any of the query's ``STARTS``, are compared at every shift: they align if a stretch of
-    ``least_run`` integers has ``most_errors`` wrong bits or less. With ``every_start`` the query's integers
-    from each of its ``STARTS`` are compared so (``start`` is then a place among those of the best), else
-    only those from its first sample. Classes stand for any number of copies, so equal
-    recordings are never paired. Shorter recordings are members but have no links.
+    i, j = np.nonzero(wrong == least)
+    votes = offset_histogram(a, b)
+    shift = min(np.unique(j - i).tolist(), key=lambda s: (-votes.get(s, 0), s))
+    good = np.flatnonzero(np.diagonal(wrong, shift) <= most_errors * 32 * least_run)
+    return least / (32 * least_run), int(good[0]) + max(0, -shift), len(good), shift, votes.get(shift, 0)
+
+
+def align_recordings(segments: DataFrame, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS) -> tuple[DataFrame, DataFrame]:
+    """(membership, links) of recordings as :func:`media_segments` gives them.
+
+    A class is all recordings of equal integers, named by their hash and number (``c1``, ``n``), so recordings that share an id stay
+    apart. Membership: ``doc_id``, ``q``, ``c1``, ``n`` of every row. Links: for each class with a query and each other class that
+    aligns with it: ``c1``, ``n``, ``m1``, ``mn`` (the other class), ``shift`` (place in the match minus place in the query), ``start``
+    (first place in the query), ``run`` (windows at that shift plus ``least_run`` - 1), ``votes`` and ``errors`` (see :func:`aligned`).
+
+    The index holds every ``KEYED`` successive integers of every recording: two segments with ``KEYED`` equal integers in a row
+    have a common key, and such segments are compared at every shift, the query played from each of its ``STARTS``. A stretch
+    whose wrong bits leave no ``KEYED`` equal integers in a row in its segments is not nominated. Classes stand for any number of
+    copies, so equal recordings are never paired. Recordings under ``least_run`` integers are members without links.
+    Only keys, segment numbers and the segments of nominated pairs are moved, none longer than ``SEGMENT`` + ``least_run`` - 1.
     """
-    members = prints.select("doc_id", F.xxhash64("prints").alias("h"), F.size("prints").alias("n"), "q")
-    classes = cut(members.groupBy("h", "n").agg(F.min("doc_id").alias("class_id"), F.max("q").alias("q"), F.min(F.when(F.col("q"), F.col("doc_id"))).alias("asker")))
-    membership = members.join(classes.select(F.col("h").alias("_h"), F.col("n").alias("_n"), "class_id"), (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n"))).select("doc_id", "class_id", "n", "q")
-    long = classes.filter(F.col("n") >= least_run)
-
-    def stands(which: str, kept: list[str]) -> DataFrame:
-        """One row for each class: that of its ``which``."""
-        chosen = long.filter(F.col(which).isNotNull()).select(F.col(which).alias("_c"), F.col("class_id").alias("id"))
-        return prints.join(chosen, F.col("doc_id") == F.col("_c")).select("id", *kept).dropDuplicates(["id"])
+    membership = segments.filter("start = 0 and place = 0").select("doc_id", "q", "c1", "n")
+    long = segments.filter(F.col("n") >= least_run)
+    # One segment of each class and place; of queries every start, whose last integers may differ between members.
+    index = long.filter("start = 0").dropDuplicates(["c1", "n", "place"]).select(F.xxhash64("c1", "n", "place").alias("y"), "c1", "n", "place", "prints")
+    asked = long.filter("q").dropDuplicates(["c1", "n", "start", "place", "prints"]).select(F.xxhash64("c1", "n", "start", "place", "prints").alias("x"), "c1", "n", "start", "place", "prints")
 
     def keyed(batches):
         import pyarrow as pa
 
         for batch in batches:
-            ids, keys = [], []
-            for i, many in zip(*(c.to_pylist() for c in batch.columns)):
-                k = np.unique(np.concatenate([index_keys(np.array(p, np.int32).view(np.uint32))[0] for p in many]))
-                ids.append(np.full(len(k), i, np.int64))
-                keys.append(k)
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys))], names=["id", "key"])
-
-    leaders, askers = stands("class_id", ["prints"]), stands("asker", ["prints", "more"])
-    keys = map_batches(leaders.select("id", F.array("prints").alias("many")), keyed, "id long, key long")
-    asking = askers.select("id", F.concat(F.array("prints"), "more").alias("many"))
-    asked = map_batches(asking, keyed, "id long, key long")
-    asked = asked.select(F.col("id").alias("qid"), F.col("key").alias("qkey"))
-    hits = asked.join(keys, (F.col("qkey") == F.col("key")) & (F.col("qid") != F.col("id")))
-    pairs = hits.select("qid", "id").distinct()
-    sides = pairs.join(asking.select(F.col("id").alias("_a"), F.col("many").alias("x")), F.col("qid") == F.col("_a")).join(leaders.select(F.col("id").alias("_b"), F.col("prints").alias("y")), F.col("id") == F.col("_b"))
+            many = [index_keys(np.frombuffer(p, "<u4")) for p in batch.column(1).to_pylist()]
+            at = np.repeat(np.arange(len(many)), [len(k) for k in many])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate(many))], names=["id", "key"])
+
+    keys = map_batches(index.select("y", "prints"), keyed, "id long, key long").select(F.col("id").alias("y"), F.col("key").alias("ykey"))
+    asks = map_batches(asked.select("x", "prints"), keyed, "id long, key long").select(F.col("id").alias("x"), F.col("key").alias("xkey"))
+    pairs = asks.join(keys, F.col("xkey") == F.col("ykey")).select("x", "y").distinct()
+    sides = pairs.join(asked.select(F.col("x").alias("_x"), "c1", "n", F.col("start").alias("k"), F.col("place").alias("xplace"), F.col("prints").alias("xprints")), F.col("x") == F.col("_x")).select("y", "c1", "n", "k", "xplace", "xprints")
+    sides = sides.join(index.select(F.col("y").alias("_y"), F.col("c1").alias("m1"), F.col("n").alias("mn"), F.col("place").alias("yplace"), F.col("prints").alias("yprints")), F.col("y") == F.col("_y"))
+    sides = sides.filter((F.col("c1") != F.col("m1")) | (F.col("n") != F.col("mn"))).select("c1", "n", "m1", "mn", "k", "xplace", "yplace", "xprints", "yprints")
 
     def verified(batches):
         import pyarrow as pa
 
         for batch in batches:
-            rows = []
-            for q, i, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                starts = [np.array(p, np.int32).view(np.uint32) for p in (x if every_start else x[:1])]
-                if found := aligned(starts, np.array(y, np.int32).view(np.uint32), least_run, most_errors):
-                    wrong, start, run, shift, votes = found
-                    rows.append((q, i, shift, start, run, votes, wrong))
-            cols = [*zip(*rows)] or [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 6 else pa.float64()) for k, c in enumerate(cols)], names=["class_id", "match_id", "shift", "start", "run", "votes", "errors"])
+            at, rows = [], []
+            for k, (xplace, yplace, x, y) in enumerate(zip(*(c.to_pylist() for c in batch.columns[5:]))):
+                if found := aligned(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least_run, most_errors):
+                    wrong, start, windows, shift, votes = found
+                    at.append(k)
+                    rows.append((shift + yplace - xplace, start + xplace, windows, votes, wrong))
+            cols = [*zip(*rows)] or [()] * 5
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:5]), *(pa.array(c, pa.int64() if k < 4 else pa.float64()) for k, c in enumerate(cols))], names=["c1", "n", "m1", "mn", "k", "shift", "start", "windows", "votes", "errors"])
 
-    links = map_batches(sides.select("qid", "id", "x", "y"), verified, "class_id long, match_id long, shift long, start long, run long, votes long, errors double")
-    return membership, links
+    found = map_batches(sides, verified, "c1 long, n int, m1 long, mn int, k int, shift long, start long, windows long, votes long, errors double")
+    by_shift = found.groupBy("c1", "n", "m1", "mn", "k", "shift").agg(F.min("errors").alias("errors"), F.sum("windows").alias("windows"), F.min("start").alias("start"), F.max("votes").alias("votes"))
+    best = by_shift.groupBy("c1", "n", "m1", "mn").agg(F.min(F.struct("errors", (-F.col("windows")).alias("w"), "shift", "start", "votes")).alias("b"))
+    return membership, best.select("c1", "n", "m1", "mn", "b.shift", "b.start", (F.lit(least_run - 1) - F.col("b.w")).alias("run"), "b.votes", "b.errors")
 
 
 def search_recordings(media: DataFrame, id_col: str, data: Column | str, every: int = 50, least_run: int = LEAST_RUN, most_errors: float = BIT_ERRORS) -> DataFrame:
     """One row for each recording whose id is divisible by ``every``, searched against all recordings.
 
-    Returns ``doc_id``, ``n_prints``, ``class_id``, ``copies`` (other rows with the same integers),
-    ``links`` (other classes that align) and the best of them: ``match_id``, ``shift``, ``run``,
-    ``errors`` (most votes, then longest, then least id; null without links). Null and empty
-    recordings have no integers: they form one class without links. Rows with a null id are no
-    queries and not searched for. Repeated rows each count. An empty table gives no rows.
+    Returns ``doc_id``, ``n_prints``, ``class_id`` (least id of the recordings with the same integers), ``copies`` (other rows
+    with the same integers), ``links`` (other classes that align) and the best of them: ``match_id`` (its least id), ``shift``,
+    ``run``, ``errors`` (longest run, then fewest errors, then least id; null without links).
+
+    Null and empty recordings have no integers: they form one class without links. Rows with a null id are no queries; they are
+    not searched for. Rows of one id with different recordings are different classes and each give their rows; repeated rows each
+    count. Ties go to the least id. Recordings of any length are read whole and compared in segments. An empty table gives no
+    rows; other columns, whatever their names, are ignored.
     """
-    prints = stored(media_fingerprints(media.filter(F.col(id_col).isNotNull()), id_col, data, F.col(id_col) % every == 0))
-    membership, links = align_recordings(prints, least_run, most_errors, every_start=True)
-    sizes = membership.groupBy("class_id").agg((F.count("*") - 1).alias("copies")).withColumnRenamed("class_id", "_s")
-    best = links.groupBy("class_id").agg(F.count("*").alias("links"), F.max(F.struct("votes", "run", (-F.col("match_id")).alias("m"), "shift", "errors")).alias("b")).withColumnRenamed("class_id", "_l")
-    return membership.filter("q").join(sizes, F.col("class_id") == F.col("_s")).join(best, F.col("class_id") == F.col("_l"), "left") \
-        .select("doc_id", F.col("n").cast("long").alias("n_prints"), "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), (-F.col("b.m")).alias("match_id"), "b.shift", "b.run", "b.errors")
+    given = media.filter(F.col(id_col).isNotNull())
+    segments = stored(media_segments(given, id_col, data, F.col(id_col) % every == 0, least_run))
+    membership, links = align_recordings(segments, least_run, most_errors)
+    classes = cut(membership.groupBy("c1", "n").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size")))
+    of = classes.select(F.col("c1").alias("_c1"), F.col("n").alias("_n"), "class_id", "size")
+    named = links.join(classes.select(F.col("c1").alias("m1"), F.col("n").alias("mn"), F.col("class_id").alias("match_id")), ["m1", "mn"])
+    best = named.groupBy(F.col("c1").alias("_l1"), F.col("n").alias("_ln")).agg(F.count("*").alias("links"), F.min(F.struct((-F.col("run")).alias("r"), "errors", "match_id", "shift")).alias("b"))
+    rows = membership.filter("q").join(of, (F.col("c1") == F.col("_c1")) & (F.col("n") == F.col("_n"))).join(best, (F.col("c1") == F.col("_l1")) & (F.col("n") == F.col("_ln")), "left")
+    return rows.select("doc_id", F.col("n").cast("long").alias("n_prints"), "class_id", (F.col("size") - 1).alias("copies"), F.coalesce("links", F.lit(0)).alias("links"), "b.match_id", "b.shift", (-F.col("b.r")).alias("run"), "b.errors")

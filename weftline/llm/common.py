@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
@@ -16,25 +18,30 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
 
 #: Rows in an Arrow batch handed to Python. Bounds a worker's memory to this many texts at a time.
 ARROW_ROWS = 512
-#: Bytes in an Arrow batch, for tables of very long texts.
-ARROW_BYTES = 16 << 20
 
 
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back, so that lineage ends here.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests on one
-    machine) a temporary folder is used. The files outlive executors.
+    The files outlive executors; Spark removes them with the result where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where checkpoints go; the session's setting is used as it is, and one is made only without it."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Where it is unset, a session whose driver and tasks are one process (``local[...]``, as in tests) gets a
+    temporary folder; on a cluster that would be machine-local, so there this raises.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="weftline-"))
     return sc.getCheckpointDir()
 
 
@@ -55,11 +62,20 @@ def with_results(fields: list[T.StructField], *results: tuple[str, T.DataType])
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator], Iterator], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with batches bounded in rows and bytes."""
-    conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    return df.mapInArrow(function, schema)
+    """``mapInArrow``, ``function`` being given at most ``ARROW_ROWS`` rows at a time.
+
+    Spark bounds its own batches by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``); the session's settings stay as they are.
+    """
+    def run(batches):
+        return function(part for batch in batches for part in slices(batch))
+
+    return df.mapInArrow(run, schema)
+
+
+def slices(batch) -> Iterator:
+    """A record batch in parts of at most ``ARROW_ROWS`` rows."""
+    for i in range(0, batch.num_rows, ARROW_ROWS):
+        yield batch.slice(i, ARROW_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,9 +124,18 @@ def unpack(z: bytes) -> bytes:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` as Parquet in the shared checkpoint folder: for larger tables than :func:`cut` is meant for."""
-    import uuid
-
+    """``df`` as Parquet in the shared checkpoint folder: for larger tables than :func:`cut` is meant for. See :func:`discard`."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that :func:`stored` returned, where nothing reads it any more."""
+    spark = df.sparkSession
+    root = shared_folder(spark)
+    folders = {path.rpartition("/")[0] for path in df.inputFiles()}
+    for folder in folders:
+        if folder.rpartition("/")[0].split(":")[-1].lstrip("/") == root.split(":")[-1].lstrip("/"):
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

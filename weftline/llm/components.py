@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import discard, stored
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -15,11 +15,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     the smaller ones; both keep the components and never add edges, and rounds grow with the
     logarithm of the largest component. A step is an aggregation (a minimum, combined before the
     shuffle) and an equi-join, so a hub's neighbours never meet in one task as a list, and nothing
-    but a count reaches the driver. Each round is written to the checkpoint folder. Self-links and
-    repeated edges are allowed; no edges give no rows.
+    but a count reaches the driver. Each round is written to the checkpoint folder, and the round
+    before it is deleted. It ends when a round leaves the set of edges as it was. Self-links and
+    repeated edges are allowed; null ends belong to no edge; no edges give no rows.
     """
-    live = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
+    live = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(max_rounds):
         both = live.select("u", "v").unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
@@ -27,11 +27,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
         joined = large.join(low, F.col("u") == F.col("c"))
         small = joined.select("v", "m").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct()
-        live = cut(small)
-        state = live.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1000003).alias("h")).first()
-        if state == seen:
+        before, live = live, stored(small)
+        settled = live.count() == before.count() and live.join(before, ["u", "v"], "left_anti").isEmpty()
+        discard(before)
+        if settled:
             break
-        seen = state
     else:
         raise RuntimeError("components did not settle")
     return live.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(live.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

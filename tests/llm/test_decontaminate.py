@@ -57,22 +57,57 @@ def test_against_brute_force(spark):
         assert 0 <= r["first_word"] <= r["end_word"]
 
 
-def test_blocks_of_items(spark, monkeypatch):
+def test_full_table_of_keys(spark, monkeypatch):
+    """A table so small that nearly all its bits are set lets windows through and changes nothing."""
     items = spark.createDataFrame([(k, prose(300 + k, 20)) for k in range(9)], "item_id long, text string")
     df = docs(spark, [(k, prose(300 + k, 20), "en", "a", 1) for k in range(12)])
     whole = {tuple(r) for r in decontaminate.benchmark_matches(df, items).collect()}
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
+    monkeypatch.setattr(decontaminate, "SLOT_BITS", 15)
     assert whole == {tuple(r) for r in decontaminate.benchmark_matches(df, items).collect()} and len(whole) == 9
     assert sorted(r["doc_id"] for r in decontaminate.decontaminate(df, items).collect()) == [9, 10, 11]
 
 
-def test_cgk_walks_keep_near_texts_near():
-    """Embeddings of texts within few edits agree in far more places than those of others."""
-    walk = decontaminate.CGK(40, sampled=20)
-    code = [decontaminate.code(w) for w in prose(1, 40).split()]
-    near, far = code[:10] + code[11:] + [5], [decontaminate.code(w) for w in prose(2, 40).split()]
-    agree = lambda a, b: np.mean([x == y for r in range(28) for x, y in zip(walk.samples(a, r), walk.samples(b, r))])
-    assert agree(code, code) == 1 and agree(code, near) > 0.5 > 0.35 > agree(code, far)
+def test_walks_keep_near_texts_near():
+    """Embeddings of texts within few edits agree in far more steps than those of others."""
+    def walks(words):
+        codes, _ = decontaminate.Words().concatenated([words])
+        return np.concatenate([decontaminate.embedding(codes, np.zeros(1, np.int64), w, 60)[:, 0] for w in range(20)])
+
+    words = prose(1, 60).split()
+    near, far = words[:10] + words[11:] + ["end"], prose(2, 60).split()
+    agree = lambda a, b: np.mean(walks(a) == walks(b))
+    assert agree(words, words) == 1 and agree(words, near) > 0.5 > 0.1 > agree(words, far)
+
+
+def test_edit_distance():
+    """Against the whole table of distances, in edits and in place."""
+    rng = random.Random(3)
+    for _ in range(300):
+        item, window = ([rng.choice("abc") for _ in range(rng.randrange(1, k))] for k in (9, 14))
+        row = [(0, j) for j in range(len(window) + 1)]
+        for i, x in enumerate(item, 1):
+            new = [(i, 0)]
+            for j, y in enumerate(window, 1):
+                new.append(min((row[j - 1][0] + (x != y), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[j - 1][0] + 1, new[j - 1][1])))
+            row = new
+        edits, end = min((c, j) for j, (c, _) in enumerate(row))
+        assert decontaminate.best_alignment(item, window) == (edits, row[end][1], end)
+
+
+def test_recall_of_items_of_every_size(spark):
+    """Against brute force; passages of up to the allowed edits, those of none are all found."""
+    rng = random.Random(12)
+    items = [(n, prose(500 + n, n)) for n in (1, 2, 3, 5, 7, 8, 13, 16, 24, 40, 63, 64, 100)]
+    rows = []
+    for i in range(390):
+        n, text = items[i % len(items)]
+        rows.append((i, f"{prose(i, rng.randrange(30))} {edited(text, rng.randrange(int(0.2 * n + 1e-9) + 1), rng) if i % 2 else text} {prose(i + 999, rng.randrange(30))}"))
+    found = decontaminate.benchmark_matches(docs(spark, [(i, t, "en", "a", 1) for i, t in rows]), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    want = {(i, n): e for i, t in rows for n, x in items if (e := brute(t, x)) is not None}
+    print("recall", len(got), len(want))
+    assert got <= want.keys() and len(got) >= 0.95 * len(want)
+    assert got >= {k for k, e in want.items() if e == 0}
 
 
 def test_query_finds_every_passage(spark):

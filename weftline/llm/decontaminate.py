@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, map_batches, with_results
+from .common import fresh, map_batches, row_hash, stored
 
 #: Edit similarity over words: 1 - edits / words of the item.
 SIMILARITY = 0.8
-#: Embeddings per window, and sampled positions that must agree in one of them. A pair whose
-#: embeddings differ in half of all positions is kept with probability 1 - (1 - 1/4) ** 28 > 0.9996.
-REPEATS, SAMPLED = 28, 2
-#: Benchmark items (and bytes of them) that one pass over the documents holds in memory.
-BLOCK_ITEMS, BLOCK_BYTES = 20_000, 8 << 20
+#: Random walks (embeddings) of a window, samples taken of each, and steps of a walk in a sample.
+WALKS, SAMPLES, SAMPLED = 2, 16, 5
+#: Windows of a text start at every so many'th part of the least size of their class; steps of a walk for each word of that size
+#: (one for each word in classes under ``SMALL``, whose walks mustn't leave the item).
+STRIDES, REACH, SMALL = 2.5, 1.5, 8
+#: The table that tells which keys items have: two of 2 ** ``SLOT_BITS`` bits are set for each key. 8 MB, whatever the benchmark's size.
+SLOT_BITS = 26
+#: Distinct words that a worker remembers.
+KEPT_WORDS = 2_000_000
 WORD = re.compile(r"[^\W_]+")
-_M = (1 << 64) - 1
+_GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -27,216 +31,266 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def _mix(x: int) -> int:
-    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _M
-    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _M
-    return x ^ (x >> 31)
-
-
 def code(word: str) -> int:
-    """64 bits of a word, the same in every process."""
+    """64 bits of a word, the same in every process; 0 stands for a blank."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(word)
+    return xxhash.xxh64_intdigest(word) | 1
+
+
+def _scatter(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _MIX
+    return x ^ (x >> np.uint64(29))
+
+
+def class_of(n: int) -> int:
+    """The size class of an item of ``n`` words: the power of two not above it."""
+    return 1 << (n.bit_length() - 1)
+
+
+def stride_of(least: int) -> int:
+    return 1 if least < SMALL else round(least / STRIDES)
+
 
+def sampled_steps(least: int, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
+    """Of a class: (walks, samples, steps), at which different steps a walk is sampled; and an odd factor for each."""
+    rng = np.random.default_rng(seed + least)
+    reach = least if least < SMALL else int(REACH * least)
+    steps = np.array([[np.sort(rng.permutation(reach)[:SAMPLED]) for _ in range(SAMPLES)] for _ in range(WALKS)])
+    return steps, rng.integers(0, 1 << 63, steps.shape, np.uint64) * np.uint64(2) + np.uint64(1)
 
-class CGK:
-    """Random walks that map edit distance to Hamming distance (Chakraborty, Goldenberg, Koucky).
 
-    Walk r reads word x[i] at step j, writes it, and moves on if bit r of a hash of (j, x[i]) is
-    set; past the end it writes blanks. The walk has 3 n steps. ``samples`` gives what stands at
-    each walk's sampled positions.
+def embedding(codes: np.ndarray, starts: np.ndarray, walk: int, steps: int) -> np.ndarray:
+    """(steps, windows): what the random walk (Chakraborty, Goldenberg, Koucky) writes from each of ``starts``.
+
+    At step j it writes the word it stands on and moves on if bit j of that word's hash for the walk is set. A 0 among ``codes``
+    ends a text: the walk stays there and writes blanks. Texts within few edits are written alike in most steps, for once
+    both walks stand on the same word of a common part they go together.
     """
+    out, at, one = np.empty((steps, len(starts)), np.uint64), starts.copy(), np.uint64(1)
+    for j in range(steps):
+        if j % 64 == 0:
+            bits = _scatter(codes + _GOLD * np.full(1, 1 + walk + 64 * j, np.uint64))
+            bits[codes == 0] = 0
+        np.take(codes, at, out=out[j])
+        at += ((bits[at] >> np.uint64(j % 64)) & one).view(np.int64)
+    return out
+
+
+def window_keys(codes: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
+    """(keys, windows): a key for each sample of each walk; two windows meet if they agree in all steps of a sample. 0 for samples of blanks only."""
+    keys = np.empty((WALKS * SAMPLES, len(starts)), np.uint64)
+    part = np.empty(len(starts), np.uint64)
+    for walk, (samples, factors) in enumerate(zip(*sampled_steps(least))):
+        written = embedding(codes, starts, walk, int(samples.max()) + 1)
+        for k, (steps, odd) in enumerate(zip(samples, factors)):
+            h = keys[walk * SAMPLES + k]
+            np.multiply(written[steps[0]], odd[0], out=h)
+            for step, factor in zip(steps[1:], odd[1:]):
+                h += np.multiply(written[step], factor, out=part)
+    return _scatter(keys)
+
+
+def slots_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places in the table for each key."""
+    return keys >> np.uint64(64 - SLOT_BITS), (keys >> np.uint64(64 - 2 * SLOT_BITS)) & np.uint64((1 << SLOT_BITS) - 1)
+
+
+class Words(dict):
+    """Numbers of words in order of appearance; ``codes`` has theirs. It forgets all when it has grown too large."""
+
+    def __init__(self):
+        self.codes: list[int] = [0]
 
-    def __init__(self, n: int, repeats: int = REPEATS, sampled: int = SAMPLED, seed: int = 17):
-        rng = np.random.default_rng(seed + n)
-        self.places = [sorted(rng.integers(0, 3 * n, sampled).tolist()) for _ in range(repeats)]
-        self.salt = [_mix(seed * 1_000_003 + j) for j in range(3 * n)]
-
-    def samples(self, codes: list[int], r: int) -> tuple:
-        i, n, out, salt = 0, len(codes), [], self.salt
-        places = self.places[r]
-        k = 0
-        for j in range(places[-1] + 1):
-            x = codes[i] if i < n else 0
-            while k < len(places) and places[k] == j:
-                out.append(x)
-                k += 1
-            if i < n:
-                i += (_mix(x ^ salt[j]) >> r) & 1
-        return tuple(out)
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self.codes)
+        self.codes.append(code(word))
+        return n
+
+    def concatenated(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, first places): all lists one after the other, a 0 after each."""
+        if len(self) > KEPT_WORDS:
+            self.clear()
+            self.codes = [0]
+        sizes = np.array([len(w) for w in lists], np.int64)
+        firsts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+        number = np.zeros(int(sizes.sum()) + len(lists), np.int32)
+        for words, at in zip(lists, firsts.tolist()):
+            number[at:at + len(words)] = list(map(self.__getitem__, words))
+        return np.array(self.codes, np.uint64)[number], firsts
+
+
+def edit_scores(item: list, text: list, anchored: bool) -> list[int]:
+    """Edits from ``item`` to the best part of ``text`` that ends before each place; ``anchored`` parts begin where the text does.
+
+    A column of the table of edit distances is kept as two integers of a bit for each word (Myers).
+    """
+    m, at = len(item), {}
+    for i, w in enumerate(item):
+        at[w] = at.get(w, 0) | 1 << i
+    full, last, up, down, score, first = (1 << m) - 1, 1 << (m - 1), (1 << m) - 1, 0, m, int(anchored)
+    out = [m]
+    for w in text:
+        eq = at.get(w, 0)
+        across = (((eq & up) + up) ^ up) | eq
+        more, less = down | (full & ~(across | up)), up & across
+        score += bool(more & last) - bool(less & last)
+        more, less = ((more << 1) | first) & full, (less << 1) & full
+        up, down = less | (full & ~((eq | down) | more)), more & (eq | down)
+        out.append(score)
+    return out
 
 
 def best_alignment(item: list, window: list) -> tuple[int, int, int]:
-    """(edits, start, end) of the part of ``window`` with the fewest word edits from ``item``; the earliest, then shortest."""
-    row = [(0, j) for j in range(len(window) + 1)]
-    for i, a in enumerate(item, 1):
-        new = [(i, 0)]
-        for j, b in enumerate(window, 1):
-            new.append(min((row[j - 1][0] + (a != b), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[j - 1][0] + 1, new[j - 1][1])))
-        row = new
-    edits, end = min((c, j) for j, (c, _) in enumerate(row))
-    return edits, row[end][1], end
-
-
-class Items:
-    """One block of benchmark items, ready for scanning texts."""
-
-    def __init__(self, items: list[tuple[int, str | None]], similarity: float = SIMILARITY):
-        self.items, self.pieces, self.walks = [], defaultdict(list), {}
-        for item_id, text in items:
-            words = words_of(text)
-            n = len(words)
-            if not n:
-                continue
-            k = int((1 - similarity) * n + 1e-9)
-            at = [round(j * n / (k + 1)) for j in range(k + 2)]
-            for a, b in zip(at, at[1:]):
-                self.pieces[" " + " ".join(words[a:b]) + " "].append((len(self.items), a))
-            codes = [code(w) for w in words]
-            walk = self.walks.setdefault(n, CGK(n))
-            self.items.append((item_id, words, k, codes, [walk.samples(codes, r) for r in range(REPEATS)]))
-
-    def automaton(self):
-        import ahocorasick
-
-        found = ahocorasick.Automaton()
-        for piece in self.pieces:
-            found.add_word(piece, piece)
-        if self.pieces:
-            found.make_automaton()
-        return found
-
-    def collides(self, codes: list[int], item: int, start: int) -> bool:
-        """Whether a window of the item's size at ``start`` or up to the allowed edits from it meets the item in a sample."""
-        _, words, k, _, want = self.items[item]
-        n, walk, seen = len(words), self.walks[len(words)], set()
-        for r in range(REPEATS):
-            for off in sorted(range(-k, k + 1), key=abs) if r < 4 else (0, -1, 1):
-                a = max(0, start + off)
-                if (r, a) in seen:
-                    continue
-                seen.add((r, a))
-                if a < len(codes) and walk.samples(codes[a:a + n], r) == want[r]:
-                    return True
-        return False
-
-    def matches(self, text: str | None, automaton) -> list[tuple[int, int, int, int, float]]:
-        """(item, edits, first word, end word, similarity) of each item found, its best place."""
-        words = words_of(text)
-        if not words or not self.pieces:
-            return []
-        line = " " + " ".join(words) + " "
-        starts: dict[int, set[int]] = defaultdict(set)
-        last, count = 0, 0
-        for end, piece in automaton.iter(line):
-            begin = end - len(piece) + 1
-            count += line.count(" ", last, begin) if begin >= last else -line.count(" ", begin, last)
-            last = begin
-            for item, a in self.pieces[piece]:
-                starts[item].add(count - a)
-        out, codes = [], None
-        for item, places in starts.items():
-            item_id, want, k, _, _ = self.items[item]
-            n, best, done = len(want), None, -1
-            for s in sorted(places):
-                lo, hi = max(0, s - k), min(len(words), s + n + k)
-                if best and best[0] == 0:
-                    break
-                if words[max(0, s):s + n] == want and s >= 0:
-                    best = (0, s, s + n)
-                    break
-                near = words[lo:hi]
-                if codes is None:
-                    codes = {}
-                window = [codes.setdefault(w, None) or codes.__setitem__(w, code(w)) or codes[w] for w in near]
-                if not self.collides(window, item, s - lo):
-                    continue
-                edits, a, b = best_alignment(want, near)
-                if edits <= k and (best is None or edits < best[0]):
-                    best = (edits, lo + a, lo + b)
-            if best:
-                out.append((item_id, best[0], best[1], best[2], 1 - best[0] / n))
-        return out
-
-
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, null_ids: bool = False):
-    """Blocks of items of bounded size, in order of id; one block at a time is in memory. Items whose id is null are left out;
-    with ``null_ids`` they are in, their ids and those that are no integer as null."""
-    block, size = [], 0
-    i = F.col(id_col).try_cast("long") if null_ids else F.col(id_col).cast("long")
-    items = benchmark.select(i.alias("i"), F.col(text_col).cast("string").alias("t"))
-    for row in (items if null_ids else items.filter("i is not null")).orderBy("i", "t").toLocalIterator():
-        if block and (len(block) >= BLOCK_ITEMS or size > BLOCK_BYTES):
-            yield block
-            block, size = [], 0
-        block.append((row["i"], row["t"]))
-        size += len(row["t"] or "")
-    if block:
-        yield block
+    """(edits, start, end) of the part of ``window`` with the fewest word edits from ``item``; that of earliest end, then of earliest start."""
+    scores = edit_scores(item, window, False)
+    edits = min(scores)
+    end = scores.index(edits)
+    back = edit_scores(item[::-1], window[:end][::-1], True)
+    return edits, end - max(j for j, s in enumerate(back) if s == edits), end
+
+
+def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, null_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """(items, keys). Items: ``it`` (a number of the row), ``item_id``, ``n``, ``least`` (its class), ``words``; keys: ``it``, ``origin`` (first word of the window) and ``key``.
+
+    Windows of an item start at each word up to two strides of its class, so some window of a text starts with one of them.
+    """
+    def words(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            many = [words_of(t) for t in batch.column(2).to_pylist()]
+            keep = pa.array([k for k, w in enumerate(many) if w], pa.int64())
+            many = [w for w in many if w]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep), pa.array([len(w) for w in many], pa.int32()), pa.array([class_of(len(w)) for w in many], pa.int32()), pa.array([" ".join(w) for w in many], pa.string())], names=["it", "item_id", "n", "least", "words"])
+
+    def keyed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            its, origins, keys = [], [], []
+            for it, text in zip(*(c.to_pylist() for c in batch.columns)):
+                item = text.split(" ")
+                least = class_of(len(item))
+                codes, _ = Words().concatenated([item])
+                starts = np.arange(min(len(item), 2 * stride_of(least)))
+                found = window_keys(codes, starts, least)
+                some = found != 0
+                its.append(np.full(int(some.sum()), it))
+                origins.append(np.broadcast_to(starts, found.shape)[some])
+                keys.append(found[some].view(np.int64))
+            if its:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in ((its, pa.int64()), (origins, pa.int32()), (keys, pa.int64()))], names=["it", "origin", "key"])
+
+    number = F.col(id_col).try_cast("long") if null_ids else F.col(id_col).cast("long")
+    given = benchmark.select(F.monotonically_increasing_id().alias("it"), number.alias("item_id"), F.col(text_col).cast("string").alias("text"))
+    items = stored(map_batches(given if null_ids else given.filter("item_id is not null"), words, "it long, item_id long, n int, least int, words string"))
+    return items, stored(map_batches(items.select("it", "words"), keyed, "it long, origin int, key long").distinct())
+
+
+def key_table(keys: DataFrame) -> np.ndarray:
+    """The bits of :func:`slots_of` of all keys. Of the same size for any benchmark; a fuller one lets more windows through to the join."""
+    first, second = F.shiftrightunsigned("key", 64 - SLOT_BITS), F.shiftrightunsigned("key", 64 - 2 * SLOT_BITS).bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
+    parts = keys.select(F.explode(F.array(first + 1, second + 1)).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    out = np.zeros(1 << (SLOT_BITS - 3), np.uint8)
+    for r in parts.collect():  # 4 KB each, and never more than the table's size in all
+        at = (r["b"] - 1) * len(r["bits"])
+        out[at:at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def candidate_windows(docs: DataFrame, id_col: str, text_col: str, classes: list[tuple[int, int]], table: Callable[[], np.ndarray]) -> DataFrame:
+    """Windows of whole texts that have a key of ``table``: ``rid`` (of the row), ``row``, ``doc_id``, ``least`` (the class), ``at`` (its first
+    word), ``keys``, ``base`` and ``part`` (words around it, enough for any item of the class, the first one's place being ``base``)."""
+    def run(batches):
+        import pyarrow as pa
+
+        bits, known = table(), Words()
+        for batch in batches:
+            lists = [words_of(t) for t in batch.column(3).to_pylist()]
+            codes, firsts = known.concatenated(lists)
+            owner = np.repeat(np.arange(len(lists)), [len(w) for w in lists])
+            place = np.arange(len(owner)) - (firsts - np.arange(len(lists)))[owner] if len(owner) else owner
+            rows = []
+            for least, most in classes:
+                own = np.flatnonzero(place % stride_of(least) == 0)
+                found = window_keys(codes, (firsts[owner[own]] + place[own]), least)
+                hit = np.uint8(1)
+                for slot in slots_of(found):
+                    hit = hit & (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8))
+                for k in np.flatnonzero(hit.any(axis=0)):
+                    doc, at = int(owner[own[k]]), int(place[own[k]])
+                    base = max(0, at - 2 * stride_of(least) - most)
+                    rows.append((doc, least, at, found[hit[:, k] == 1, k].view(np.int64).tolist(), base, " ".join(lists[doc][base:at + 2 * most])))
+            at, *cols = zip(*rows) if rows else [()] * 6
+            kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:3]), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["rid", "row", "doc_id", "least", "at", "keys", "base", "part"])
+
+    given = docs.select(F.monotonically_increasing_id().alias("rid"), row_hash(id_col, text_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return map_batches(given, run, "rid long, row long, doc_id long, least int, at long, keys array<long>, base long, part string")
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_id_col: str, item_text_col: str, similarity: float, null_ids: bool) -> DataFrame:
+    """Verified windows: ``rid``, ``row``, ``doc_id``, ``it``, ``item_id``, ``edits``, ``first_word``, ``end_word``, ``similarity``."""
+    spark = docs.sparkSession
+    items, keys = benchmark_items(benchmark, item_id_col, item_text_col, null_ids)
+    sizes = items.groupBy("least").agg(F.max("n").alias("n")).collect()
+    classes = sorted((r["least"], r["n"]) for r in sizes)  # one row for each power of two
+    bits = spark.sparkContext.broadcast(key_table(keys))
+    windows = stored(candidate_windows(docs, id_col, text_col, classes, lambda: bits.value))
+    asked = windows.select("rid", "least", "at", F.explode("keys").alias("_key"))
+    pairs = asked.join(keys, F.col("_key") == F.col("key")).select("rid", "least", "at", "it").distinct()
+    pairs = pairs.join(items.select(F.col("it").alias("_it"), "item_id", "words"), F.col("it") == F.col("_it")).drop("_it")
+    sides = pairs.join(windows.drop("keys"), ["rid", "least", "at"]).select("rid", "row", "doc_id", "it", "item_id", "words", "base", "part")
+
+    def verified(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            at, rows = [], []
+            for k, (words, base, part) in enumerate(zip(*(c.to_pylist() for c in batch.columns[5:]))):
+                item, window = words.split(" "), part.split(" ")
+                edits, first, end = best_alignment(item, window)
+                if edits <= int((1 - similarity) * len(item) + 1e-9):
+                    at.append(k)
+                    rows.append((edits, base + first, base + end, 1 - edits / len(item)))
+            cols = [*zip(*rows)] or [()] * 4
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:5]), *(pa.array(c, pa.int32() if k < 3 else pa.float64()) for k, c in enumerate(cols))], names=["rid", "row", "doc_id", "it", "item_id", "edits", "first_word", "end_word", "similarity"])
+
+    return map_batches(sides, verified, "rid long, row long, doc_id long, it long, item_id long, edits int, first_word int, end_word int, similarity double")
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row for each document and benchmark item that a part of the document resembles.
 
-    Words are lower-cased runs of letters and digits. An item of n words is found where some part
-    of the text is within (1 - similarity) n word edits of it. Of k + 1 pieces of an item one at
-    least stands unchanged in such a part, so windows are tried only around unchanged pieces
-    (this gate loses nothing); a window of the item's size must then meet the item in a
-    bit-sampling LSH over CGK embeddings, and exact edit distances decide.
+    Words are lower-cased runs of letters and digits. An item of n words is found where some part of the text is within
+    (1 - similarity) n word edits of it. Windows are found by locality-sensitive hashing: random walks map a window to
+    an embedding in which word edits become differing steps, samples of steps are its keys, and windows of a text that
+    share a key with a window of an item are compared with it by exact edit distance. Windows start at every word of items up to two
+    strides and at every stride of texts, so that unchanged passages always share all keys; of changed ones some may be
+    missed (the tests measure recall). Items are classed by size, in powers of two.
 
-    Returns ``doc_id``, ``item_id``, ``edits``, ``first_word``, ``end_word``, ``similarity`` (best place;
-    earliest on ties). Items are read in blocks of bounded size, each against all rows. Null or
-    wordless texts and items match nothing, nor do items whose id is null; repeated rows each give their own; items of equal id
-    give the better one. Empty tables give no rows; other columns are ignored.
+    The benchmark may be of any size: texts are read once, a table of fixed size tells which keys are worth
+    moving, and keys meet items in a join. Texts of any length are read whole.
+
+    Returns ``doc_id``, ``item_id``, ``edits``, ``first_word``, ``end_word``, ``similarity`` (of the places found the one of fewest edits, then
+    the earliest). Null or wordless texts and items match nothing, nor do items whose id is null; a document with a null id is
+    matched like others. An item of few words, even one, is found wherever these stand. Repeated rows each
+    give their own; items of equal id give the better one. Empty tables give no rows; other columns are ignored.
     """
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, item_id long, edits int, first_word int, end_word int, similarity double"
-    found = None
-    for block in item_blocks(benchmark, item_id_col, item_text_col):
-        def run(batches, block=block):
-            import pyarrow as pa
-
-            items = Items(block, similarity)
-            automaton = items.automaton()
-            for batch in batches:
-                rows = []
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    best = {}
-                    for m in items.matches(text, automaton):
-                        if m[0] not in best or m[1:] < best[m[0]][1:]:
-                            best[m[0]] = m
-                    rows += [(doc, *m) for _, m in sorted(best.items())]
-                cols = [*zip(*rows)] or [()] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "item_id", "edits", "first_word", "end_word", "similarity"])
-
-        part = map_batches(given, run, schema)
-        found = part if found is None else found.unionByName(part)
-    return docs.sparkSession.createDataFrame([], schema) if found is None else found
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids: bool = False, **named) -> DataFrame:
+    found = _matches(docs, benchmark, id_col, text_col, item_id_col, item_text_col, similarity, False)
+    best = found.groupBy("rid", "doc_id", "item_id").agg(F.min(F.struct("edits", "first_word", "end_word", "similarity")).alias("b"))
+    return best.select("doc_id", "item_id", "b.edits", "b.first_word", "b.end_word", "b.similarity")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids: bool = False, item_id_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, whose text matches no benchmark item by :func:`benchmark_matches`.
 
     With ``null_ids`` items count whatever their id, null or no integer included; without, those with a
-    null id are left out. Rows with a null id are judged by the text too: matching is done row by row in one pass and
-    moves no text.
+    null id are left out. Rows with a null id are judged by the text too; null, empty and wordless texts stay; repeated rows
+    go or stay together; an empty benchmark leaves all rows. Columns of ``docs`` may have any names. Rows that match are told by a hash of id and text.
     """
-    kept = docs.schema.fields
-    blocks = list(item_blocks(benchmark, named.pop("item_id_col", "item_id"), named.pop("item_text_col", "text"), null_ids))
-    similarity = named.pop("similarity", SIMILARITY)
-    schema, [judged] = with_results(kept), fresh(docs, "_text")
-    out = docs
-    for block in blocks:
-        def run(batches, block=block):
-            import pyarrow as pa
-
-            items = Items(block, similarity)
-            automaton = items.automaton()
-            for batch in batches:
-                clean = [not items.matches(t, automaton) for t in batch.column(batch.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(clean, pa.bool_()))
-
-        out = map_batches(out.withColumn(judged, F.col(text_col).cast("string")), run, schema)
-    return out
+    found = _matches(docs, benchmark, id_col, text_col, item_id_col, item_text_col, similarity, null_ids)
+    row, gone = fresh(docs, "_row", "_gone")
+    bad = stored(found.select(F.col("row").alias(gone)).distinct())
+    return docs.withColumn(row, row_hash(id_col, text_col)).join(bad, F.col(row) == F.col(gone), "left_anti").drop(row)

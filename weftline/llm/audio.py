@@ -24,6 +24,10 @@ LEAST_RUN, BIT_ERRORS = 16, 0.05
 KEYED = 3
 #: Places of a segment. A recording is cut into segments so that every stretch of the least length lies in one of them.
 SEGMENT = 112
+#: Segments that a task remembers, so as to hand on copies once.
+REMEMBERED = 500_000
+#: Bits of segment numbers, of keys, and of the integer before a key, where they are moved.
+ID_BITS, KEY_BITS, LEAD_BITS = 40, 48, 16
 #: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
 STARTS = (0, 8, 16, 24)
 
@@ -155,13 +159,17 @@ def media_segments(media: DataFrame, id_col: str, data: Column | str, is_query:
 
     ``doc_id``, ``q`` (whether the row is a query), ``c1`` and ``n`` (hash and number of its integers: its class), ``start`` (0, and
     for queries each other place of ``STARTS``), ``place`` (of the segment's first integer) and ``prints`` (32-bit integers, little
-    endian). A row of start 0 and place 0 stands for each recording, however short.
+    endian). A row of start 0 and place 0 stands for each recording, however short; of copies that one task reads only the first has
+    ``prints`` that aren't null, so a group of copies is combined before it is moved.
     """
     def run(batches):
         import pyarrow as pa
         import xxhash
 
+        seen: set = set()
         for batch in batches:
+            if len(seen) > REMEMBERED:
+                seen.clear()
             sound, asked = batch.column(2).to_pylist(), batch.column(1).to_pylist()
             whole = fingerprints_of(sound)
             asking = [k for k, q in enumerate(asked) if q]
@@ -171,10 +179,17 @@ def media_segments(media: DataFrame, id_col: str, data: Column | str, is_query:
             for k, start, prints in all_of:
                 digest = xxhash.xxh3_64_intdigest(whole[k].tobytes())
                 c1 = digest - (1 << 64) if digest >> 63 else digest
-                rows += [(k, c1, len(whole[k]), start, place, part.astype("<u4").tobytes()) for place, part in segments_of(prints, least_run) if not start or len(prints) >= least_run]
-            at, *cols = zip(*rows)
+                if start and len(prints) < least_run:
+                    continue
+                for place, part in segments_of(prints, least_run):
+                    body = part.astype("<u4").tobytes()
+                    known = (c1, start, place, asked[k], body if start else None)
+                    if known not in seen or not start and not place:
+                        rows.append((k, c1, len(whole[k]), start, place, None if known in seen else body))
+                    seen.add(known)
+            at, *cols = zip(*rows) if rows else [()] * 6
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["doc_id", "q", "c1", "n", "start", "place", "prints"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["doc_id", "q", "c1", "n", "start", "place", "prints"])
 
     data = F.col(data) if isinstance(data, str) else data
     asks = F.lit(False) if is_query is None else F.coalesce(is_query, F.lit(False))
@@ -182,16 +197,18 @@ def media_segments(media: DataFrame, id_col: str, data: Column | str, is_query:
     return map_batches(given, run, "doc_id long, q boolean, c1 long, n int, start int, place int, prints binary")
 
 
-def index_keys(prints: np.ndarray, keyed: int = KEYED) -> np.ndarray:
-    """The distinct hashes of each ``keyed`` successive integers."""
+def index_keys(prints: np.ndarray, keyed: int = KEYED) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, leads): the distinct hashes of each ``keyed`` successive integers; and a hash of the integer before the first such place, -1 at the start."""
     n = len(prints) - keyed + 1
     if n < 1:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = np.zeros(n, np.uint64)
     for k in range(keyed):
         h = (h ^ prints[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return np.unique(h).view(np.int64)
+    keys, first = np.unique(h >> np.uint64(64 - KEY_BITS), return_index=True)
+    before = (prints.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - LEAD_BITS)
+    return keys.view(np.int64), np.where(first > 0, before[first - 1].view(np.int64), -1)
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray) -> float:
@@ -251,28 +268,35 @@ def align_recordings(segments: DataFrame, least_run: int = LEAST_RUN, most_error
 
     The index holds every ``KEYED`` successive integers of every recording: two segments with ``KEYED`` equal integers in a row
     have a common key, and such segments are compared at every shift, the query played from each of its ``STARTS``. A stretch
-    whose wrong bits leave no ``KEYED`` equal integers in a row in its segments is not nominated. Classes stand for any number of
+    whose wrong bits leave no ``KEYED`` equal integers in a row in its segments is not nominated. Of a run of common keys only the
+    first nominates: a pair is passed over at a key before whose first places both segments have equal integers, as those make
+    a common key further ahead (unequal ones that agree in ``LEAD_BITS`` bits of a hash count as equal). Classes stand for any number of
     copies, so equal recordings are never paired. Recordings under ``least_run`` integers are members without links.
     Only keys, segment numbers and the segments of nominated pairs are moved, none longer than ``SEGMENT`` + ``least_run`` - 1.
     """
     membership = segments.filter("start = 0 and place = 0").select("doc_id", "q", "c1", "n")
     long = segments.filter(F.col("n") >= least_run)
     # One segment of each class and place; of queries every start, whose last integers may differ between members.
-    index = long.filter("start = 0").dropDuplicates(["c1", "n", "place"]).select(F.xxhash64("c1", "n", "place").alias("y"), "c1", "n", "place", "prints")
-    asked = long.filter("q").dropDuplicates(["c1", "n", "start", "place", "prints"]).select(F.xxhash64("c1", "n", "start", "place", "prints").alias("x"), "c1", "n", "start", "place", "prints")
+    number = lambda *of: F.shiftrightunsigned(F.xxhash64(*of), 64 - ID_BITS)  # noqa: E731  numbers that two segments share by chance only add pairs to compare
+    index = long.filter("start = 0 and prints is not null").withColumn("y", number("c1", "n", "place")).repartition("y").dropDuplicates(["y", "c1", "n", "place"]).select("y", "c1", "n", "place", "prints")
+    asked = long.filter("q and prints is not null").dropDuplicates(["c1", "n", "start", "place", "prints"]).select(number("c1", "n", "start", "place", "prints").alias("x"), "c1", "n", "start", "place", "prints")
 
     def keyed(batches):
         import pyarrow as pa
 
         for batch in batches:
             many = [index_keys(np.frombuffer(p, "<u4")) for p in batch.column(1).to_pylist()]
-            at = np.repeat(np.arange(len(many)), [len(k) for k in many])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate(many))], names=["id", "key"])
-
-    keys = map_batches(index.select("y", "prints"), keyed, "id long, key long").select(F.col("id").alias("y"), F.col("key").alias("ykey"))
-    asks = map_batches(asked.select("x", "prints"), keyed, "id long, key long").select(F.col("id").alias("x"), F.col("key").alias("xkey"))
-    pairs = asks.join(keys, F.col("xkey") == F.col("ykey")).select("x", "y").distinct()
+            number = np.repeat(np.array(batch.column(0)), [len(k) for k, _ in many])
+            lead = np.concatenate([k for _, k in many])
+            yield pa.RecordBatch.from_arrays([pa.array(number * (2 << LEAD_BITS) + lead + 1), pa.array(np.concatenate([k for k, _ in many]))], names=["id", "key"])
+
+    split = lambda c: (F.shiftright(c, LEAD_BITS + 1), F.col(c).bitwiseAND(F.lit((2 << LEAD_BITS) - 1)))  # noqa: E731  number and lead are moved as one
+    keys = map_batches(index.select("y", "prints"), keyed, "id long, key long").select(F.col("id").alias("yid"), F.col("key").alias("ykey"))
+    asks = map_batches(asked.select("x", "prints"), keyed, "id long, key long").select(F.col("id").alias("xid"), F.col("key").alias("xkey"))
+    (x, xlead), (y, ylead) = split("xid"), split("yid")
+    pairs = asks.join(keys, (F.col("xkey") == F.col("ykey")) & ((xlead != ylead) | (xlead == 0))).select(x.alias("x"), y.alias("y")).distinct()
     sides = pairs.join(asked.select(F.col("x").alias("_x"), "c1", "n", F.col("start").alias("k"), F.col("place").alias("xplace"), F.col("prints").alias("xprints")), F.col("x") == F.col("_x")).select("y", "c1", "n", "k", "xplace", "xprints")
+    # The index is dealt by segment number for this join already.
     sides = sides.join(index.select(F.col("y").alias("_y"), F.col("c1").alias("m1"), F.col("n").alias("mn"), F.col("place").alias("yplace"), F.col("prints").alias("yprints")), F.col("y") == F.col("_y"))
     sides = sides.filter((F.col("c1") != F.col("m1")) | (F.col("n") != F.col("mn"))).select("c1", "n", "m1", "mn", "k", "xplace", "yplace", "xprints", "yprints")
 

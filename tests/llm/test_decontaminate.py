@@ -70,7 +70,7 @@ def test_full_table_of_keys(spark, monkeypatch):
 def test_walks_keep_near_texts_near():
     """Embeddings of texts within few edits agree in far more steps than those of others."""
     def walks(words):
-        codes, _ = decontaminate.Words().concatenated([words])
+        codes = decontaminate.Lines([" ".join(words)]).codes
         return np.concatenate([decontaminate.embedding(codes, np.zeros(1, np.int64), w, 60)[:, 0] for w in range(20)])
 
     words = prose(1, 60).split()
@@ -79,6 +79,19 @@ def test_walks_keep_near_texts_near():
     assert agree(words, words) == 1 and agree(words, near) > 0.5 > 0.1 > agree(words, far)
 
 
+def test_codes_and_parts():
+    """Equal words have equal codes wherever they stand; parts are the words' own bytes."""
+    texts = ["", "a bb ccc", "Ünïcödé_bb ccc--A", "", "1", "bb"]
+    lines = decontaminate.Lines([decontaminate.line_of(t) for t in texts])
+    words = [w for t in texts for w in [*decontaminate.words_of(t), None]]
+    assert lines.sizes.tolist() == [0, 3, 4, 0, 1, 1] and len(lines.codes) == len(words)
+    seen = {}
+    for w, c in zip(words, lines.codes.tolist()):
+        assert (c == 0) == (w is None) and seen.setdefault(w, c) == c
+    assert len(set(seen.values())) == len(seen) and lines.part(2, 1, 9) == "bb ccc a" and lines.part(1, 0, 2) == "a bb"
+    assert len(decontaminate.Lines([]).codes) == 0 and len(decontaminate.Lines(["", ""]).codes) == 2
+
+
 def test_edit_distance():
     """Against the whole table of distances, in edits and in place."""
     rng = random.Random(3)

@@ -20,22 +20,17 @@ WALKS, SAMPLES, SAMPLED = 2, 16, 5
 STRIDES, REACH, SMALL = 2.5, 1.5, 8
 #: The table that tells which keys items have: two of 2 ** ``SLOT_BITS`` bits are set for each key. 8 MB, whatever the benchmark's size.
 SLOT_BITS = 26
-#: Distinct words that a worker remembers.
-KEPT_WORDS = 2_000_000
-WORD = re.compile(r"[^\W_]+")
+BETWEEN = re.compile(r"[\W_]+")
 _GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters and digits."""
-    return WORD.findall((text or "").lower())
-
+def line_of(text: str | None) -> str:
+    """The words of a text, joined by single spaces: lower-cased runs of letters and digits."""
+    return BETWEEN.sub(" ", (text or "").lower()).strip(" ")
 
-def code(word: str) -> int:
-    """64 bits of a word, the same in every process; 0 stands for a blank."""
-    import xxhash
 
-    return xxhash.xxh64_intdigest(word) | 1
+def words_of(text: str | None) -> list[str]:
+    return line_of(text).split()
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -96,28 +91,37 @@ def slots_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys >> np.uint64(64 - SLOT_BITS), (keys >> np.uint64(64 - 2 * SLOT_BITS)) & np.uint64((1 << SLOT_BITS) - 1)
 
 
-class Words(dict):
-    """Numbers of words in order of appearance; ``codes`` has theirs. It forgets all when it has grown too large."""
+class Lines:
+    """Texts as :func:`line_of` gives them, one after the other, with a code for each word and a 0 after each text.
 
-    def __init__(self):
-        self.codes: list[int] = [0]
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self.codes)
-        self.codes.append(code(word))
-        return n
+    A word's code is the same in every process: its bytes' weighted sum, scattered. ``firsts`` are the texts' places among the
+    codes, ``sizes`` their words.
+    """
 
-    def concatenated(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(codes, first places): all lists one after the other, a 0 after each."""
-        if len(self) > KEPT_WORDS:
-            self.clear()
-            self.codes = [0]
-        sizes = np.array([len(w) for w in lists], np.int64)
-        firsts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-        number = np.zeros(int(sizes.sum()) + len(lists), np.int32)
-        for words, at in zip(lists, firsts.tolist()):
-            number[at:at + len(words)] = list(map(self.__getitem__, words))
-        return np.array(self.codes, np.uint64)[number], firsts
+    powers = np.ones(1, np.uint64)
+
+    def __init__(self, lines: list[str]):
+        parts = [x.encode("utf-8", "surrogatepass") for x in lines]
+        self.data = b"".join(x + b" \n" if x else b"\n" for x in parts)  # each word, and each text, has a byte after it
+        flat = np.frombuffer(self.data, np.uint8)
+        self.ends = np.flatnonzero((flat == 32) | (flat == 10))
+        self.begins = np.concatenate([[0], self.ends[:-1] + 1]) if len(self.ends) else self.ends
+        sizes = self.ends - self.begins
+        longest = int(sizes.max(initial=0)) + 1
+        if longest > len(Lines.powers):
+            Lines.powers = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(longest + 64, _GOLD)]))
+        place = np.arange(len(flat)) - np.repeat(self.begins, sizes + 1)
+        sums = np.add.reduceat((flat.astype(np.uint64) + np.uint64(1)) * self.powers[place], self.begins) if len(flat) else np.zeros(0, np.uint64)
+        self.codes = _scatter(sums) | np.uint64(1)
+        stops = np.flatnonzero(flat[self.ends] == 10)
+        self.codes[stops] = 0
+        self.firsts = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else np.zeros(0, np.int64)
+        self.sizes = stops - self.firsts
+
+    def part(self, text: int, first: int, last: int) -> str:
+        """Words ``first`` to ``last``, excluded, of a text."""
+        at, last = int(self.firsts[text]), min(last, int(self.sizes[text]))
+        return self.data[self.begins[at + first]:self.ends[at + last - 1]].decode("utf-8", "surrogatepass")
 
 
 def edit_scores(item: list, text: list, anchored: bool) -> list[int]:
@@ -159,10 +163,11 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, null_ids:
         import pyarrow as pa
 
         for batch in batches:
-            many = [words_of(t) for t in batch.column(2).to_pylist()]
-            keep = pa.array([k for k, w in enumerate(many) if w], pa.int64())
-            many = [w for w in many if w]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep), pa.array([len(w) for w in many], pa.int32()), pa.array([class_of(len(w)) for w in many], pa.int32()), pa.array([" ".join(w) for w in many], pa.string())], names=["it", "item_id", "n", "least", "words"])
+            many = [line_of(t) for t in batch.column(2).to_pylist()]
+            keep = pa.array([k for k, x in enumerate(many) if x], pa.int64())
+            many = [x for x in many if x]
+            sizes = [x.count(" ") + 1 for x in many]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep), pa.array(sizes, pa.int32()), pa.array(map(class_of, sizes), pa.int32()), pa.array(many, pa.string())], names=["it", "item_id", "n", "least", "words"])
 
     def keyed(batches):
         import pyarrow as pa
@@ -170,11 +175,11 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, null_ids:
         for batch in batches:
             its, origins, keys = [], [], []
             for it, text in zip(*(c.to_pylist() for c in batch.columns)):
-                item = text.split(" ")
-                least = class_of(len(item))
-                codes, _ = Words().concatenated([item])
-                starts = np.arange(min(len(item), 2 * stride_of(least)))
-                found = window_keys(codes, starts, least)
+                item = Lines([text])
+                n = int(item.sizes[0])
+                least = class_of(n)
+                starts = np.arange(min(n, 2 * stride_of(least)))
+                found = window_keys(item.codes, starts, least)
                 some = found != 0
                 its.append(np.full(int(some.sum()), it))
                 origins.append(np.broadcast_to(starts, found.shape)[some])
@@ -205,23 +210,24 @@ def candidate_windows(docs: DataFrame, id_col: str, text_col: str, classes: list
     def run(batches):
         import pyarrow as pa
 
-        bits, known = table(), Words()
+        bits = table()
         for batch in batches:
-            lists = [words_of(t) for t in batch.column(3).to_pylist()]
-            codes, firsts = known.concatenated(lists)
-            owner = np.repeat(np.arange(len(lists)), [len(w) for w in lists])
-            place = np.arange(len(owner)) - (firsts - np.arange(len(lists)))[owner] if len(owner) else owner
+            lines = Lines([line_of(t) for t in batch.column(3).to_pylist()])
+            owner = np.repeat(np.arange(len(lines.sizes)), lines.sizes)
+            word = np.arange(len(owner)) + owner  # among the codes
+            place = word - lines.firsts[owner]
             rows = []
             for least, most in classes:
                 own = np.flatnonzero(place % stride_of(least) == 0)
-                found = window_keys(codes, (firsts[owner[own]] + place[own]), least)
-                hit = np.uint8(1)
-                for slot in slots_of(found):
-                    hit = hit & (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8))
+                found = window_keys(lines.codes, word[own], least)
+                first, second = slots_of(found)
+                hit = (bits[first >> np.uint64(3)] >> (first & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
+                some = np.nonzero(hit)
+                hit[some] = (bits[second[some] >> np.uint64(3)] >> (second[some] & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
                 for k in np.flatnonzero(hit.any(axis=0)):
                     doc, at = int(owner[own[k]]), int(place[own[k]])
                     base = max(0, at - 2 * stride_of(least) - most)
-                    rows.append((doc, least, at, found[hit[:, k] == 1, k].view(np.int64).tolist(), base, " ".join(lists[doc][base:at + 2 * most])))
+                    rows.append((doc, least, at, found[hit[:, k] == 1, k].view(np.int64).tolist(), base, lines.part(doc, base, at + 2 * most)))
             at, *cols = zip(*rows) if rows else [()] * 6
             kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:3]), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["rid", "row", "doc_id", "least", "at", "keys", "base", "part"])
@@ -250,8 +256,12 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
             at, rows = [], []
             for k, (words, base, part) in enumerate(zip(*(c.to_pylist() for c in batch.columns[5:]))):
                 item, window = words.split(" "), part.split(" ")
+                most = int((1 - similarity) * len(item) + 1e-9)
+                present = set(window)
+                if sum(w not in present for w in item) > most:  # each missing word is an edit
+                    continue
                 edits, first, end = best_alignment(item, window)
-                if edits <= int((1 - similarity) * len(item) + 1e-9):
+                if edits <= most:
                     at.append(k)
                     rows.append((edits, base + first, base + end, 1 - edits / len(item)))
             cols = [*zip(*rows)] or [()] * 4

@@ -26,8 +26,8 @@ KEYED = 3
 SEGMENT = 112
 #: Segments that a task remembers, so as to hand on copies once.
 REMEMBERED = 500_000
-#: Bits of segment numbers, of keys, and of the integer before a key, where they are moved.
-ID_BITS, KEY_BITS, LEAD_BITS = 40, 48, 16
+#: Bits of segment numbers, of keys, and of hashes of the integer before a key and of a segment's first key, where they are moved.
+ID_BITS, KEY_BITS, LEAD_BITS, FIRST_BITS = 36, 48, 13, 13
 #: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
 STARTS = (0, 8, 16, 24)
 
@@ -197,18 +197,19 @@ def media_segments(media: DataFrame, id_col: str, data: Column | str, is_query:
     return map_batches(given, run, "doc_id long, q boolean, c1 long, n int, start int, place int, prints binary")
 
 
-def index_keys(prints: np.ndarray, keyed: int = KEYED) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, leads): the distinct hashes of each ``keyed`` successive integers; and a hash of the integer before the first such place, -1 at the start."""
+def index_keys(prints: np.ndarray, keyed: int = KEYED) -> tuple[np.ndarray, np.ndarray, int]:
+    """(keys, leads, first): the distinct hashes of each ``keyed`` successive integers; of the integer before the first such place a hash
+    from 1 on, or 0 at the start; and a hash of the key at the start."""
     n = len(prints) - keyed + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
     h = np.zeros(n, np.uint64)
     for k in range(keyed):
         h = (h ^ prints[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     keys, first = np.unique(h >> np.uint64(64 - KEY_BITS), return_index=True)
     before = (prints.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - LEAD_BITS)
-    return keys.view(np.int64), np.where(first > 0, before[first - 1].view(np.int64), -1)
+    return keys.view(np.int64), np.where(first > 0, before[first - 1].view(np.int64) + 1, 0), int(h[0]) & ((1 << FIRST_BITS) - 1)
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray) -> float:
@@ -270,7 +271,8 @@ def align_recordings(segments: DataFrame, least_run: int = LEAST_RUN, most_error
     have a common key, and such segments are compared at every shift, the query played from each of its ``STARTS``. A stretch
     whose wrong bits leave no ``KEYED`` equal integers in a row in its segments is not nominated. Of a run of common keys only the
     first nominates: a pair is passed over at a key before whose first places both segments have equal integers, as those make
-    a common key further ahead (unequal ones that agree in ``LEAD_BITS`` bits of a hash count as equal). Classes stand for any number of
+    a common key further ahead; and at all but the first key if both start with the same one. (Equal is what agrees in ``LEAD_BITS`` or
+    ``FIRST_BITS`` bits of a hash; one pair in some thousands of runs may be lost so.) Classes stand for any number of
     copies, so equal recordings are never paired. Recordings under ``least_run`` integers are members without links.
     Only keys, segment numbers and the segments of nominated pairs are moved, none longer than ``SEGMENT`` + ``least_run`` - 1.
     """
@@ -286,15 +288,19 @@ def align_recordings(segments: DataFrame, least_run: int = LEAST_RUN, most_error
 
         for batch in batches:
             many = [index_keys(np.frombuffer(p, "<u4")) for p in batch.column(1).to_pylist()]
-            number = np.repeat(np.array(batch.column(0)), [len(k) for k, _ in many])
-            lead = np.concatenate([k for _, k in many])
-            yield pa.RecordBatch.from_arrays([pa.array(number * (2 << LEAD_BITS) + lead + 1), pa.array(np.concatenate([k for k, _ in many]))], names=["id", "key"])
-
-    split = lambda c: (F.shiftright(c, LEAD_BITS + 1), F.col(c).bitwiseAND(F.lit((2 << LEAD_BITS) - 1)))  # noqa: E731  number and lead are moved as one
+            heads = np.array(batch.column(0)) * (1 << FIRST_BITS) + np.array([first for _, _, first in many])
+            leads = np.concatenate([lead for _, lead, _ in many])
+            moved = np.repeat(heads, [len(k) for k, _, _ in many]) * (2 << LEAD_BITS) + leads
+            yield pa.RecordBatch.from_arrays([pa.array(moved), pa.array(np.concatenate([k for k, _, _ in many]))], names=["id", "key"])
+
+    # Number, first and lead are moved as one.
+    bits = lambda c, skip, n: F.shiftright(c, skip).bitwiseAND(F.lit((1 << n) - 1))
+    split = lambda c: (F.shiftright(c, FIRST_BITS + LEAD_BITS + 1), bits(c, LEAD_BITS + 1, FIRST_BITS), bits(c, 0, LEAD_BITS + 1))
     keys = map_batches(index.select("y", "prints"), keyed, "id long, key long").select(F.col("id").alias("yid"), F.col("key").alias("ykey"))
     asks = map_batches(asked.select("x", "prints"), keyed, "id long, key long").select(F.col("id").alias("xid"), F.col("key").alias("xkey"))
-    (x, xlead), (y, ylead) = split("xid"), split("yid")
-    pairs = asks.join(keys, (F.col("xkey") == F.col("ykey")) & ((xlead != ylead) | (xlead == 0))).select(x.alias("x"), y.alias("y")).distinct()
+    (x, xfirst, xlead), (y, yfirst, ylead) = split("xid"), split("yid")
+    once = ((xlead != ylead) & (xfirst != yfirst)) | ((xlead == 0) & (ylead == 0))
+    pairs = asks.join(keys, (F.col("xkey") == F.col("ykey")) & once).select(x.alias("x"), y.alias("y")).distinct()
     sides = pairs.join(asked.select(F.col("x").alias("_x"), "c1", "n", F.col("start").alias("k"), F.col("place").alias("xplace"), F.col("prints").alias("xprints")), F.col("x") == F.col("_x")).select("y", "c1", "n", "k", "xplace", "xprints")
     # The index is dealt by segment number for this join already.
     sides = sides.join(index.select(F.col("y").alias("_y"), F.col("c1").alias("m1"), F.col("n").alias("mn"), F.col("place").alias("yplace"), F.col("prints").alias("yprints")), F.col("y") == F.col("_y"))

@@ -1,4 +1,4 @@
-"""License scans: phrases, and an exact set-similarity join of text lines with notice templates."""
+"""License scans: phrases, and an exact set-similarity join of text blocks with notice templates."""
 
 from __future__ import annotations
 
@@ -12,18 +12,28 @@ from .common import map_batches
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Short notices; a line that holds ``CONTAINMENT`` of a template's distinct words carries its label.
+# The wording of public notices, in lower case without punctuation, with the label of each.
 TEMPLATES = {
     "released under the mit license": "mit",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software": "mit",
     "licensed under the apache license version 2 0": "apache-2",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at": "apache-2",
     "licensed under cc by nc 4 0": "cc-by-nc",
+    "this work is licensed under the creative commons attribution noncommercial 4 0 international license": "cc-by-nc",
     "licensed under cc by sa 4 0": "cc-by-sa",
+    "this work is licensed under the creative commons attribution sharealike 4 0 international license": "cc-by-sa",
     "licensed under the gnu general public license version 3": "gpl-3",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl-3",
     "licensed under the gnu lesser general public license version 3": "lgpl-3",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl-3",
     "subject to the terms of the mozilla public license version 2 0": "mpl-2",
-    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
+    "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at": "mpl-2",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd",
 }
+#: Share of a template's distinct words that a block must hold; up to 19 distinct words that is all of them.
 CONTAINMENT = 0.95
+#: Words of a block for each word of the template that it is compared with.
+BLOCK = 1.5
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -71,50 +81,69 @@ def frequency_order(docs: DataFrame, text_col: str, tokens: list[bytes]) -> dict
 
 
 class ContainmentJoin:
-    """Finds every template of whose distinct words a line holds at least ``threshold``.
+    """Finds every template of whose distinct words a block of a text holds at least ``threshold``.
 
-    Each template's words are put in order of rising corpus frequency. A line that qualifies lacks
-    at most size - need of them, so it holds one of the first size - need + 1 (prefix filter), has
-    ``need`` distinct words or more (length filter), and after the first shared word at place i
-    at most size - i can be shared (positional filter). Survivors are counted exactly.
+    A block is a run of ``BLOCK`` times the template's words, rounded up, anywhere in the text, line breaks or not.
+    Each template's words are put in order of rising corpus frequency. A block that qualifies lacks
+    at most size - need of them, so it holds one of the first size - need + 1 (prefix filter); the text has ``need`` or more of
+    them (length filter); and a block whose first word in that order stands at place i
+    shares at most size - i (positional filter). So only blocks around words of the prefix are counted, each exactly.
     """
 
     def __init__(self, templates: dict[str, str], frequency: dict[bytes, int], threshold: float):
         self.sets, self.prefix = [], {}
         for text, label in templates.items():
-            order = sorted(set(text.encode().split()), key=lambda w: (frequency.get(w, 0), w))
+            given = text.encode().split()
+            order = sorted(set(given), key=lambda w: (frequency.get(w, 0), w))
             need = ceil(threshold * len(order) - 1e-9)
-            self.sets.append((frozenset(order), need, label))
-            for place, w in enumerate(order[:len(order) - need + 1]):
-                self.prefix.setdefault(w, []).append((len(self.sets) - 1, place, len(order)))
-
-    def find(self, line: set[bytes]) -> list[tuple[str, float]]:
-        tried = {}
-        for w in self.prefix.keys() & line:
-            for k, place, n in self.prefix[w]:
-                tried[k] = max(tried.get(k, 0), n - place)
+            self.sets.append(({w: i for i, w in enumerate(order)}, need, ceil(BLOCK * len(given)), label))
+            for w in order[:len(order) - need + 1]:
+                self.prefix.setdefault(w, []).append(len(self.sets) - 1)
+
+    def find(self, words: list[bytes], present: set[bytes]) -> list[tuple[str, float]]:
+        """(label, largest share) of each template found; ``present`` are the distinct words."""
         out = []
-        for k, most in tried.items():
-            words, need, label = self.sets[k]
-            if len(line) >= need and most >= need and (shared := len(words & line)) >= need:
-                out.append((label, shared / len(words)))
+        for k in sorted({k for w in self.prefix.keys() & present for k in self.prefix[w]}):
+            order, need, length, label = self.sets[k]
+            if len(order.keys() & present) >= need and (most := self.most_shared(words, order, need, length)) >= need:
+                out.append((label, most / len(order)))
         return out
 
+    @staticmethod
+    def most_shared(words: list[bytes], order: dict[bytes, int], need: int, length: int) -> int:
+        """Distinct words of ``order`` in the best block of ``length`` words, if that has ``need`` or more."""
+        at = [(i, order[w]) for i, w in enumerate(words) if w in order]
+        last_prefix, best = len(order) - need, 0
+        count, shared, prefixes, tail = [0] * len(order), 0, 0, 0
+        for i, place in at:  # blocks that end at a shared word
+            count[place] += 1
+            shared += count[place] == 1
+            prefixes += place <= last_prefix
+            while at[tail][0] <= i - length:
+                old = at[tail][1]
+                count[old] -= 1
+                shared -= count[old] == 0
+                prefixes -= old <= last_prefix
+                tail += 1
+            if prefixes and shared > best and len(order) - next(p for p, c in enumerate(count) if c) >= need:
+                best = shared
+        return best
+
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None, threshold: float = CONTAINMENT) -> DataFrame:
     """License findings of every row's whole text.
 
     Returns ``doc_id``, ``n_words``, ``n_base`` (places of phrases), ``first_word`` and ``last_word``
     (least and largest start of one, from 0; else null), ``base_labels``, ``labels`` (with those of
-    :class:`ContainmentJoin` over the text's lines; both distinct, sorted, comma-joined, maybe
-    empty) and ``score``: 1 with a phrase, else the largest containment found, else 0. Null texts
-    count as empty. Repeated rows are kept, an empty table gives no rows, other columns are ignored.
+    :class:`ContainmentJoin` over all blocks of the text; both distinct, sorted, comma-joined, maybe
+    empty) and ``score``: 1 with a phrase, else the largest containment found, else 0. Texts of any length are read whole, a row at
+    a time. A notice whose words hold those of another one (lesser and general public license) carries both labels. Null texts count as empty, a null id is returned as such. Ties don't matter: every template found gives its label.
+    Repeated rows are kept, an empty table gives no rows, other columns, whatever their names, are ignored.
     """
     phrases, templates = PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates
     tokens = sorted({w for t in templates for w in t.encode().split()})
     join = ContainmentJoin(templates, frequency_order(docs, text_col, tokens), threshold)
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    prefix = set(join.prefix)
 
     def scan(text: str | None) -> tuple:
         data = (text or "").encode("utf-8", "surrogatepass")
@@ -122,11 +151,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         places = phrase_places(words, phrases)
         base = {label for _, label in places}
         labels, best = set(base), 1.0 if places else 0.0
-        if not prefix.isdisjoint(words):
-            for line in data.split(b"\n"):
-                for label, share in join.find(set(words_of(line))):
-                    labels.add(label)
-                    best = max(best, share)
+        for label, share in join.find(words, set(words)):
+            labels.add(label)
+            best = max(best, share)
         starts = [i for i, _ in places]
         return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best
 

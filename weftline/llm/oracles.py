@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .licenses import CONTAINMENT, PHRASES, TEMPLATES
+from math import ceil
+
+from .licenses import BLOCK, CONTAINMENT, PHRASES, TEMPLATES
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -17,24 +19,24 @@ def _op6() -> str:
         base.append((f"p{len(base)}", label))
     lists = ", ".join(f"{p} AS p{k}" for k, p in enumerate(places))
     both = "list_concat(" * (len(base) - 1) + "p0" + "".join(f", p{k})" for k in range(1, len(base)))
-    tests = []
-    for text, label in TEMPLATES.items():
-        words = sorted(set(text.split()))
-        arr = "[" + ", ".join(f"'{x}'" for x in words) + "]"
-        share = f"list_max(list_transform(blocks, lambda b: len(list_intersect(b, {arr})) / {float(len(words))}))"
-        tests.append((label, f"coalesce(CASE WHEN {share} >= {CONTAINMENT} - 1e-9 THEN {share} END, 0.0)"))
-    scores = ", ".join(f"{t} AS s{k}" for k, (_, t) in enumerate(tests))
+    words = ", ".join(f"({k}, '{x}')" for k, text in enumerate(TEMPLATES) for x in sorted(set(text.split())))
+    rules = ", ".join(f"({k}, {ceil(CONTAINMENT * len(set(text.split())) - 1e-9)}, {ceil(BLOCK * len(text.split()))}, {float(len(set(text.split())))}, '{label}')" for k, (text, label) in enumerate(TEMPLATES.items()))
     labels = ", ".join([f"CASE WHEN len({p}) > 0 THEN '{label}' END" for p, label in base])
-    more = ", ".join([f"CASE WHEN s{k} > 0 THEN '{label}' END" for k, (label, _) in enumerate(tests)])
-    join = "array_to_string(list_sort(list_distinct(list_filter([{}], lambda x: x IS NOT NULL))), ',')"
+    join = "array_to_string(list_sort(list_distinct(list_filter({}, lambda x: x IS NOT NULL))), ',')"
     return f"""
-WITH t AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
-w AS (SELECT doc_id, {_WORDS.format('t')} AS w, list_transform(string_split(t, chr(10)), lambda x: {_WORDS.format('x')}) AS blocks FROM t),
-p AS (SELECT doc_id, len(w) AS n_words, blocks, {lists} FROM w),
-s AS (SELECT *, {both} AS b, {scores} FROM p)
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+w AS MATERIALIZED (SELECT r, doc_id, {_WORDS.format('t')} AS w FROM t),
+template(k, word) AS (VALUES {words}), rule(k, need, length, size, label) AS (VALUES {rules}),
+each AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+shared AS MATERIALIZED (SELECT r, k, i, word FROM each JOIN template USING (word)),
+enough AS (SELECT r, k, need, length, size, label FROM shared JOIN rule USING (k) GROUP BY r, k, need, length, size, label HAVING count(DISTINCT word) >= need),
+some AS MATERIALIZED (SELECT r, k, i, word, need, length, size, label FROM shared JOIN enough USING (r, k)),
+counted AS (SELECT a.r, a.k, a.i, a.need, a.size, a.label, count(DISTINCT b.word) AS n FROM some a JOIN some b ON a.r = b.r AND a.k = b.k AND b.i <= a.i AND b.i > a.i - a.length GROUP BY ALL),
+found AS (SELECT r, list(DISTINCT label) AS more, max(n / size) AS best FROM counted WHERE n >= need GROUP BY r),
+p AS (SELECT r, doc_id, len(w) AS n_words, {lists} FROM w),
+s AS (SELECT p.*, {both} AS b, coalesce(more, []) AS more, coalesce(best, 0.0) AS best FROM p LEFT JOIN found USING (r))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(b) AS BIGINT) AS n_base, CAST(list_min(b) AS BIGINT) AS first_word, CAST(list_max(b) AS BIGINT) AS last_word,
-  {join.format(labels)} AS base_labels, {join.format(labels + ', ' + more)} AS labels,
-  CAST(CASE WHEN len(b) > 0 THEN 1.0 ELSE greatest({', '.join(f's{k}' for k in range(len(tests)))}) END AS DOUBLE) AS score
+  {join.format('[' + labels + ']')} AS base_labels, {join.format('list_concat([' + labels + '], more)')} AS labels, CAST(CASE WHEN len(b) > 0 THEN 1.0 ELSE best END AS DOUBLE) AS score
 FROM s"""
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -13,28 +12,52 @@ from pyspark.sql import types as T
 
 from .common import fresh, map_batches, with_results
 
-#: Labelled documents that training reads at most, and random words taken of each.
-TRAIN_DOCS = 3000
-TRAIN_WORDS = 100
+#: Labelled documents that training reads at most; each is read whole.
+TRAIN_DOCS = 1200
 #: Documents of each language in the sample at least, where it has them.
 LEAST_DOCS = 50
-HIDDEN = 12
-#: Bytes of one sequence: words are cut there.
-LONGEST = 24
-#: Words whose results a worker keeps, and words it gathers before it runs the network.
-KEPT_WORDS = 300_000
-GATHERED = 400_000
+#: Steps of training, and segments in each; segments are drawn from all of the sample's.
+TRAIN_STEPS, TRAIN_BATCH = 500, 192
+HIDDEN = 8
+#: Bytes of a segment at most: what the network reads in one go. Segments end between characters.
+SEGMENT = 96
+#: Segments that run through the network together, and bytes that a worker gathers before it runs it.
+TOGETHER, GATHERED = 2048, 4 << 20
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 DIRECTIONS = ("f", "b")
 
 
-def words_of(text: str) -> list[bytes]:
-    """The byte sequences that the network reads: blank-separated words, lower-cased, cut at ``LONGEST``."""
-    words = text.lower().encode("utf-8", "surrogatepass").split()
-    if max(map(len, words), default=0) > LONGEST:
-        words = [w[i:i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
-    return words
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter (Unicode category L)."""
+    return any(map(str.isalpha, text or ""))
+
+
+def segment_ends(data: np.ndarray, size: int = SEGMENT) -> np.ndarray:
+    """Where the segments of a text's UTF-8 bytes end: at most ``size`` bytes each, no character cut."""
+    inside = (data & 0xC0) == 0x80
+    if not inside.any():
+        return np.append(np.arange(size, len(data), size), len(data)) if len(data) else np.zeros(0, np.int64)
+    ends, at = [], 0
+    while at < len(data):
+        end = min(at + size, len(data))
+        while end < len(data) and inside[end] and end > at + 1:
+            end -= 1
+        ends.append(end)
+        at = end
+    return np.array(ends, np.int64)
+
+
+def segments_of(data: bytes, size: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes (segments, size), padded by 0; lengths) of a text's bytes, blanks and case as they are."""
+    flat = np.frombuffer(data, np.uint8)
+    ends = segment_ends(flat, size)
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
+    sizes = ends - starts
+    out = np.zeros((len(ends), size), np.uint8)
+    at = np.arange(size)
+    real = at < sizes[:, None]
+    out[real] = flat
+    return out, sizes
 
 
 def new_model(n_classes: int, hidden: int = HIDDEN, seed: int = 5) -> dict[str, np.ndarray]:
@@ -53,15 +76,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _direction(model: dict, d: str, x: np.ndarray, keep: bool = False):
-    """Hidden states (steps, batch, hidden) of one direction over bytes ``x`` (batch, steps)."""
+def _direction(model: dict, d: str, x: np.ndarray, sizes: np.ndarray, keep: bool = False):
+    """Hidden states (steps, batch, hidden) of one direction over bytes ``x`` (batch, steps); past a segment's size a state stays as it is."""
     batch, steps = x.shape
     u, w, c = model["u" + d], model["w" + d], model["c" + d]
-    n = u.shape[0]
-    h, states, saved = np.zeros((batch, n), np.float32), np.empty((steps, batch, n), np.float32), []
+    n, least = u.shape[0], int(sizes.min(initial=steps))
+    h, states, saved = np.zeros((batch, n), u.dtype), np.empty((steps, batch, n), u.dtype), []
     for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
         a, g = w[x[:, t]], h @ u
         gates = _sigmoid(a[:, :2 * n] + g[:, :2 * n])
+        if t >= least:
+            gates[sizes <= t, :n] = 1
         z, r = gates[:, :n], gates[:, n:]
         inner = g[:, 2 * n:] + c
         new = np.tanh(a[:, 2 * n:] + r * inner)
@@ -72,10 +97,10 @@ def _direction(model: dict, d: str, x: np.ndarray, keep: bool = False):
     return states, saved
 
 
-def position_probs(model: dict, x: np.ndarray) -> np.ndarray:
-    """Probabilities of the classes at every position: (steps, batch, classes)."""
-    both = np.concatenate([_direction(model, d, x)[0] for d in DIRECTIONS], axis=2)
-    return _softmax(both @ model["v"] + model["o"])
+def position_probs(model: dict, x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Probabilities of the classes at every position: (steps, batch, classes); 0 past a segment's size."""
+    both = np.concatenate([_direction(model, d, x, sizes)[0] for d in DIRECTIONS], axis=2)
+    return _softmax(both @ model["v"] + model["o"]) * (np.arange(x.shape[1])[:, None] < sizes)[:, :, None]
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -83,155 +108,104 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def gradients(model: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict]:
+def gradients(model: dict, x: np.ndarray, sizes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict]:
     """Mean loss over positions and its gradients, by backpropagation through time."""
     batch, steps = x.shape
-    runs = {d: _direction(model, d, x, True) for d in DIRECTIONS}
+    runs = {d: _direction(model, d, x, sizes, True) for d in DIRECTIONS}
     both = np.concatenate([runs[d][0] for d in DIRECTIONS], axis=2)
     p = _softmax(both @ model["v"] + model["o"])
-    at = np.arange(batch)
-    loss = float(-(np.log(p[:, at, y] + 1e-9) * weight).sum() / (batch * steps))
+    at, real = np.arange(batch), np.arange(steps)[:, None] < sizes
+    share = (real * weight / max(1, int(sizes.sum()))).astype(p.dtype)
+    loss = float(-(np.log(p[:, at, y] + 1e-9) * share).sum())
     dl = p.copy()
     dl[:, at, y] -= 1
-    dl *= (weight / (batch * steps))[None, :, None]
-    grad = {"v": np.einsum("tbh,tbc->hc", both, dl), "o": dl.sum((0, 1))}
+    dl *= share[:, :, None]
+    grad = {"v": np.tensordot(both, dl, ((0, 1), (0, 1))), "o": dl.sum((0, 1))}
     dboth = dl @ model["v"].T
     n = model["uf"].shape[0]
     for k, d in enumerate(DIRECTIONS):
         u, dstates = model["u" + d], dboth[:, :, k * n:(k + 1) * n]
-        gw, gu, gc, dh = np.zeros_like(model["w" + d]), np.zeros_like(u), np.zeros(n, np.float32), np.zeros((batch, n), np.float32)
+        das, gu, gc, dh = np.empty((steps, batch, 3 * n), u.dtype), np.zeros_like(u), np.zeros(n, u.dtype), np.zeros((batch, n), u.dtype)
         for t, h, z, r, inner, new in reversed(runs[d][1]):
             dh = dh + dstates[t]
             dnew = dh * (1 - z) * (1 - new * new)
-            dz = dh * (h - new) * z * (1 - z)
+            dz = dh * (h - new) * z * (1 - z)  # 0 where the gate was held open
             dr = dnew * inner * r * (1 - r)
-            da = np.concatenate([dz, dr, dnew], axis=1)
+            das[t] = np.concatenate([dz, dr, dnew], axis=1)
             dg = np.concatenate([dz, dr, dnew * r], axis=1)
-            np.add.at(gw, x[:, t], da)
             gu += h.T @ dg
             gc += (dnew * r).sum(0)
             dh = dh * z + dg @ u.T
+        bytes_, flat = x.T.ravel(), das.reshape(-1, 3 * n)
+        gw = np.stack([np.bincount(bytes_, flat[:, j], 256) for j in range(3 * n)], axis=1).astype(u.dtype)
         grad |= {"w" + d: gw, "u" + d: gu, "c" + d: gc}
     return loss, grad
 
 
-def train(words: list[bytes], labels: list[int], n_classes: int, epochs: int = 3, batch: int = 384, seed: int = 5) -> dict:
-    """A model fitted by Adam on words and their documents' classes; batches hold words of one length."""
+def train(texts: list[bytes], labels: list[int], n_classes: int, steps: int = TRAIN_STEPS, batch: int = TRAIN_BATCH, seed: int = 5) -> dict:
+    """A model fitted by Adam on segments of whole texts and the texts' classes; a text's segments are drawn alike."""
     model, rng = new_model(n_classes, seed=seed), np.random.default_rng(seed)
-    y_all = np.array(labels)
+    parts = [segments_of(t) for t in texts]
+    x_all, sizes = np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
+    y_all = np.repeat(np.array(labels), [len(n) for _, n in parts])
     share = np.bincount(y_all, minlength=n_classes) / max(1, len(y_all))
     weights = 1 / np.maximum(share, 1e-3) ** 0.5
     weights = (weights / (weights * share).sum()).astype(np.float32)
-    lengths = np.array([len(w) for w in words])
-    groups = {}
-    for n in np.unique(lengths[lengths > 0]):
-        where = np.nonzero(lengths == n)[0]
-        groups[n] = np.frombuffer(b"".join(words[i] for i in where), np.uint8).reshape(-1, n), y_all[where]
     first, second = ({k: np.zeros_like(v) for k, v in model.items()} for _ in range(2))
-    plan = [(n, i) for n, (x, _) in groups.items() for i in range(-(-len(x) // batch))]
-    step, total = 0, epochs * len(plan)
-    for _ in range(epochs):
-        order = {n: rng.permutation(len(x)) for n, (x, _) in groups.items()}
-        for k in rng.permutation(len(plan)):
-            n, i = plan[k]
-            at = order[n][i * batch:(i + 1) * batch]
-            x, y = groups[n][0][at], groups[n][1][at]
-            _, grad = gradients(model, x, y, weights[y])
-            step += 1
-            rate = 0.012 * (1 - 0.95 * step / total)
-            for name, g in grad.items():
-                first[name] += 0.1 * (g - first[name])
-                second[name] += 0.005 * (g * g - second[name])
-                fix = np.sqrt(1 - 0.995 ** step) / (1 - 0.9 ** step)
-                model[name] -= (rate * fix * first[name] / (np.sqrt(second[name]) + 1e-7)).astype(np.float32)
+    for step in range(1, steps + 1) if len(y_all) else ():
+        at = rng.integers(0, len(y_all), batch)
+        _, grad = gradients(model, x_all[at], sizes[at], y_all[at], weights[y_all[at]])
+        rate = 0.02 * (1 - 0.95 * step / steps)
+        for name, g in grad.items():
+            first[name] += 0.1 * (g - first[name])
+            second[name] += 0.005 * (g * g - second[name])
+            fix = np.sqrt(1 - 0.995 ** step) / (1 - 0.9 ** step)
+            model[name] -= (rate * fix * first[name] / (np.sqrt(second[name]) + 1e-7)).astype(np.float32)
     return model
 
 
-class Pooler:
-    """Sums of position probabilities of words; each distinct word runs through the network once while it is kept."""
-
-    def __init__(self, model: dict, n_classes: int, kept: int = KEPT_WORDS):
-        self.model, self.n_classes, self.kept = model, n_classes, kept
-        self.index: dict[bytes, int] = {}
-        self.sums = np.zeros((0, n_classes), np.float32)
-
-    def add(self, lists: list[list[bytes]]) -> np.ndarray:
-        """(documents, classes): sums over all positions of each list."""
-        if len(self.index) > self.kept:
-            self.index, self.sums = {}, self.sums[:0]
-        index, before = self.index, len(self.index)
-        ids = [np.fromiter([index.setdefault(w, len(index)) for w in words], np.int64, len(words)) for words in lists]
-        fresh = [w for _, w in zip(range(len(index) - before), reversed(index))][::-1]
-        if fresh:
-            self.sums = np.concatenate([self.sums, self._run(fresh)])
-        return np.array([self.sums[i].sum(0, dtype=np.float64) for i in ids]).reshape(len(lists), self.n_classes)
-
-    def _run(self, words: list[bytes], batch: int = 4096) -> np.ndarray:
-        out = np.zeros((len(words), self.n_classes), np.float32)
-        lengths = np.array([len(w) for w in words])
-        for n in np.unique(lengths):
-            where = np.nonzero(lengths == n)[0]
-            for i in range(0, len(where), batch):
-                at = where[i:i + batch]
-                x = np.frombuffer(b"".join(words[j] for j in at), np.uint8).reshape(-1, n)
-                out[at] = position_probs(self.model, x).sum(0)
-        return out
-
-
-def document_probs(texts: list[str | None], pooler: Pooler) -> Iterator[np.ndarray | None]:
-    """Mean position probabilities of each whole text; None where it has no letter."""
-    total: list = [None] * len(texts)
-    lists: list[list[bytes]] = []
-    owners: list[int] = []
-    gathered = 0
-
-    def flush():
-        nonlocal gathered
-        for k, s in zip(owners, pooler.add(lists)):
-            total[k] = total[k] + s
-        lists.clear()
-        owners.clear()
-        gathered = 0
-
-    for k, text in enumerate(texts):
-        if text is None or not LETTER.search(text):
-            continue
-        total[k] = np.zeros(pooler.n_classes)
-        words = words_of(text)
-        for i in range(0, len(words), GATHERED):
-            lists.append(words[i:i + GATHERED])
-            owners.append(k)
-            gathered += len(lists[-1])
-            if gathered >= GATHERED:
-                flush()
-    flush()
-    return [None if s is None else s / max(s.sum(), 1e-12) for s in total]
-
-
-def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n_docs: int = TRAIN_DOCS, n_words: int = TRAIN_WORDS) -> list[tuple[str, list[bytes]]]:
-    """Random words of at most ``n_docs`` labelled documents, those of least hash: (language, words).
+def document_probs(texts: list[str | None], model: dict, n_classes: int) -> Iterator[np.ndarray | None]:
+    """Mean position probabilities of each whole text, a gathering of texts at a time; None where it has no letter."""
+    waiting: list[tuple[bool, bytes]] = []
+    size = 0
+    for text in texts:
+        some = has_letter(text)
+        waiting.append((some, text.encode("utf-8", "surrogatepass") if some else b""))
+        size += len(waiting[-1][1])
+        if size >= GATHERED:
+            yield from _pooled(waiting, model, n_classes)
+            waiting, size = [], 0
+    yield from _pooled(waiting, model, n_classes)
+
+
+def _pooled(texts: list[tuple[bool, bytes]], model: dict, n_classes: int) -> Iterator[np.ndarray | None]:
+    parts = [segments_of(data) for _, data in texts]
+    x, sizes = np.concatenate([x for x, _ in parts] or [np.zeros((0, SEGMENT), np.uint8)]), np.concatenate([n for _, n in parts] or [np.zeros(0, np.int64)])
+    sums = np.zeros((len(sizes), n_classes))
+    by_size = np.argsort(sizes, kind="stable")
+    for i in range(0, len(by_size), TOGETHER):
+        at = by_size[i:i + TOGETHER]
+        sums[at] = position_probs(model, x[at, :int(sizes[at].max())], sizes[at]).sum(0, dtype=np.float64)
+    done = 0
+    for (some, _), (_, own) in zip(texts, parts):
+        total = sums[done:done + len(own)].sum(0)
+        done += len(own)
+        yield total / max(total.sum(), 1e-12) if some else None
+
+
+def training_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n_docs: int = TRAIN_DOCS) -> list[tuple[str, bytes]]:
+    """(language, text) of at most ``n_docs`` labelled documents, those of least hash.
 
     A language with fewer than ``LEAST_DOCS`` of them (less with many languages) gets its own documents of least hash
     in place of others, so every language of the table is in the sample; ``n_docs`` is passed only by more languages than that.
     """
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            got = []
-            for key, text in zip(batch.column(2).to_pylist(), batch.column(0).to_pylist()):
-                words = words_of(text or "")
-                rng = np.random.default_rng(key & 0x7FFFFFFF)
-                got.append([words[i] for i in np.sort(rng.permutation(len(words))[:n_words])] if len(words) < 10 * n_words else [words[i] for i in np.sort(rng.integers(0, len(words), n_words))])
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(got, pa.list_(pa.binary()))], names=["lang", "key", "words"])
-
     labelled = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.lit(3), F.col(id_col).cast("string")).alias("key")).filter("lang is not null and text is not null")
-    keys = labelled.select("key").orderBy("key").limit(n_docs)
-    bound = keys.agg(F.max("key")).first()[0]
+    order = ["key", "lang", F.xxhash64("text")]
+    rows = labelled.select("key").orderBy("key").limit(n_docs)
+    bound = rows.agg(F.max("key")).first()[0]
     if bound is None:
         return []
-    chosen = map_batches(labelled.filter(F.col("key") <= F.lit(bound)), run, "lang string, key long, words array<binary>")
-    rows = chosen.orderBy("key", "lang", "words").limit(n_docs).collect()
+    rows = labelled.filter(F.col("key") <= F.lit(bound)).orderBy(*order).limit(n_docs).collect()
     if len(rows) == n_docs:
         counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
         least = max(1, min(LEAST_DOCS, n_docs // len(counts)))
@@ -239,7 +213,7 @@ def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n
         rare = [lang for lang, n in counts.items() if have[lang] < min(least, n)]
         if rare:
             own = least_keys(labelled.filter(F.col("lang").isin(rare)), least)
-            extra = map_batches(labelled.join(F.broadcast(own), (F.col("lang") == F.col("_l")) & (F.col("key") == F.col("_k"))).select("text", "lang", "key"), run, "lang string, key long, words array<binary>").collect()
+            extra = labelled.join(F.broadcast(own), (F.col("lang") == F.col("_l")) & (F.col("key") == F.col("_k"))).select("text", "lang", "key").orderBy(*order).limit(least * len(rare)).collect()
             rows = [r for r in rows if r["lang"] not in rare]
             spare, over = Counter(r["lang"] for r in rows), len(rows) + len(extra) - n_docs
             for i in range(len(rows) - 1, -1, -1):
@@ -247,8 +221,8 @@ def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n
                     spare[rows[i]["lang"]] -= 1
                     over -= 1
                     del rows[i]
-            rows = sorted([*rows, *extra], key=lambda r: (r["key"], r["lang"], r["words"]))
-    return [(r["lang"], [bytes(w) for w in r["words"]]) for r in rows]
+            rows = sorted([*rows, *extra], key=lambda r: (r["key"], r["lang"], r["text"]))
+    return [(r["lang"], r["text"].encode("utf-8", "surrogatepass")) for r in rows]
 
 
 def least_keys(labelled: DataFrame, n: int) -> DataFrame:
@@ -271,27 +245,25 @@ def least_keys(labelled: DataFrame, n: int) -> DataFrame:
 def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """Every row of ``docs`` with ``lang_pred`` and ``score``, the pooled probability of that language.
 
-    The network is trained on the driver from a sample of ``learn`` of at most ``TRAIN_DOCS`` rows
-    (``TRAIN_WORDS`` random words each); ``docs`` gives only texts. All positions of a whole text
-    are labelled; the document's probabilities are their mean. Words are read as separate
-    sequences, so equal words are computed once while a worker remembers them. Null texts and
-    texts without a letter are ``und`` with score 0, as is everything when nothing can be learnt;
-    ties take the first language. All columns of ``docs`` are kept; those named like the two
-    results are replaced.
+    The network is trained on the driver from a sample of ``learn`` of at most ``TRAIN_DOCS`` rows, which it reads
+    whole; ``docs`` gives only texts. A text's bytes are read as they are, blanks and case included, in segments of up to
+    ``SEGMENT`` bytes that end between characters; every position of a whole text, however long, is labelled, and the document's
+    probabilities are the mean over them. Null, empty and blank texts and texts without a letter are ``und`` with score 0, as is everything when nothing
+    can be learnt; ties take the first language by code point. Repeated rows are kept and get equal results; an empty table gives no rows. A null id is no matter.
+    All columns of ``docs`` are kept; those named like the two results are replaced.
     """
-    sample = training_words(learn, id_col, text_col, lang_col)
+    sample = training_texts(learn, id_col, text_col, lang_col)
     langs = sorted({lang for lang, _ in sample})
-    pairs = [(w, langs.index(lang)) for lang, words in sample for w in words]
-    model = train([w for w, _ in pairs], [y for _, y in pairs], len(langs)) if pairs else None
+    known = [(t, langs.index(lang)) for lang, t in sample if t]
+    model = train([t for t, _ in known], [y for _, y in known], len(langs)) if known else None
     kept = [f for f in docs.schema.fields if f.name.lower() not in (pred_col.lower(), score_col.lower())]
 
     def run(batches):
         import pyarrow as pa
 
-        pooler = Pooler(model, len(langs)) if model else None
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            probs = document_probs(texts, pooler) if pooler else [None] * len(texts)
+            probs = list(document_probs(texts, model, len(langs))) if model else [None] * len(texts)
             names = [UNKNOWN if p is None else langs[int(np.argmax(p))] for p in probs]
             scores = [0.0 if p is None else min(1.0, float(p.max())) for p in probs]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], pred_col, score_col])

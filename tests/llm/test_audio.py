@@ -147,10 +147,9 @@ def test_copies_displaced_by_any_number_of_bytes(spark):
 
 
 def nominated(a, b):
-    """The rule of the join: common keys at both starts; if the starts differ, those after which a run of common keys begins."""
-    (ka, la, fa), (kb, lb, fb) = audio.index_keys(a), audio.index_keys(b)
-    first, second = dict(zip(ka.tolist(), la.tolist())), dict(zip(kb.tolist(), lb.tolist()))
-    return [k for k in first.keys() & second.keys() if first[k] != second[k] and fa != fb or first[k] == second[k] == 0]
+    """The rule of the join: a common key whose integers before it differ or are missing."""
+    first, second = (dict(zip(*(c.tolist() for c in audio.index_keys(x)))) for x in (a, b))
+    return [k for k in first.keys() & second.keys() if first[k] != second[k] or first[k] == 0]
 
 
 def test_every_run_of_integers_is_indexed():

@@ -61,7 +61,7 @@ def test_notices_over_lines_with_words_missing(spark):
     for i, (_, label, score) in enumerate(notices):
         assert found[i]["labels"] == label and (found[i]["score"] == score if score is not None else 0.95 <= found[i]["score"] < 1), i
     join = licenses.ContainmentJoin(licenses.TEMPLATES, {}, licenses.CONTAINMENT)
-    assert max(len(order) - need + 1 for order, need, _, _ in join.sets) >= 3  # prefixes of several words
+    assert max(len(order) - need + 1 for order, need, _, _ in join.sets) >= 2  # prefixes of more than one word
 
 
 def test_sql_agrees(spark):

@@ -26,8 +26,8 @@ KEYED = 3
 SEGMENT = 112
 #: Segments that a task remembers, so as to hand on copies once.
 REMEMBERED = 500_000
-#: Bits of segment numbers, of keys, and of hashes of the integer before a key and of a segment's first key, where they are moved.
-ID_BITS, KEY_BITS, LEAD_BITS, FIRST_BITS = 36, 48, 13, 13
+#: Bits of segment numbers, of keys, and of a hash of the integer before a key, where they are moved.
+ID_BITS, KEY_BITS, LEAD_BITS = 40, 48, 16
 #: Queries are fingerprinted from these samples on, so that what lies between two hops of a recording meets its frames.
 STARTS = (0, 8, 16, 24)
 
@@ -157,10 +157,10 @@ def segments_of(prints: np.ndarray, least_run: int) -> list[tuple[int, np.ndarra
 def media_segments(media: DataFrame, id_col: str, data: Column | str, is_query: Column | None = None, least_run: int = LEAST_RUN) -> DataFrame:
     """The fingerprint of every row, cut into segments.
 
-    ``doc_id``, ``q`` (whether the row is a query), ``c1`` and ``n`` (hash and number of its integers: its class), ``start`` (0, and
-    for queries each other place of ``STARTS``), ``place`` (of the segment's first integer) and ``prints`` (32-bit integers, little
-    endian). A row of start 0 and place 0 stands for each recording, however short; of copies that one task reads only the first has
-    ``prints`` that aren't null, so a group of copies is combined before it is moved.
+    ``doc_id``, ``q`` (whether the row is a query), ``c1`` and ``n`` (hash and number of its integers: its class), ``place`` (of the
+    segment's first integer), ``prints`` (32-bit integers, little endian) and, of queries, ``plays`` (the prints from each of
+    ``STARTS`` there; null where a start has none). A row of place 0 stands for each recording, however short; of copies that one task reads only the
+    first has ``prints`` that aren't null, so a group of copies is combined before it is moved.
     """
     def run(batches):
         import pyarrow as pa
@@ -174,42 +174,41 @@ def media_segments(media: DataFrame, id_col: str, data: Column | str, is_query:
             whole = fingerprints_of(sound)
             asking = [k for k, q in enumerate(asked) if q]
             later = fingerprints_of([samples_of(sound[k])[s:].tobytes() for k in asking for s in STARTS[1:]])
-            all_of = [(k, 0, p) for k, p in enumerate(whole)] + [(k, s, p) for (k, s), p in zip([(k, s) for k in asking for s in STARTS[1:]], later)]
+            cut_up = lambda prints: {place: part.astype("<u4").tobytes() for place, part in segments_of(prints, least_run)}
+            played = {k: [cut_up(p) if len(p) >= least_run else {} for p in later[i * (len(STARTS) - 1):(i + 1) * (len(STARTS) - 1)]] for i, k in enumerate(asking)}
             rows = []
-            for k, start, prints in all_of:
-                digest = xxhash.xxh3_64_intdigest(whole[k].tobytes())
+            for k, prints in enumerate(whole):
+                digest = xxhash.xxh3_64_intdigest(prints.tobytes())
                 c1 = digest - (1 << 64) if digest >> 63 else digest
-                if start and len(prints) < least_run:
-                    continue
-                for place, part in segments_of(prints, least_run):
-                    body = part.astype("<u4").tobytes()
-                    known = (c1, start, place, asked[k], body if start else None)
-                    if known not in seen or not start and not place:
-                        rows.append((k, c1, len(whole[k]), start, place, None if known in seen else body))
+                for place, body in cut_up(prints).items():
+                    plays = (body, *(p.get(place) for p in played[k])) if k in played else None
+                    known = (c1, place, plays)
+                    if known not in seen or not place:
+                        rows.append((k, c1, len(prints), place, *((None, None) if known in seen else (body, plays))))
                     seen.add(known)
             at, *cols = zip(*rows) if rows else [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["doc_id", "q", "c1", "n", "start", "place", "prints"])
+            at = pa.array(at, pa.int64())
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["doc_id", "q", "c1", "n", "place", "prints", "plays"])
 
     data = F.col(data) if isinstance(data, str) else data
     asks = F.lit(False) if is_query is None else F.coalesce(is_query, F.lit(False))
     given = media.select(F.col(id_col).cast("long").alias("doc_id"), asks.alias("q"), data.cast("binary").alias("data"))
-    return map_batches(given, run, "doc_id long, q boolean, c1 long, n int, start int, place int, prints binary")
+    return map_batches(given, run, "doc_id long, q boolean, c1 long, n int, place int, prints binary, plays array<binary>")
 
 
-def index_keys(prints: np.ndarray, keyed: int = KEYED) -> tuple[np.ndarray, np.ndarray, int]:
-    """(keys, leads, first): the distinct hashes of each ``keyed`` successive integers; of the integer before the first such place a hash
-    from 1 on, or 0 at the start; and a hash of the key at the start."""
+def index_keys(prints: np.ndarray, keyed: int = KEYED) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, leads): the distinct hashes of each ``keyed`` successive integers; of the integer before the first such place a hash from 1 on, or 0 at the start."""
     n = len(prints) - keyed + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = np.zeros(n, np.uint64)
     for k in range(keyed):
         h = (h ^ prints[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     keys, first = np.unique(h >> np.uint64(64 - KEY_BITS), return_index=True)
     before = (prints.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - LEAD_BITS)
-    return keys.view(np.int64), np.where(first > 0, before[first - 1].view(np.int64) + 1, 0), int(h[0]) & ((1 << FIRST_BITS) - 1)
+    return keys.view(np.int64), np.where(first > 0, before[first - 1].view(np.int64) + 1, 0)
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray) -> float:
@@ -268,56 +267,66 @@ def align_recordings(segments: DataFrame, least_run: int = LEAST_RUN, most_error
     (first place in the query), ``run`` (windows at that shift plus ``least_run`` - 1), ``votes`` and ``errors`` (see :func:`aligned`).
 
     The index holds every ``KEYED`` successive integers of every recording: two segments with ``KEYED`` equal integers in a row
-    have a common key, and such segments are compared at every shift, the query played from each of its ``STARTS``. A stretch
+    have a common key, and such segments are compared at every shift, the query played from each of its ``STARTS`` that has the key. A stretch
     whose wrong bits leave no ``KEYED`` equal integers in a row in its segments is not nominated. Of a run of common keys only the
     first nominates: a pair is passed over at a key before whose first places both segments have equal integers, as those make
-    a common key further ahead; and at all but the first key if both start with the same one. (Equal is what agrees in ``LEAD_BITS`` or
-    ``FIRST_BITS`` bits of a hash; one pair in some thousands of runs may be lost so.) Classes stand for any number of
+    a common key further ahead (unequal ones that agree in ``LEAD_BITS`` bits of a hash count as equal, which may lose one run in 65,000). Keys that
+    several starts have nominate once for them all. Classes stand for any number of
     copies, so equal recordings are never paired. Recordings under ``least_run`` integers are members without links.
     Only keys, segment numbers and the segments of nominated pairs are moved, none longer than ``SEGMENT`` + ``least_run`` - 1.
     """
-    membership = segments.filter("start = 0 and place = 0").select("doc_id", "q", "c1", "n")
-    long = segments.filter(F.col("n") >= least_run)
-    # One segment of each class and place; of queries every start, whose last integers may differ between members.
+    membership = segments.filter("place = 0").select("doc_id", "q", "c1", "n")
+    long = segments.filter((F.col("n") >= least_run) & F.col("prints").isNotNull())
+    # One segment of each class and place; of queries one for each different end, which the later starts may hear.
     number = lambda *of: F.shiftrightunsigned(F.xxhash64(*of), 64 - ID_BITS)  # noqa: E731  numbers that two segments share by chance only add pairs to compare
-    index = long.filter("start = 0 and prints is not null").withColumn("y", number("c1", "n", "place")).repartition("y").dropDuplicates(["y", "c1", "n", "place"]).select("y", "c1", "n", "place", "prints")
-    asked = long.filter("q and prints is not null").dropDuplicates(["c1", "n", "start", "place", "prints"]).select(number("c1", "n", "start", "place", "prints").alias("x"), "c1", "n", "start", "place", "prints")
+    index = long.withColumn("y", number("c1", "n", "place")).repartition("y").dropDuplicates(["y", "c1", "n", "place"]).select("y", "c1", "n", "place", "prints")
+    asked = long.filter("plays is not null").dropDuplicates(["c1", "n", "place", "plays"]).select(number("c1", "n", "place", "plays").alias("x"), "c1", "n", "place", "plays")
 
     def keyed(batches):
         import pyarrow as pa
 
         for batch in batches:
             many = [index_keys(np.frombuffer(p, "<u4")) for p in batch.column(1).to_pylist()]
-            heads = np.array(batch.column(0)) * (1 << FIRST_BITS) + np.array([first for _, _, first in many])
-            leads = np.concatenate([lead for _, lead, _ in many])
-            moved = np.repeat(heads, [len(k) for k, _, _ in many]) * (2 << LEAD_BITS) + leads
-            yield pa.RecordBatch.from_arrays([pa.array(moved), pa.array(np.concatenate([k for k, _, _ in many]))], names=["id", "key"])
-
-    # Number, first and lead are moved as one.
-    bits = lambda c, skip, n: F.shiftright(c, skip).bitwiseAND(F.lit((1 << n) - 1))
-    split = lambda c: (F.shiftright(c, FIRST_BITS + LEAD_BITS + 1), bits(c, LEAD_BITS + 1, FIRST_BITS), bits(c, 0, LEAD_BITS + 1))
-    keys = map_batches(index.select("y", "prints"), keyed, "id long, key long").select(F.col("id").alias("yid"), F.col("key").alias("ykey"))
-    asks = map_batches(asked.select("x", "prints"), keyed, "id long, key long").select(F.col("id").alias("xid"), F.col("key").alias("xkey"))
-    (x, xfirst, xlead), (y, yfirst, ylead) = split("xid"), split("yid")
-    once = ((xlead != ylead) & (xfirst != yfirst)) | ((xlead == 0) & (ylead == 0))
-    pairs = asks.join(keys, (F.col("xkey") == F.col("ykey")) & once).select(x.alias("x"), y.alias("y")).distinct()
-    sides = pairs.join(asked.select(F.col("x").alias("_x"), "c1", "n", F.col("start").alias("k"), F.col("place").alias("xplace"), F.col("prints").alias("xprints")), F.col("x") == F.col("_x")).select("y", "c1", "n", "k", "xplace", "xprints")
+            moved = np.repeat(np.array(batch.column(0)), [len(k) for k, _ in many]) * (2 << LEAD_BITS) + np.concatenate([lead for _, lead in many])
+            yield pa.RecordBatch.from_arrays([pa.array(moved), pa.array(np.concatenate([k for k, _ in many]))], names=["yid", "ykey"])
+
+    def asking(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows: dict[tuple[int, int], int] = {}
+            for x, plays in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for k, p in enumerate(plays):
+                    for key, lead in zip(*(c.tolist() for c in index_keys(np.frombuffer(p or b"", "<u4")))):
+                        at = (x * (2 << LEAD_BITS) + lead, key)
+                        rows[at] = rows.get(at, 0) | 1 << k
+            yield pa.RecordBatch.from_arrays([*(pa.array([at[i] for at in rows], pa.int64()) for i in (0, 1)), pa.array(list(rows.values()), pa.int32())], names=["xid", "xkey", "starts"])
+
+    keys = map_batches(index.select("y", "prints"), keyed, "yid long, ykey long")
+    asks = map_batches(asked.select("x", "plays"), asking, "xid long, xkey long, starts int")
+    split = lambda c: (F.shiftright(c, LEAD_BITS + 1), F.col(c).bitwiseAND(F.lit((2 << LEAD_BITS) - 1)))  # noqa: E731  number and lead are moved as one
+    (x, xlead), (y, ylead) = split("xid"), split("yid")
+    pairs = asks.join(keys, (F.col("xkey") == F.col("ykey")) & ((xlead != ylead) | (xlead == 0))).select(x.alias("x"), y.alias("y"), "starts").groupBy("x", "y").agg(F.bit_or("starts").alias("starts"))
+    heard = F.expr("filter(transform(plays, (p, k) -> if(shiftright(starts, k) & 1 = 1, struct(k, p), null)), e -> e is not null)")
+    sides = pairs.join(asked.select(F.col("x").alias("_x"), "c1", "n", F.col("place").alias("xplace"), "plays"), F.col("x") == F.col("_x")).select("y", "c1", "n", "xplace", heard.alias("heard"))
     # The index is dealt by segment number for this join already.
     sides = sides.join(index.select(F.col("y").alias("_y"), F.col("c1").alias("m1"), F.col("n").alias("mn"), F.col("place").alias("yplace"), F.col("prints").alias("yprints")), F.col("y") == F.col("_y"))
-    sides = sides.filter((F.col("c1") != F.col("m1")) | (F.col("n") != F.col("mn"))).select("c1", "n", "m1", "mn", "k", "xplace", "yplace", "xprints", "yprints")
+    sides = sides.filter((F.col("c1") != F.col("m1")) | (F.col("n") != F.col("mn"))).select("c1", "n", "m1", "mn", "xplace", "yplace", "heard", "yprints")
 
     def verified(batches):
         import pyarrow as pa
 
         for batch in batches:
             at, rows = [], []
-            for k, (xplace, yplace, x, y) in enumerate(zip(*(c.to_pylist() for c in batch.columns[5:]))):
-                if found := aligned(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least_run, most_errors):
-                    wrong, start, windows, shift, votes = found
-                    at.append(k)
-                    rows.append((shift + yplace - xplace, start + xplace, windows, votes, wrong))
-            cols = [*zip(*rows)] or [()] * 5
-            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:5]), *(pa.array(c, pa.int64() if k < 4 else pa.float64()) for k, c in enumerate(cols))], names=["c1", "n", "m1", "mn", "k", "shift", "start", "windows", "votes", "errors"])
+            for i, (xplace, yplace, heard, y) in enumerate(zip(*(c.to_pylist() for c in batch.columns[4:]))):
+                for play in heard:
+                    if found := aligned(np.frombuffer(play["p"], "<u4"), np.frombuffer(y, "<u4"), least_run, most_errors):
+                        wrong, start, windows, shift, votes = found
+                        at.append(i)
+                        rows.append((play["k"], shift + yplace - xplace, start + xplace, windows, votes, wrong))
+            cols = [*zip(*rows)] or [()] * 6
+            kinds = [pa.int32(), *[pa.int64()] * 4, pa.float64()]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:4]), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["c1", "n", "m1", "mn", "k", "shift", "start", "windows", "votes", "errors"])
 
     found = map_batches(sides, verified, "c1 long, n int, m1 long, mn int, k int, shift long, start long, windows long, votes long, errors double")
     by_shift = found.groupBy("c1", "n", "m1", "mn", "k", "shift").agg(F.min("errors").alias("errors"), F.sum("windows").alias("windows"), F.min("start").alias("start"), F.max("votes").alias("votes"))

@@ -49,16 +49,43 @@ def scenario_prompt(persona1: Column, persona2: Column, relationship: Column, tr
 
 
 def turn_prompt(parts: Column, experience: Column, sender: Column) -> Column:
-    """The messages that ask for the next turn of a chat by ``sender`` (a persona)."""
-    first = sender["id"] == experience["persona1"]["id"]
-    other = F.when(first, experience["persona2"]["name"]).otherwise(experience["persona1"]["name"])
-    rules = F.format_string("You write as %s to %s. Tie: %s. Scene: %s. Subject: %s. About you: %s. Answer in JSON with messages.", sender["name"], other, experience["relationship"], experience["situation"], experience["topic"], F.to_json(lean_persona(sender), JSON))
-    return F.array(_message("system", rules), _message("user", transcript(parts, experience)))
+    """The messages that ask for the next turn of a chat by ``sender`` (a persona): rules, both people, the scene and what was said."""
+    scene = F.struct(lean_persona(experience["persona1"]).alias("persona1"), lean_persona(experience["persona2"]).alias("persona2"), *[experience[f].alias(f) for f in ("relationship", "situation", "topic")])
+    body = F.format_string(_TURN, sender["name"], F.to_json(scene, JSON), transcript(parts, experience))
+    return F.array(_message("system", F.lit(TURN_RULES)), _message("user", body))
+
+
+TURN_RULES = "You write one turn of a chat between two people. Answer in JSON with messages and nothing else."
+_TURN = "Write what %s sends next.\n\nThe people and the scene:\n%s\n\nThe chat so far:\n%s\n\nSend one or a few short messages in that person's style. Media go into tags, and an end tag closes the chat when it has come to its end."
+
+
+def turn_messages(parts: list[dict], experience: dict, sender: dict) -> list[dict]:
+    """As :func:`turn_prompt`, outside a plan, where each turn depends on the model's answer to the last."""
+    import json
+
+    lean = lambda p: {k: v for k, v in p.items() if k not in ("username", "model", "id")}
+    scene = {"persona1": lean(experience["persona1"]), "persona2": lean(experience["persona2"])} | {f: experience[f] for f in ("relationship", "situation", "topic")}
+    names = {p["id"]: p["name"] for p in (experience["persona1"], experience["persona2"])}
+    said = "\n".join(f"{names[p['sender']]}: {m}" for p in parts for m in p["messages"]) or EMPTY_CHAT
+    return [{"role": "system", "content": TURN_RULES}, {"role": "user", "content": _TURN % (sender["name"], json.dumps(scene, ensure_ascii=False, separators=(",", ":")), said)}]
+
+
+_TRANSLATE = "Put the text into %s (%s). Keep tags as they are, keep the tone, and give nothing but the translation.\n\n%s"
 
 
 def translation_prompt(text: Column, name: Column, native_name: Column) -> Column:
     """Asks for a translation of ``text`` alone, tags kept."""
-    return F.format_string("Put the text into %s (%s). Keep tags as they are, keep the tone, and give nothing but the translation.\n\n%s", name, native_name, text)
+    return F.format_string(_TRANSLATE, name, native_name, text)
+
+
+def translation_text(text: str, name: str, native_name: str) -> str:
+    """As :func:`translation_prompt`, outside a plan."""
+    return _TRANSLATE % (name, native_name, text)
+
+
+def chat_template(messages: list[dict]) -> str:
+    """A plain template of a chat prompt, with the turn of the assistant opened at its end."""
+    return "".join(f"[{m['role']}]\n{m['content']}\n" for m in messages) + "[assistant]\n"
 
 
 def chat_id(persona1: Column, persona2: Column, seconds: Column) -> Column:
@@ -73,3 +100,8 @@ def new_id() -> Column:
 def short_model(model: Column) -> Column:
     """What follows the last slash of a model's name."""
     return F.element_at(F.split(model, "/"), -1)
+
+
+def short_name(model: str) -> str:
+    """As :func:`short_model`, outside a plan."""
+    return model.rpartition("/")[2]

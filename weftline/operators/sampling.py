@@ -21,7 +21,7 @@ def weighted_pick(draws: DataFrame, items: DataFrame, u_col: str, weight_col: st
     Items are bucketed along the line of weights, so a draw is compared only with those of its bucket
     (an equi-join), not with all.
     """
-    bins = 64
+    bins = max(64, items.count())  # so that a cell holds about one item
     ranged = cumulative(items, weight_col, order, by).filter(F.col(weight_col) > 0)
     cell = lambda x: F.floor(x * bins / F.col("total")).cast("int")
     ranged = ranged.withColumn("_cell", F.explode(F.sequence(cell(F.col("lo")), F.least(cell(F.col("hi")), F.lit(bins - 1)))))

@@ -52,15 +52,23 @@ def query(sql: str | None = None):
 
 # --- assembling and merging ------------------------------------------------------------------------------------
 
-@query("""SELECT conv_id, count(*) AS turns, CAST(sum(len(list_filter(string_split(text, chr(10)), lambda x: trim(x, %s) <> ''))) AS BIGINT) AS messages,
+def _assembled(spark, sf_dir):
+    """A chat of each conversation: a part for each turn, its messages the text's lines that aren't blank."""
+    lines = F.filter(F.split("text", "\n"), lambda m: text.strip(m) != "")
+    part = F.struct("turn", F.col("role").alias("sender"), lines.alias("messages"))
+    chats = _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(part)).alias("chat_parts"))
+    return chats.withColumn("chat_parts", F.transform("chat_parts", lambda p: F.struct(p["sender"].alias("sender"), p["messages"].alias("messages"))))
+
+
+@query("""SELECT conv_id, CAST(count(*) AS INTEGER) AS turns, CAST(sum(len(list_filter(string_split(text, chr(10)), lambda x: trim(x, %s) <> ''))) AS INTEGER) AS messages,
   arg_min(role, turn) AS first_sender, arg_max(role, turn) AS last_sender FROM conversations GROUP BY conv_id""" % _BL)
 def chat_assemble(spark, sf_dir):
-    lines = F.filter(F.split("text", "\n"), lambda m: text.strip(m) != "")
-    return _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.count("*").alias("turns"), F.sum(F.size(lines)).cast("long").alias("messages"), F.min_by("role", "turn").alias("first_sender"), F.max_by("role", "turn").alias("last_sender"))
+    turns, messages = merge.chat_sizes(F.col("chat_parts"))
+    senders = F.transform("chat_parts", lambda p: p["sender"])
+    return _assembled(spark, sf_dir).select("conv_id", turns.alias("turns"), messages.alias("messages"), F.element_at(senders, 1).alias("first_sender"), F.element_at(senders, -1).alias("last_sender"))
 
 
-_RECORDS = """records AS (SELECT conv_id AS pos, CASE WHEN conv_id % 13 = 5 THEN NULL ELSE 'c' || CAST(conv_id % 40 AS VARCHAR) END AS chat_id,
+_RECORDS = """records AS (SELECT conv_id AS pos, CASE WHEN conv_id % 13 = 5 THEN NULL ELSE 'c' || CAST(conv_id // 2 AS VARCHAR) END AS chat_id,
   CASE WHEN conv_id % 7 = 0 THEN 0 WHEN conv_id % 7 = 1 THEN 1 ELSE count(*) END AS n FROM conversations GROUP BY conv_id),
 firsts AS (SELECT *, min(CASE WHEN n >= 2 THEN pos END) OVER (PARTITION BY chat_id) AS f FROM records),
 marked AS (SELECT pos, chat_id, n, CASE WHEN chat_id IS NULL THEN 'malformed' WHEN pos = f THEN 'written' WHEN pos > f THEN 'duplicate' ELSE 'empty' END AS status FROM firsts)"""
@@ -69,7 +77,7 @@ marked AS (SELECT pos, chat_id, n, CASE WHEN chat_id IS NULL THEN 'malformed' WH
 def _records(spark, sf_dir):
     rows = _read(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("pos")).agg(F.count("*").alias("turns"))
     n = F.when(F.col("pos") % 7 == 0, 0).when(F.col("pos") % 7 == 1, 1).otherwise(F.col("turns"))
-    rows = rows.select("pos", F.when(F.col("pos") % 13 != 5, F.concat(F.lit("c"), (F.col("pos") % 40).cast("string"))).alias("chat_id"), n.cast("long").alias("n"))
+    rows = rows.select("pos", F.when(F.col("pos") % 13 != 5, F.concat(F.lit("c"), F.expr("pos div 2").cast("string"))).alias("chat_id"), n.cast("long").alias("n"))
     return merge.keep_first(rows, "chat_id", ["pos"], F.col("n") >= 2)
 
 
@@ -83,9 +91,44 @@ def merge_written(spark, sf_dir):
     return _records(spark, sf_dir).filter("status = 'written'").select("chat_id", "pos")
 
 
-@query("SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id HAVING count(*) >= 3")
+@query("SELECT conv_id, CAST(count(*) AS INTEGER) AS turns FROM conversations GROUP BY conv_id HAVING count(*) >= 2")
 def min_turns(spark, sf_dir):
-    return _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("turns")).filter("turns >= 3")
+    """Chats written as JSON lines and classified: those of two turns or more are accepted."""
+    value = F.to_json(F.struct(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("chat_id"), "chat_parts"), prompts.JSON)
+    lines = _assembled(spark, sf_dir).select(F.lit("f").alias("file"), F.col("conv_id").alias("line"), value.alias("value"))
+    return merge.merge_chats(lines)[1].filter("status = 'written'").select(F.col("line").alias("conv_id"), "turns")
+
+
+# Lines of every odd kind, and what becomes of each: (chat_id as JSON, experience, parts, status, cleaned parts).
+_PEOPLE = '{"persona1":{"name":"Ann","username":null},"persona2":{"name":"Bob","username":"bee"}}'
+_TALK = '[{"sender":"a","messages":["Ann: hi"]},{"sender":"b","messages":["so <delay/> bee: ok"]}]'
+_CLEAN_TALK = '[{"sender":"a","messages":["hi"]},{"sender":"b","messages":["so","<delay/>","ok"]}]'
+_ODD = [
+    ('"k1"', _PEOPLE, _TALK, "written", _CLEAN_TALK), ('"0"', _PEOPLE, _TALK, "written", _CLEAN_TALK), ('"false"', _PEOPLE, _TALK, "written", _CLEAN_TALK),
+    ("5", _PEOPLE, _TALK, "written", _CLEAN_TALK), ('"5"', _PEOPLE, _TALK, "written", _CLEAN_TALK), ("0", _PEOPLE, _TALK, "malformed", None),
+    ("false", _PEOPLE, _TALK, "malformed", None), ("null", _PEOPLE, _TALK, "malformed", None), ('""', _PEOPLE, _TALK, "malformed", None), ("[]", _PEOPLE, _TALK, "malformed", None),
+    ('"k2"', '{"persona1":{},"persona2":{"name":"Bob"}}', _TALK, "written", _TALK), ('"k3"', '{"persona2":{"name":"Bob"}}', _TALK, "written", _TALK),
+    ('"k4"', _PEOPLE, '[{"sender":"a","messages":["Ann: hi",null,7,"x"]},{"sender":"b","messages":[]}]', "written", '[{"sender":"a","messages":["hi",null,7,"x"]},{"sender":"b","messages":[]}]'),
+    ('"k5"', _PEOPLE, "[1,2]", "error", None), ('"k5"', _PEOPLE, '{"a":1}', "empty", None), ('"k5"', _PEOPLE, '[{"sender":"a","messages":["hi"]}]', "empty", None), ('"k1"', _PEOPLE, "[3,4]", "duplicate", None),
+]
+
+
+def _odd_values() -> str:
+    said = lambda x: "CAST(NULL AS VARCHAR)" if x is None else "'" + x.replace("'", "''") + "'"
+    return "(VALUES " + ", ".join(f"({k}, {', '.join(map(said, row))})" for k, row in enumerate(_ODD)) + ")"
+
+
+@query(f"""WITH o(k, id, experience, parts, status, cleaned) AS {_odd_values()}, c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT CAST(conv_id * 100 + k AS BIGINT) AS line, status, CASE WHEN status = 'written' THEN id END AS chat_id, CASE WHEN status = 'written' THEN cleaned END AS parts FROM c, o WHERE c.conv_id = (SELECT min(conv_id) FROM conversations)
+UNION ALL SELECT CAST(conv_id * 100 + k AS BIGINT), CASE WHEN status = 'written' THEN 'duplicate' ELSE status END, NULL, NULL FROM c, o WHERE c.conv_id > (SELECT min(conv_id) FROM conversations)""")
+def merge_odd(spark, sf_dir):
+    """Records of odd shapes, repeated once for each conversation: null and numeric messages, empty personas, ids of every type, parts that aren't objects."""
+    convs = _read(spark, sf_dir, "conversations").select("conv_id").distinct()
+    values = ['{"chat_id":%s,"experience":%s,"chat_parts":%s}' % row[:3] for row in _ODD]
+    rows = convs.select("conv_id", F.posexplode(F.array(*map(F.lit, values))).alias("k", "value"))
+    chats, marked = merge.merge_chats(rows.select(F.lit("f").alias("file"), (F.col("conv_id") * 100 + F.col("k")).alias("line"), "value"))
+    done = chats.select(F.col("line").alias("_line"), F.to_json("chat_id").alias("chat_id"), F.to_json("chat_parts", prompts.JSON).alias("parts"))
+    return marked.join(done, F.col("line") == F.col("_line"), "left").select("line", "status", "chat_id", "parts")
 
 
 # --- names and tags --------------------------------------------------------------------------------------------
@@ -144,7 +187,7 @@ def strip_unicode(spark, sf_dir):
 
 # --- the flagship: merge and clean in one ----------------------------------------------------------------------
 
-_CLEAN = f"""made AS (SELECT conv_id, turn, role, '<image>map</image> ' || role || ': ' || substr(text, 1, 30) || ' <delay hours="2"/> ' || substr(text, 31) AS m, conv_id % 40 AS chat FROM conversations),
+_CLEAN = f"""made AS (SELECT conv_id, turn, role, '<image>map</image> ' || role || ': ' || substr(text, 1, 30) || ' <delay hours="2"/> ' || substr(text, 31) AS m, conv_id // 2 AS chat FROM conversations),
 sized AS (SELECT conv_id, chat, count(*) AS n FROM made GROUP BY conv_id, chat),
 kept AS (SELECT min(conv_id) AS conv_id FROM sized WHERE n >= 2 GROUP BY chat),
 scrubbed AS (SELECT made.conv_id, chat, turn, trim({_scrub_sql('m', ["'user'", "'assistant'"], [])}, {_BL}) AS m FROM made JOIN kept USING (conv_id)),
@@ -161,7 +204,7 @@ def merge_clean(spark, sf_dir):
     turns = _read(spark, sf_dir, "conversations").withColumn("part", F.struct(F.col("role").alias("sender"), F.array(m).alias("messages")))
     chats = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "part"))), lambda x: x["part"]).alias("chat_parts"))
     person = lambda name: F.struct(F.lit(name).alias("name"), F.lit(None).cast("string").alias("username"))
-    chats = chats.withColumn("chat_id", F.concat(F.lit("c"), (F.col("conv_id") % 40).cast("string"))).withColumn("experience", F.struct(person("user").alias("persona1"), person("assistant").alias("persona2")))
+    chats = chats.withColumn("chat_id", F.concat(F.lit("c"), F.expr("conv_id div 2").cast("string"))).withColumn("experience", F.struct(person("user").alias("persona1"), person("assistant").alias("persona2")))
     kept = merge.keep_first(chats, "chat_id", ["conv_id"], F.size("chat_parts") >= 2).filter("status = 'written'")
     cleaned = kept.withColumn("chat_parts", merge.clean_parts(F.col("chat_parts"), F.col("experience")))
     return merge.messages_of(cleaned).select("chat_id", "turn", "message_no", "message")
@@ -340,42 +383,96 @@ def lang_gather(spark, sf_dir):
     return items.select("chat_id", "kind", "field", "idx1", "idx2", F.md5("text").alias("digest"))
 
 
-@query(f"""WITH {_GATHERED}, t AS (SELECT doc_id, CASE WHEN trim(t, {_BL}) <> '' AND NOT starts_with(trim(t, {_BL}), '<') THEN translate(t, '{ascii_lowercase}', '{ascii_uppercase}') ELSE t END AS u, kind FROM g WHERE kind IN ('message', 'scene'))
-SELECT doc_id AS chat_id, CAST(sum(CASE WHEN kind = 'scene' THEN length(u) ELSE 0 END) AS BIGINT) AS scene_chars, CAST(sum(CASE WHEN kind = 'message' THEN 1 ELSE 0 END) AS BIGINT) AS messages,
-  CAST(sum(CASE WHEN kind = 'message' THEN length(regexp_replace(u, '[^A-Z]', '', 'g')) ELSE 0 END) AS BIGINT) AS capitals FROM t GROUP BY doc_id""")
+@query(f"""WITH {_GATHERED}, t AS (SELECT doc_id, kind, field, idx1, idx2, CASE WHEN trim(t, {_BL}) <> '' AND NOT starts_with(trim(t, {_BL}), '<') THEN translate(t, '{ascii_lowercase}', '{ascii_uppercase}') ELSE t END AS u FROM g)
+SELECT doc_id AS chat_id, max(CASE WHEN field = 'topic' THEN u END) AS topic, max(CASE WHEN kind = 'persona2' AND field = 'traits' AND idx1 = 1 THEN u END) AS trait, max(CASE WHEN kind = 'persona1' AND field = 'background' THEN u END) AS background,
+  coalesce(md5(string_agg(CASE WHEN kind = 'message' THEN u END, chr(10) ORDER BY idx2)), md5('')) AS digest FROM t GROUP BY doc_id""")
 def lang_merge(spark, sf_dir):
-    """Gathered, translated by a stand-in (A-Z for a-z) and put back; counted from the merged maps."""
+    """Gathered, translated by a stand-in (A-Z for a-z) and put back, texts compared."""
     wrapped = multilang.wrap(_lang_chats(spark, sf_dir))
     items = multilang.gather(wrapped)
     done = items.withColumn("language", F.lit("de")).withColumn("translated", F.when(multilang.translatable(F.col("text")), F.translate("text", ascii_lowercase, ascii_uppercase)).otherwise(F.col("text")))
     out = multilang.merge_translations(wrapped, done)
     x = F.col("experience")
     de = F.filter(F.transform(F.flatten(F.transform("chat_parts", lambda p: p["messages"])), lambda m: m["de"]), lambda m: m.isNotNull())
-    scene = sum((F.length(x[f]["de"]) for f in multilang.SCENE_TEXTS[1:]), F.length(x[multilang.SCENE_TEXTS[0]]["de"]))
-    return out.select("chat_id", scene.cast("long").alias("scene_chars"), F.size(de).cast("long").alias("messages"), F.aggregate(de, F.lit(0).cast("long"), lambda n, m: n + F.length(F.regexp_replace(m, "[^A-Z]", ""))).alias("capitals"))
+    return out.select("chat_id", x["topic"]["de"].alias("topic"), x["persona2"]["traits"]["de"][1].alias("trait"), x["persona1"]["background"]["de"].alias("background"), F.md5(F.array_join(de, "\n")).alias("digest"))
 
 
-@query(f"""WITH a AS (SELECT CASE doc_id % 5 WHEN 0 THEN '  ' WHEN 1 THEN ' <gif>x</gif>' WHEN 2 THEN '<gif>x</gif> and more' WHEN 3 THEN chr(160) ELSE text END AS t FROM documents)
-SELECT starts_with(t, '<') AS is_tag, trim(t, {_BL}) <> '' AND NOT starts_with(trim(t, {_BL}), '<') AS is_text, count(*) AS n FROM a GROUP BY is_tag, is_text""")
+@query(f"""WITH a AS (SELECT text AS t FROM documents UNION ALL SELECT v FROM documents, (VALUES ('  '), (' <gif>x</gif>'), ('<gif>x</gif> and more'), (chr(160))) AS q(v))
+SELECT starts_with(t, '<') AS is_tag, trim(t, {_BL}) <> '' AND NOT starts_with(trim(t, {_BL}), '<') AS is_text, count(*) AS n, CAST(sum(length(t)) AS BIGINT) AS chars FROM a GROUP BY is_tag, is_text""")
 def translate_filter(spark, sf_dir):
-    t = F.expr("CASE doc_id % 5 WHEN 0 THEN '  ' WHEN 1 THEN ' <gif>x</gif>' WHEN 2 THEN '<gif>x</gif> and more' WHEN 3 THEN '\\u00a0' ELSE text END")
-    rows = _read(spark, sf_dir, "documents").select(t.alias("t"))
-    return rows.groupBy(F.startswith("t", F.lit("<")).alias("is_tag"), multilang.translatable(F.col("t")).alias("is_text")).agg(F.count("*").alias("n"))
+    """Every text, and for each the special cases as further rows."""
+    cases = [F.lit(x) for x in ("  ", " <gif>x</gif>", "<gif>x</gif> and more", "\u00a0")]
+    rows = _read(spark, sf_dir, "documents").select(F.explode(F.array(F.col("text"), *cases)).alias("t"))
+    return rows.groupBy(F.startswith("t", F.lit("<")).alias("is_tag"), multilang.translatable(F.col("t")).alias("is_text")).agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("chars"))
 
 
-@query("SELECT DISTINCT lang AS language FROM documents WHERE lang IN ('de', 'es', 'it', 'en') AND lang <> 'en'")
+@query("""SELECT lang AS language FROM (SELECT lang FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents) UNION SELECT 'it') AS t WHERE lang IN ('de', 'es', 'it', 'fr') AND lang <> 'en'""")
 def lang_conflict(spark, sf_dir):
-    targets = F.array(*[F.lit(x) for x in ("de", "es", "it", "en")])
-    keys = _read(spark, sf_dir, "documents").groupBy().agg(F.collect_set("lang").alias("k"))
-    return keys.select(F.explode(F.array_except(F.array_intersect("k", targets), F.array(F.lit("en")))).alias("language"))
+    """The library's check on a multilingual table: the first record already has its own language and Italian."""
+    first = _lang_chats(spark, sf_dir).orderBy("chat_id").limit(1)
+    x = F.col("experience")
+    chats = multilang.wrap(first).withColumn("experience", x.withField("topic", F.map_concat(x["topic"], F.create_map(F.lit("it"), F.lit("x")), F.map_filter(F.create_map(x["persona1"]["chatting_style"][multilang.SOURCE], F.lit("y")), lambda k, _: ~k.isin("en", "it")))))
+    found = multilang.conflicts(chats, ["de", "es", "it", "fr", "en"])
+    return spark.createDataFrame([(x,) for x in found], "language string")
 
 
-@query("""SELECT event_type, count(*) AS n, count(json_extract_string(props, '$.missing')) AS missing, count(props) AS props FROM events GROUP BY event_type""")
+@query("""SELECT event_type, count(*) AS n, CAST(count(*) AS BIGINT) AS keys, count(props) AS props FROM events GROUP BY event_type""")
 def json_nulls(spark, sf_dir):
-    """Records written as JSON with nulls kept and parsed again: no field is lost."""
-    rows = _read(spark, sf_dir, "events").select("event_type", "props", F.get_json_object("props", "$.missing").alias("missing"))
-    again = rows.select(F.from_json(F.to_json(F.struct("*"), prompts.JSON), "event_type string, props string, missing string").alias("r")).select("r.*")
-    return again.groupBy("event_type").agg(F.count("*").alias("n"), F.count("missing").alias("missing"), F.count("props").alias("props"))
+    """Records written as JSON with nulls kept: the key of a null field is in the text."""
+    rows = _read(spark, sf_dir, "events").select("event_type", "props", F.lit(None).cast("string").alias("missing"))
+    said = rows.select("event_type", F.to_json(F.struct("*"), prompts.JSON).alias("j"))
+    again = said.select("event_type", F.array_contains(F.json_object_keys("j"), "missing").alias("key"), F.get_json_object("j", "$.props").alias("props"))
+    return again.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if("key").alias("keys"), F.count("props").alias("props"))
+
+
+# --- draws at scale, prompts, identifiers -----------------------------------------------------------------------
+
+@query(f"""WITH p AS (SELECT s_suppkey AS pos, 18 + s_suppkey % 9 AS age, row_number() OVER (PARTITION BY 18 + s_suppkey % 9 ORDER BY s_suppkey) - 1 AS k FROM supplier),
+a AS (SELECT age, count(*) AS n FROM p GROUP BY age),
+c AS (SELECT x.age AS a1, y.age AS a2, y.n AS n2, CASE WHEN x.age = y.age THEN x.n * (x.n - 1) // 2 ELSE x.n * y.n END AS pairs FROM a x JOIN a y ON x.age <= y.age),
+m AS (SELECT *, pairs * pow(1.0 / (abs(a1 - a2) + 1), 2) AS w FROM c WHERE pairs > 0),
+v AS (SELECT *, sum(w) OVER (ORDER BY a1, a2 ROWS UNBOUNDED PRECEDING) AS hi, sum(w) OVER () AS total FROM m),
+d AS (SELECT event_id, {_U.format(id='event_id')} AS u1, ((event_id * 104729) % 9973) / CAST(9973 AS DOUBLE) AS u2 FROM events),
+j AS (SELECT event_id, a1, a2, n2, CAST(least(floor(u2 * pairs), pairs - 1) AS BIGINT) AS k FROM d JOIN v ON u1 * total >= hi - w AND u1 * total < hi),
+t AS (SELECT *, CAST(floor((1 + sqrt(8.0 * k + 1)) / 2) AS BIGINT) AS jj FROM j),
+i AS (SELECT event_id, a1, a2, CASE WHEN a1 = a2 THEN k - jj * (jj - 1) // 2 ELSE k // n2 END AS ka, CASE WHEN a1 = a2 THEN jj ELSE k % n2 END AS kb FROM t)
+SELECT event_id, least(x.pos, y.pos) AS p1, greatest(x.pos, y.pos) AS p2 FROM i JOIN p x ON x.age = a1 AND x.k = ka JOIN p y ON y.age = a2 AND y.k = kb""")
+def pair_draws(spark, sf_dir):
+    """Pairs by likeness of ages without a list of all pairs."""
+    people = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pos"), (18 + F.col("s_suppkey") % 9).alias("age"))
+    draws = _read(spark, sf_dir, "events").select("event_id", F.expr(_U.format(id="event_id")).alias("u1"), F.expr("((event_id * 104729) % 9973) / CAST(9973 AS DOUBLE)").alias("u2"))
+    return sampling.draw_pairs(draws, people, "pos", "age", "u1", "u2").select("event_id", "p1", "p2")
+
+
+_PERSON = "'{{\"name\":\"' || {n} || '\",\"age\":' || CAST({a} AS VARCHAR) || ',\"traits\":[\"calm\"],\"background\":null,\"chatting_style\":\"short\"}}'"
+
+
+def _persona(name, age):
+    return F.struct(name.alias("name"), F.lit("u").alias("username"), age.cast("int").alias("age"), F.array(F.lit("calm")).alias("traits"), F.lit(None).cast("string").alias("background"), F.lit("short").alias("chatting_style"), F.lit("m").alias("model"), F.concat(F.lit("id"), name).alias("id"))
+
+
+@query(f"""WITH p AS (SELECT s_suppkey AS k, {_PERSON.format(n="CAST(s_suppkey AS VARCHAR)", a="s_suppkey % 60")} AS p1, {_PERSON.format(n="'x'", a="30")} AS p2 FROM supplier)
+SELECT k, 'First: ' || p1 || chr(10) || 'Second: ' || p2 || chr(10) || 'Tie: friends' || chr(10) || 'Spark: a photo' AS body, 'Reference 1' || chr(10) || 'First: ' || p1 || chr(10) || 'Second: ' || p2 || chr(10) || 'Tie: t' || chr(10) || 'Scene: s' || chr(10) || 'Subject: o' AS example,
+  'id' || CAST(k AS VARCHAR) || '_idx_17' AS chat_id, 'tiny' AS model FROM p""")
+def scenario_prompts(spark, sf_dir):
+    """Lean personas, the prompt for a scenario, the block of examples, the chat's id and the model's short name."""
+    k = F.col("s_suppkey")
+    p1, p2 = _persona(k.cast("string"), k % 60), _persona(F.lit("x"), F.lit(30))
+    none = prompts.example_block(F.array().cast("array<struct<persona1:struct<name:string,username:string,model:string,id:string>,persona2:struct<name:string,username:string,model:string,id:string>,relationship:string,situation:string,topic:string>>"))
+    asked = prompts.scenario_prompt(p1, p2, F.lit("friends"), F.lit("a photo"), none)
+    one = F.array(F.struct(p1.alias("persona1"), p2.alias("persona2"), F.lit("t").alias("relationship"), F.lit("s").alias("situation"), F.lit("o").alias("topic")))
+    return _read(spark, sf_dir, "supplier").select(k.alias("k"), asked[1]["content"].alias("body"), prompts.example_block(one).alias("example"), prompts.chat_id(p1, p2, F.lit(17)).alias("chat_id"), prompts.short_model(F.lit("org/tiny")).alias("model"))
+
+
+@query(f"""WITH a AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN NULL WHEN 1 THEN ['  ', text, chr(160)] WHEN 2 THEN [] ELSE [text || '<end/>', 'x'] END AS m, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations)
+SELECT conv_id, turn, array_to_string(list_transform(list_filter(m, lambda x: trim(x, {_BL}) <> ''), lambda x: CASE WHEN n <= 4 THEN replace(x, '<end/>', '') ELSE x END), '|') AS said, m IS NULL AS failed FROM a""")
+def parse_answers(spark, sf_dir):
+    """A model's JSON answers as messages: blank ones dropped, early end tags taken out, no JSON is a failure."""
+    m = F.expr("CASE turn % 4 WHEN 1 THEN array('  ', text, '\u00a0') WHEN 2 THEN array() ELSE array(concat(text, '<end/>'), 'x') END")
+    content = F.when(F.col("turn") % 4 == 0, F.lit("no json")).otherwise(F.to_json(F.struct(m.alias("messages"))))
+    rows = _read(spark, sf_dir, "conversations").withColumn("n", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")))
+    said = rollout.parse_turn(content, F.col("n"))
+    return rows.select("conv_id", "turn", F.array_join(said, "|").alias("said"), said.isNull().alias("failed"))
 
 
 def queries() -> dict[str, Callable]:

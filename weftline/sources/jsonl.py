@@ -26,14 +26,16 @@ def read_lines(spark: SparkSession, paths: str | list[str], whole: bool = True)
     """``file``, ``line`` (from 1) and ``value`` of every line of text files.
 
     With ``whole`` each file is one row that is split at LF, CRLF or CR, which gives exact line numbers
-    for files that fit a row. For larger files ``whole=False`` splits them over tasks; ``line`` is then
-    only an order within the file.
+    for files that fit a row (2 GB). For larger files ``whole=False`` splits them over tasks; ``line`` is then
+    an order only: the place of the line's block in the file, and its place among the block's lines.
     """
     if whole:
         text = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "\n\\z", "")
         rows = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.when(F.length("value") > 0, F.split(text, "\n", -1)).otherwise(F.array().cast("array<string>")).alias("lines"))
         return rows.select("file", F.posexplode("lines").alias("line", "value")).withColumn("line", (F.col("line") + 1).cast("long"))
-    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"), "value")
+    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_nth"), "value")
+    # Blocks are numbered by their start; within a task, and so within a block, the running number rises with the line.
+    return rows.select("file", (F.col("_start") * F.lit(1 << 20) + F.col("_nth").bitwiseAND(F.lit((1 << 33) - 1))).alias("line"), "value")
 
 
 def parse(lines: DataFrame, schema: str, required: list[str], mode: str = "skip") -> DataFrame:

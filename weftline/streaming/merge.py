@@ -27,10 +27,11 @@ def stream_merge(spark: SparkSession, folder: str, output: str, checkpoint: str,
         session = rows.sparkSession
         if exists(session, f"{ids}/batch=*"):
             old = session.read.schema("id string, batch int").parquet(ids).filter(F.col("batch") < number)
-            chats = chats.join(old, F.col("chat_id") == F.col("id"), "left_anti")
+            chats = chats.join(old, F.col("chat_key") == F.col("id"), "left_anti")
         chats = chats.drop("file", "line")
-        chats.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{output}/batch={number}")
-        session.read.schema("chat_id string").json(f"{output}/batch={number}").select(F.col("chat_id").alias("id")).write.mode("overwrite").parquet(f"{ids}/batch={number}")
+        chats.drop("chat_key").write.mode("overwrite").option("ignoreNullFields", "false").json(f"{output}/batch={number}")
+        written = session.read.schema("chat_id variant").json(f"{output}/batch={number}")
+        written.select(F.to_json("chat_id").alias("id")).write.mode("overwrite").parquet(f"{ids}/batch={number}")
 
     return lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

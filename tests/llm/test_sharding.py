@@ -1,7 +1,10 @@
+import hashlib
 import zlib
 from collections import Counter, defaultdict
 
-from weftline.llm import sharding
+import pytest
+
+from weftline.llm import common, sharding
 
 from .fixtures import SCHEMA, clashing, docs, odd_rows
 
@@ -44,13 +47,39 @@ def test_digest_columns(spark):
         assert r["size"] == len(g[1].encode()) + 8 and r["text_crc32"] == zlib.crc32(g[1].encode())
 
 
-def test_same_as_a_sort(spark, monkeypatch):
-    """Buckets give the places that one global ranking gives."""
-    given = rows_of(500)
-    monkeypatch.setattr(sharding, "BUCKET_ROWS", 1 << 30)
-    one = {(r["doc_id"], r["shard"], r["slot"]) for r in run(docs(spark, given))}
-    monkeypatch.setattr(sharding, "BUCKET_ROWS", 1 << 29)
-    assert one == {(r["doc_id"], r["shard"], r["slot"]) for r in run(docs(spark, given).repartition(7))}
+def brute(given, n_shards, n_buckets, seed=7):
+    """(id, crc, size, shard, slot) by plain sorts: rank within the source, then one order of all fractional ranks."""
+    rows = defaultdict(list)
+    for doc_id, text, _, source, _ in given:
+        data = (text or "").encode()
+        crc, size = zlib.crc32(data), len(data) + 8
+        u = int(hashlib.md5("|".join([str(seed), "" if doc_id is None else str(doc_id), str(crc), str(size)]).encode()).hexdigest()[:15], 16)
+        rows[source].append((u % n_buckets, u, doc_id is not None, doc_id or 0, size, crc, doc_id))
+    ranks = [((k + 0.5) / len(part), source is None, source or "", r[6], r[5], r[4]) for source, part in rows.items() for k, r in enumerate(sorted(part))]
+    total, out, slots = len(given), [], Counter()
+    for pos, (_, _, _, doc_id, crc, size) in enumerate(sorted(ranks, key=lambda r: r[:3])):
+        shard = pos * n_shards // total
+        out.append((doc_id, crc, size, shard, slots[shard]))
+        slots[shard] += 1
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bucket_rows", [16, 64, 1 << 30])
+def test_same_as_a_sort(spark, monkeypatch, bucket_rows):
+    """Against one global sort, with one bucket and with many, repeated rows and null sources included."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(common, "REPEATS", 50)
+    given = rows_of(400) + [(7000 + i, "x", "en", None, 1) for i in range(30)] + [(9, "again", "en", "hot", 1)] * 170 + odd_rows()
+    found = run(docs(spark, given).repartition(5))
+    assert sorted(((r["doc_id"], r["text_crc32"], r["size"], r["shard"], r["slot"]) for r in found), key=repr) == brute(given, 6, max(1, -(-len(given) // bucket_rows)))
+
+
+def test_sums_before_in_two_levels(spark):
+    rows = [(s, b, b % 7 + 1) for s in ("a", None, "b") for b in range(0, 60, 1 if s else 3)]
+    per = spark.createDataFrame(rows, "s string, b int, n long")
+    found = common.summed_before(per, ["s"], "b", "n", "out", fan=4).collect()
+    assert len(found) == len(rows)
+    assert all(r["out"] == sum(n for s, b, n in rows if s == r["s"] and b < r["b"]) for r in found)
 
 
 def test_odd_rows(spark):

@@ -12,6 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 # Functions travel to the executors by value, so these need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
@@ -123,6 +124,49 @@ def unpack(z: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(z)
 
 
+#: Repeats of one row that one task writes at most, where a row is repeated more often.
+REPEATS = 10_000
+
+
+def repeated(df: DataFrame, times: str, number: str, most: int) -> DataFrame:
+    """Each row as often as column ``times`` says (0: never), numbered from 1 in the new column ``number``.
+
+    ``most`` is the largest of ``times``. Beyond ``REPEATS`` a row is dealt over tasks in parts of that many.
+    """
+    one = F.lit(1).cast("long")
+    if most <= REPEATS:
+        return df.filter(F.col(times) > 0).withColumn(number, F.explode(F.sequence(one, F.col(times).cast("long"))))
+    [part] = fresh(df, "_part")
+    parts = df.filter(F.col(times) > 0).withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{times}` - 1) div {REPEATS}"))))
+    parts = parts.repartition(F.col(part), F.col(times))
+    first = F.col(part) * REPEATS
+    return parts.withColumn(number, F.explode(F.sequence(first + 1, F.least(first + REPEATS, F.col(times).cast("long"))))).drop(part)
+
+
+def summed_before(per: DataFrame, by: list[str], bucket: str, n: str, out: str, fan: int = 4096) -> DataFrame:
+    """``per`` (one row for each of ``by`` and ``bucket``) with ``out``, the sum of ``n`` over the smaller buckets of the same ``by``.
+
+    In two levels, so that no task reads more than ``fan`` buckets, or one row for each ``fan`` of them.
+    """
+    rows = per.withColumn("_top", F.expr(f"`{bucket}` div {fan}"))
+    tops = rows.groupBy(*by, "_top").agg(F.sum(n).alias("_sum"))
+    whole = lambda w: F.coalesce(F.sum("_sum" if w else n).over((Window.partitionBy(*by).orderBy("_top") if w else Window.partitionBy(*by, "_top").orderBy(bucket)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tops = tops.select(*[F.col(c).alias(f"_t{c}") for c in by], F.col("_top").alias("_t"), whole(True).alias("_base"))
+    same = F.col("_top") == F.col("_t")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_t{c}"))
+    return rows.withColumn(out, whole(False)).join(tops, same).withColumn(out, F.col(out) + F.col("_base")).select(*per.columns, out)
+
+
+def whole_row_hash(df: DataFrame):
+    """A hash of all columns of a row, nulls told apart."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        parts += [F.to_json(F.struct(c)) if "map" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else c, c.isNull()]
+    return F.xxhash64(*parts)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as Parquet in the shared checkpoint folder: for larger tables than :func:`cut` is meant for. See :func:`discard`."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"

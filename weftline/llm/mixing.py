@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, fresh, row_hash
+from .common import cut, fresh, repeated, row_hash, whole_row_hash
 
 #: Rows that one fold of the reduction tree reads on average.
 FAN_IN = 48
@@ -125,7 +125,7 @@ def pivotal_round(items: DataFrame, group_col: str, key_col: str, p_col: str, si
     return live.select("grp", "key", "p")
 
 
-def mix_sources(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+def mix_sources(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Every row of ``docs`` with the words that the mix takes from it.
 
     Size: words of the text (null: 0). With r = target / size of its source, a document is taken
@@ -133,21 +133,23 @@ def mix_sources(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_
     so that a source's taken words miss its target by less than one document.
 
     Returns id, ``size``, ``source_size``, ``target`` (its source's), ``taken``, ``copies``,
-    ``source``, ``row`` (hash of id and text) and ``j`` (a number from 1 among equal rows).
-    Rows are first counted by (id, text, source), so rows repeated any number of times are told
+    ``source``, ``row`` (hash of id and text, or ``row_col``) and ``j`` (a number from 1 among equal rows).
+    Rows are first counted by (id, text, source), map-side, so rows repeated any number of times are told
     apart by a running number and spread over buckets like others. A null source is a source of
-    its own, null ids are allowed, documents without words are taken 0 words. An empty table gives
+    its own, null ids are allowed, documents without words are taken 0 words, very long texts are taken by the same rule (their words
+    are counted in the JVM). Ties between sources of equal caps go by name. An empty table gives
     no rows; other columns are ignored. Reruns agree: all choices are hashes of ids and the seed.
     """
     rows = docs.select(
-        row_hash(id_col, text_col).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        (F.col(row_col) if row_col else row_hash(id_col, text_col)).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(text_col, F.lit(WORDS)), F.lit(0)).cast("long").alias("size"))
     kinds = cut(rows.groupBy("row", "doc_id", "source", "size").agg(F.count("*").alias("m")))
     targets = cut(source_targets(kinds.select("source", (F.col("size") * F.col("m")).alias("words")), "source", "words"))
     n_sources = targets.count()
     if n_sources <= BROADCAST_SOURCES:
         targets = F.broadcast(targets.coalesce(1))
-    each = kinds.withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m")))).drop("m")
+    most = kinds.agg(F.max("m")).first()[0] or 0
+    each = repeated(kinds, "m", "j", most).drop("m")
     each = each.join(targets, F.col("source").eqNullSafe(F.col("_src")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     each = each.withColumn("rate", rate).withColumn("whole", F.floor(F.col("rate") + 1e-12)).withColumn("p", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0))) \
@@ -162,13 +164,17 @@ def mix_sources(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_
 
 
 def mixed(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, each as often as :func:`mix_sources` takes it (0 to 3 times)."""
-    taken = cut(mix_sources(docs, seed, id_col, source_col, text_col).select("row", "source", "j", "copies"))
-    again = not taken.filter("j > 1").isEmpty()
-    row, nth, r, j, copies, copy = fresh(docs, "_row", "_nth", "_r", "_j", "_copies", "_copy")
-    marked = docs.withColumn(row, F.xxhash64(row_hash(id_col, text_col), source_col))
-    number = F.row_number().over(Window.partitionBy(row).orderBy(F.lit(1))) if again else F.lit(1)
-    marked = marked.withColumn(nth, number.cast("long"))
-    chosen = taken.filter("copies > 0").select(F.xxhash64("row", "source").alias(r), F.col("j").alias(j), F.col("copies").alias(copies))
-    out = marked.join(chosen, (F.col(row) == F.col(r)) & (F.col(nth) == F.col(j))).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    """The rows of ``docs``, all columns, each as often as :func:`mix_sources` takes it (0 to 3 times).
+
+    Rows are identified by a hash of all their columns, so only rows equal in all of them are interchangeable; these are
+    taken as often as all of them together. Rows with nulls in any column are rows like others; those without words (null, empty and blank texts) are
+    not taken. Columns may have any names. An empty table gives no rows.
+    """
+    row, own, copies, copy = fresh(docs, "_row", "_own", "_copies", "_copy")
+    marked = docs.withColumn(row, whole_row_hash(docs))
+    taken = cut(mix_sources(marked, seed, id_col, source_col, text_col, row).groupBy(F.col("row").alias(own)).agg(F.sum("copies").alias(copies), F.count("*").alias("m")).filter(F.col(copies) > 0))
+    most = taken.agg(F.max("m"), F.max(copies)).first()
+    if (most[0] or 0) > 1:
+        marked = marked.dropDuplicates([row, id_col])
+    out = repeated(marked.join(taken.drop("m"), F.col(row) == F.col(own)), copies, copy, most[1] or 0)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -187,3 +187,16 @@ def test_translate_command(spark, tmp_path, capsys):
     model = multilang.PromptTranslator(lambda asked: [f" {x.splitlines()[-1]} {'Suomi' in x} " for x in asked], lambda m: m[0]["content"])
     out = multilang.translate_chats(multilang.read_chats(spark, source), ["fi"], model)
     assert {r["experience"]["topic"]["fi"] for r in out.collect()} == {"t0 True", "t1 True"}
+
+
+def test_generation_goes_on_where_it_stopped(spark, tmp_path):
+    """K6, T10: a stream makes each record once, over restarts."""
+    from weftline.streaming.merge import stream_generate
+
+    (tmp_path / "in").mkdir()
+    run = lambda: stream_generate(spark, str(tmp_path / "in"), schemas.EXPERIENCE, str(tmp_path / "out"), str(tmp_path / "cp"), lambda part: rollout.generate_chats(part, rollout.scripted, 7, pause=0)).awaitTermination()
+    for name, ks in (("a", (0, 1)), ("b", (2,))):
+        lines(tmp_path / "in" / f"{name}.jsonl", [experience(k) for k in ks])
+        run()
+    run()
+    assert sorted(r["experience"]["id"] for r in spark.read.json(str(tmp_path / "out")).collect()) == ["e0", "e1", "e2"]

@@ -37,8 +37,8 @@ def stream_merge(spark: SparkSession, folder: str, output: str, checkpoint: str,
 
 
 def stream_generate(spark: SparkSession, folder: str, schema: str, output: str, checkpoint: str, make: Callable[[DataFrame], DataFrame]):
-    """Runs ``make`` on new records of ``folder`` once each; progress is the checkpoint, so a rerun goes on where it stopped."""
-    rows = spark.readStream.schema(schema).json(folder)
+    """Runs ``make`` on new records (JSON lines of ``schema``, a struct type) of ``folder`` once each; progress is the checkpoint, so a rerun goes on where it stopped."""
+    rows = spark.readStream.text(folder).select(F.from_json("value", schema).alias("r")).filter("r is not null").select("r.*")
 
     def batch(part: DataFrame, number: int) -> None:
         make(part).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{output}/batch={number}")

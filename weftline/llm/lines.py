@@ -59,8 +59,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Returns ``doc_id``, ``n_lines``, ``n_chunks``, ``removed`` (array of line ranges, end excluded)
     and ``kept`` (binary). Null texts are empty ones (one empty line). Rows of equal id and text
-    are one document given repeatedly: each keeps what it would alone. Blank lines are lines. An
-    empty table gives no rows; other columns are ignored. Hot chunks are counted before the
+    are one document given repeatedly: each keeps what it would alone. Blank lines are lines; very long texts and lines are read whole, a
+    row at a time; ties between chunks of one id and place go to the row of least hash. An
+    empty table gives no rows; other columns, whatever their names, are ignored. Hot chunks are counted before the
     shuffle and meet their first in an equi-join, which is split when skewed.
     """
     def hashed(batches):

@@ -73,7 +73,15 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     first = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
     last = np.concatenate([first[1:] - 1, [len(at) - 1]])
     place = at[first]
-    return place, first, last, g[place], p.of(first, last + length)
+    return place, first, last, g[place], identifiers(data.tobytes(), first, last + length)
+
+
+def identifiers(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH3 of each of the strings."""
+    import xxhash
+
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
 
 
 def _blocks(data: np.ndarray, length: int):
@@ -178,7 +186,7 @@ def _splitter(size: int, last_size: int | None, length: int):
                 base = cuts // size * size
                 core = p.of(base + size - 1 + lead, base + length + lead) if size > 1 else np.zeros(len(cuts), np.uint64)
                 n = len(cuts)
-                parts.append((np.full(n, ask), np.full(n, row), cuts + place, ends - cuts, cuts, np.full(n, bucket) ^ (base * 0x9E3779B9), core.view(np.int64), p.of(cuts + lead, ends - 1 + length + lead).view(np.int64)))
+                parts.append((np.full(n, ask), np.full(n, row), cuts + place, ends - cuts, cuts, np.full(n, bucket) ^ (base * 0x9E3779B9), core.view(np.int64), identifiers(body, cuts + lead, ends - 1 + length + lead).view(np.int64)))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)], names=["ask", "row", "start", "n", "off", "core_of", "core", "stretch"])
 
@@ -208,10 +216,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the identifiers of the stretch around, which resolves copies at once. Where places are left
     alone, stretches are cut into ever shorter runs of starts, refined by the identifiers of what
     all strings of a run share and then of all their bytes, down to single strings. Counts are combined before shuffles; hot buckets only meet in equi-joins, which are
-    split when skewed. Identifiers of a string are 128 bits (its bucket and its own).
+    split when skewed. Strings count as equal if two 64-bit identifiers of different kinds agree: their bucket's, a weighted sum of the q-gram's bytes,
+    and their own, XXH3 of all their bytes; bytes themselves are not compared.
+
+    This is not a suffix sort: it refines stretches of strings that a common suffix keeps, where bucket-pointer refinement in full
+    would move a row for each byte of text.
 
     Returns ``doc_id``, ``n_bytes``, ``spans`` (array of start and end, end excluded) and ``kept``
-    (binary). An empty table gives no rows; other columns are ignored.
+    (binary). Very long texts are worked on in blocks of ``BLOCK`` starts and held whole only as bytes, one at a time; a null id is
+    returned as such; ties between equal q-grams go to the leftmost. An empty table gives no rows; other columns, whatever their names, are ignored.
     """
     texts = packed(docs, id_col, text_col)
     runs = starts_of_repeats(docs, id_col, text_col, length, gram, texts)

@@ -125,7 +125,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows of equal fingerprints are one class, whose least id stands for it; links are sought
     between the distinct fingerprints. Null or blank texts have fingerprint 0 and are linked like
     any other; a row with a null id gets its class' id (null if it is alone). Repeated rows are
-    kept. An empty table gives no rows; other columns are ignored.
+    kept. Of very long texts all shingles are hashed, a row at a time. An empty table gives no rows; other columns, whatever their names, are ignored.
     """
     prints = cut(fingerprints(docs, id_col, text_col))
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -141,7 +141,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", di
     """One row of ``docs``, with all columns, of each component of :func:`near_duplicates`.
 
     It is the one of least id (null first), then of least hash of id and text; of rows that repeat
-    it one stays.
+    it one stays. Null, empty and blank texts are one component. An empty table gives no rows; columns may have any names.
     """
     found = cut(near_duplicates(docs, id_col, text_col, distance).select("row", "doc_id", "component_id"))
     row, one = fresh(docs, "_row", "_kept")

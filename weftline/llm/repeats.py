@@ -25,7 +25,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Prefixes:
-    """Hashes of any substrings of a text's bytes, from sums of bytes times powers modulo 2 ** 64."""
+    """Identifiers of the q-grams of a text's bytes, from sums of bytes times powers modulo 2 ** 64."""
 
     powers = inverses = np.ones(1, np.uint64)
 
@@ -36,14 +36,6 @@ class Prefixes:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[:n], out=self.sums[1:])
 
-    def of(self, start, end) -> np.ndarray:
-        """64-bit identifiers of bytes start to end; equal for equal bytes."""
-        h = (self.sums[end] - self.sums[start]) * self.inverses[start]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(29)
-        return h
-
     def grams(self, q: int) -> np.ndarray:
         n = len(self.sums) - q
         h = (self.sums[q:] - self.sums[:n]) * self.inverses[:n]
@@ -73,15 +65,23 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     first = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
     last = np.concatenate([first[1:] - 1, [len(at) - 1]])
     place = at[first]
-    return place, first, last, g[place], identifiers(data.tobytes(), first, last + length)
+    return place, first, last, g[place], refined(data.tobytes(), g, first, last + length, gram)
+
 
+def refined(data: bytes, buckets: np.ndarray, starts: np.ndarray, ends: np.ndarray, gram: int) -> np.ndarray:
+    """Identifiers of the stretches ``starts`` to ``ends``, by the ``buckets`` of the q-grams at their later offsets.
 
-def identifiers(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """XXH3 of each of the strings."""
+    A stretch is ordered by the bucket of its first q-gram, then by those ``gram`` bytes further each, and by that of its last one, so
+    all its bytes count. As nothing compares the bytes themselves, the order is mixed with XXH3 of them, a second kind of identifier.
+    """
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
+    out = buckets[starts]
+    for k in range(1, -(-int((ends - starts).max(initial=0)) // gram)):
+        later = np.minimum(starts + k * gram, ends - gram)
+        out = (out * np.uint64(0x9E3779B97F4A7C15)) ^ (out >> np.uint64(32)) ^ buckets[later]
+    return out ^ np.fromiter((digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
 
 
 def _blocks(data: np.ndarray, length: int):
@@ -143,7 +143,7 @@ def starts_of_repeats(docs: DataFrame, id_col: str, text_col: str, length: int,
     part = bodies.withColumn("offs", F.lit(None).cast("array<long>"))
     last_size = None
     for size in STEPS:
-        level = stored(map_batches(part.select("ask", "row", "place", "lead", "tail", "bucket", "body", "offs"), _splitter(size, last_size, length), "ask long, row long, start long, n long, off long, core_of long, core long, stretch long"))
+        level = stored(map_batches(part.select("ask", "row", "place", "lead", "tail", "bucket", "body", "offs"), _splitter(size, last_size, length, gram), "ask long, row long, start long, n long, off long, core_of long, core long, stretch long"))
         classes = stored(level.groupBy("core_of", "core", "n", "off", "stretch").agg(F.count("*").alias("m"), F.min(F.struct("ask")).alias("one")).withColumnRenamed("m", "n_rows"))
         same = classes.filter("n_rows > 1").select(*[F.col(c).alias(f"_{c}") for c in ("core_of", "core", "n", "off", "stretch")])
         on = [F.col(c) == F.col(f"_{c}") for c in ("core_of", "core", "n", "off", "stretch")]
@@ -162,7 +162,7 @@ def _left(classes: DataFrame, bucket: list[str]) -> DataFrame:
     return classes.join(some.select(*[F.col(c).alias(f"_{c}") for c in bucket]), [F.col(c) == F.col(f"_{c}") for c in bucket])
 
 
-def _splitter(size: int, last_size: int | None, length: int):
+def _splitter(size: int, last_size: int | None, length: int, gram: int):
     """Cuts stretches into runs of up to ``size`` starts, aligned to the place.
 
     Only those within the runs of ``last_size`` starts that ``offs`` names, if it names any. The core
@@ -176,6 +176,7 @@ def _splitter(size: int, last_size: int | None, length: int):
             parts = []
             for ask, row, place, lead, tail, bucket, body, offs in zip(*(c.to_pylist() for c in batch.columns)):
                 p = Prefixes(np.frombuffer(body, np.uint8))
+                grams = p.grams(gram)
                 if offs is None:
                     a, b = np.array([-lead]), np.array([1 - tail])
                 else:
@@ -184,9 +185,9 @@ def _splitter(size: int, last_size: int | None, length: int):
                 cuts = np.unique(np.concatenate([np.concatenate([[x], np.arange((x // size + 1) * size, y, size)]) for x, y in zip(a, b)]))
                 ends = np.minimum((cuts // size + 1) * size, 1 - tail)
                 base = cuts // size * size
-                core = p.of(base + size - 1 + lead, base + length + lead) if size > 1 else np.zeros(len(cuts), np.uint64)
+                core = refined(body, grams, base + size - 1 + lead, base + length + lead, gram) if size > 1 else np.zeros(len(cuts), np.uint64)
                 n = len(cuts)
-                parts.append((np.full(n, ask), np.full(n, row), cuts + place, ends - cuts, cuts, np.full(n, bucket) ^ (base * 0x9E3779B9), core.view(np.int64), identifiers(body, cuts + lead, ends - 1 + length + lead).view(np.int64)))
+                parts.append((np.full(n, ask), np.full(n, row), cuts + place, ends - cuts, cuts, np.full(n, bucket) ^ (base * 0x9E3779B9), core.view(np.int64), refined(body, grams, cuts + lead, ends - 1 + length + lead, gram).view(np.int64)))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)], names=["ask", "row", "start", "n", "off", "core_of", "core", "stretch"])
 
@@ -211,16 +212,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     another row or the same one; overlaps count, and all is judged on the texts as given. Texts are
     UTF-8 bytes, null is empty, and no string crosses rows. Repeated rows repeat each other.
 
-    Only the suffixes at sampled places are sorted: about one in (length - gram) / 2 bytes,
-    chosen by content so that equal strings choose alike. Buckets of equal q-grams are refined by
-    the identifiers of the stretch around, which resolves copies at once. Where places are left
-    alone, stretches are cut into ever shorter runs of starts, refined by the identifiers of what
-    all strings of a run share and then of all their bytes, down to single strings. Counts are combined before shuffles; hot buckets only meet in equi-joins, which are
+    Suffixes are sorted into buckets by their first q-gram; only those at sampled places, about one in (length - gram) / 2 bytes,
+    chosen by content so that equal strings choose alike. A sampled suffix stands for the strings around it, and its bucket is refined by
+    the bucket identifiers at the later offsets of the stretch that these cover (:func:`refined`), which resolves copies at once. Where
+    suffixes are left alone in a bucket with others, their stretches are cut into ever shorter runs of starts: the identifier of what all strings of a run share is
+    the bucket that is refined next, again by later offsets, down to single strings. What a level has settled, alone
+    or not, isn't looked at again. Counts are combined before shuffles; hot buckets only meet in equi-joins, which are
     split when skewed. Strings count as equal if two 64-bit identifiers of different kinds agree: their bucket's, a weighted sum of the q-gram's bytes,
-    and their own, XXH3 of all their bytes; bytes themselves are not compared.
-
-    This is not a suffix sort: it refines stretches of strings that a common suffix keeps, where bucket-pointer refinement in full
-    would move a row for each byte of text.
+    and their own, into which XXH3 of all their bytes is mixed; the bytes themselves are not moved to be compared.
 
     Returns ``doc_id``, ``n_bytes``, ``spans`` (array of start and end, end excluded) and ``kept``
     (binary). Very long texts are worked on in blocks of ``BLOCK`` starts and held whole only as bytes, one at a time; a null id is

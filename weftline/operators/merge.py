@@ -109,8 +109,8 @@ def merge_chats(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def merge_files(spark: SparkSession, pattern: str, output: str, shuffle: bool = True, seed: int = 0) -> DataFrame:
-    """Merges all matching files into ``output`` and returns the report."""
-    chats, marked = merge_chats(read_lines(spark, pattern))
+    """Merges all matching files into ``output`` and returns the report. Files of any size are split over tasks; their lines keep their order."""
+    chats, marked = merge_chats(read_lines(spark, pattern, whole=False))
     chats = chats.orderBy(F.rand(seed)) if shuffle else chats.orderBy("file", "line")
     chats.drop("file", "line", "chat_key").write.mode("overwrite").option("ignoreNullFields", "false").json(output)
     return report(marked)

@@ -5,18 +5,32 @@ from weftline.llm import lines, queries
 from .fixtures import SCHEMA, clashing, docs, odd_rows, prose
 
 
+def plain_chunks(data):
+    """(first line, end line, bytes) of each chunk: a line ends one if the weighted sum of its and the last lines' hashes says so."""
+    import xxhash
+
+    parts, out, first = data.split(b"\n"), [], 0
+    hashes = [xxhash.xxh64_intdigest(x) for x in parts]
+    for i in range(len(parts)):
+        value = sum(hashes[i - k] * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(min(lines.WINDOW, i + 1))) % (1 << 64)
+        if (value >> 33) % lines.MEAN == 0 and i + 1 - first >= lines.LEAST or i == len(parts) - 1:
+            out.append((first, i + 1, b"\n".join(parts[first:i + 1]) + (b"\n" if i < len(parts) - 1 else b"")))
+            first = i + 1
+    return out
+
+
 def brute(rows):
     """Kept bytes of each (id, text): chunks of several lines go if an earlier row or place holds the same bytes."""
     seen, out = set(), []
     for _, text in sorted(rows, key=lambda r: r[0]):
         data = (text or "").encode()
         kept, gone = [], []
-        for k, (i, j, a, b) in enumerate(lines.chunks(data)):
-            body = data[a:b].removesuffix(b"\n")
+        for k, (i, j, whole) in enumerate(plain_chunks(data)):
+            body = whole.removesuffix(b"\n")
             if j - i >= lines.LEAST and body in seen:
                 gone.append(k)
             else:
-                kept.append(data[a:b])
+                kept.append(whole)
                 if j - i >= lines.LEAST:
                     seen.add(body)
         out.append((b"".join(kept), len(gone)))

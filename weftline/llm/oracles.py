@@ -5,6 +5,8 @@ from __future__ import annotations
 from math import ceil
 
 from .licenses import BLOCK, CONTAINMENT, PHRASES, TEMPLATES
+from .repeats import LENGTH
+from .sharding import BUCKET_ROWS
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -30,8 +32,8 @@ template(k, word) AS (VALUES {words}), rule(k, need, length, size, label) AS (VA
 each AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
 shared AS MATERIALIZED (SELECT r, k, i, word FROM each JOIN template USING (word)),
 enough AS (SELECT r, k, need, length, size, label FROM shared JOIN rule USING (k) GROUP BY r, k, need, length, size, label HAVING count(DISTINCT word) >= need),
-some AS MATERIALIZED (SELECT r, k, i, word, need, length, size, label FROM shared JOIN enough USING (r, k)),
-counted AS (SELECT a.r, a.k, a.i, a.need, a.size, a.label, count(DISTINCT b.word) AS n FROM some a JOIN some b ON a.r = b.r AND a.k = b.k AND b.i <= a.i AND b.i > a.i - a.length GROUP BY ALL),
+likely AS MATERIALIZED (SELECT r, k, i, word, need, length, size, label FROM shared JOIN enough USING (r, k)),
+counted AS (SELECT a.r, a.k, a.i, a.need, a.size, a.label, count(DISTINCT b.word) AS n FROM likely a JOIN likely b ON a.r = b.r AND a.k = b.k AND b.i <= a.i AND b.i > a.i - a.length GROUP BY ALL),
 found AS (SELECT r, list(DISTINCT label) AS more, max(n / size) AS best FROM counted WHERE n >= need GROUP BY r),
 p AS (SELECT r, doc_id, len(w) AS n_words, {lists} FROM w),
 s AS (SELECT p.*, {both} AS b, coalesce(more, []) AS more, coalesce(best, 0.0) AS best FROM p LEFT JOIN found USING (r))
@@ -40,5 +42,36 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(b) AS BIGINT) AS n_b
 FROM s"""
 
 
+def _op1(n_shards: int = 24, seed: int = 7) -> str:
+    """CRC-32 by its table, then one global rank where the operator sums over buckets."""
+    return f"""
+WITH RECURSIVE steps(i, c, k) AS (SELECT i, i, 0 FROM range(256) AS r(i) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+bytes AS (SELECT doc_id, source, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS b FROM documents),
+d AS (SELECT doc_id, source, CAST(len(b) + 8 AS BIGINT) AS size, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) AS BIGINT) AS text_crc32 FROM bytes, crc),
+u AS (SELECT *, CAST('0x' || substr(md5('{seed}|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_crc32 || '|' || size), 1, 15) AS BIGINT) AS u, greatest(1, (count(*) OVER () + {BUCKET_ROWS - 1}) // {BUCKET_ROWS}) AS n_buckets, count(*) OVER () AS total FROM d),
+f AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY u % n_buckets, u, doc_id NULLS FIRST, size, text_crc32) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY source) AS f FROM u),
+p AS (SELECT *, row_number() OVER (ORDER BY f, source NULLS LAST) - 1 AS pos FROM f),
+s AS (SELECT *, pos * {n_shards} // total AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(pos - (shard * total + {n_shards - 1}) // {n_shards} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s"""
+
+
+def _op3(piece: int = 512) -> str:
+    """Every string of the length, counted as a whole; in hex, cut from pieces of a text so that no cut scans all of it."""
+    n = LENGTH
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (SELECT r, c, substr(h, 2 * c + 1, {2 * (piece + n - 1)}) AS x FROM (SELECT r, h, unnest(range(0, length(h) // 2, {piece})) AS c FROM d)),
+strings AS (SELECT r, c + j AS i, md5(substr(x, 2 * j + 1, {2 * n})) AS m FROM (SELECT r, c, x, unnest(range(0, least({piece}, length(x) // 2 - {n - 1}))) AS j FROM pieces)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS n FROM strings) WHERE n > 1),
+islands AS (SELECT r, i, sum(CASE WHEN i - before <= {n} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS k FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM again)),
+spans AS MATERIALIZED (SELECT r, k, min(i) AS a, max(i) + {n} AS b FROM islands GROUP BY r, k),
+gaps AS (SELECT r, k, coalesce(lag(b) OVER (PARTITION BY r ORDER BY k), 0) AS a, a AS b FROM spans UNION ALL SELECT r, max(k) + 1, max(b), NULL FROM spans GROUP BY r),
+kept AS (SELECT g.r, string_agg(substr(h, 2 * a + 1, CASE WHEN b IS NULL THEN length(h) ELSE 2 * (b - a) END), '' ORDER BY k) AS h FROM gaps g JOIN d USING (r) GROUP BY g.r),
+sums AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_licenses": _op6()}
+    return {"op1_interleaved_shards": _op1(), "op3_repeated_bytes": _op3(), "op6_licenses": _op6()}

@@ -67,11 +67,22 @@ def test_full_table_of_keys(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in decontaminate.decontaminate(df, items).collect()) == [9, 10, 11]
 
 
+def test_texts_in_parts(spark, monkeypatch):
+    """Reading few bytes and few windows at a time changes nothing."""
+    items = spark.createDataFrame([(k, prose(300 + k, 5 + 9 * k)) for k in range(9)], "item_id long, text string")
+    df = docs(spark, [(k, prose(k, 40) + " " + prose(300 + k % 12, 5 + 9 * (k % 12)) + " " + prose(k + 50, 90), "en", "a", 1) for k in range(40)] + [(99, "", "en", "a", 1), (98, None, "en", "a", 1)])
+    whole = {tuple(r) for r in decontaminate.benchmark_matches(df, items).collect()}
+    monkeypatch.setattr(decontaminate, "BYTES", 300)
+    monkeypatch.setattr(decontaminate, "TOGETHER", 7)
+    assert whole == {tuple(r) for r in decontaminate.benchmark_matches(df, items).collect()} and len(whole) >= 30
+    assert [(i, len(t)) for i, t in decontaminate.grouped(["a" * 200, None, "b" * 200, "c" * 900, "", "d"])] == [(0, 2), (2, 1), (3, 1), (4, 2)]
+
+
 def test_walks_keep_near_texts_near():
     """Embeddings of texts within few edits agree in far more steps than those of others."""
     def walks(words):
         codes = decontaminate.Lines([" ".join(words)]).codes
-        return np.concatenate([decontaminate.embedding(codes, np.zeros(1, np.int64), w, 60)[:, 0] for w in range(20)])
+        return np.concatenate([decontaminate.embedding(codes, np.zeros(1, np.int64), decontaminate.moves(codes, w, 100), 100)[:60, 0] for w in range(20)])
 
     words = prose(1, 60).split()
     near, far = words[:10] + words[11:] + ["end"], prose(2, 60).split()

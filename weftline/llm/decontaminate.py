@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -18,6 +18,8 @@ WALKS, SAMPLES, SAMPLED = 2, 16, 5
 #: Windows of a text start at every so many'th part of the least size of their class; steps of a walk for each word of that size
 #: (one for each word in classes under ``SMALL``, whose walks mustn't leave the item).
 STRIDES, REACH, SMALL = 2.5, 1.5, 8
+#: Windows whose keys are held at once, and bytes of texts that are read together (a longer text is read alone, in parts of so many).
+TOGETHER, BYTES = 1 << 14, 1 << 20
 #: The table that tells which keys items have: two of 2 ** ``SLOT_BITS`` bits are set for each key. 8 MB, whatever the benchmark's size.
 SLOT_BITS = 26
 BETWEEN = re.compile(r"[\W_]+")
@@ -55,35 +57,49 @@ def sampled_steps(least: int, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
     return steps, rng.integers(0, 1 << 63, steps.shape, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def embedding(codes: np.ndarray, starts: np.ndarray, walk: int, steps: int) -> np.ndarray:
-    """(steps, windows): what the random walk (Chakraborty, Goldenberg, Koucky) writes from each of ``starts``.
+def moves(codes: np.ndarray, walk: int, steps: int) -> list[np.ndarray]:
+    """For each 64 steps of a walk: a bit for each step by which word it moves on; never from the 0 that ends a text."""
+    out = []
+    for j in range(0, steps, 64):
+        bits = _scatter(codes + _GOLD * np.full(1, 1 + walk + 64 * j, np.uint64))
+        bits[codes == 0] = 0
+        out.append(bits)
+    return out
+
+
+def embedding(codes: np.ndarray, starts: np.ndarray, bits: list[np.ndarray], steps: int) -> np.ndarray:
+    """(steps, windows): what a random walk (Chakraborty, Goldenberg, Koucky) writes from each of ``starts``.
 
-    At step j it writes the word it stands on and moves on if bit j of that word's hash for the walk is set. A 0 among ``codes``
-    ends a text: the walk stays there and writes blanks. Texts within few edits are written alike in most steps, for once
+    At step j it writes the word it stands on and moves on if bit j of that word's hash for the walk is set (see :func:`moves`). A 0 among
+    ``codes`` ends a text: the walk stays there and writes blanks. Texts within few edits are written alike in most steps, for once
     both walks stand on the same word of a common part they go together.
     """
     out, at, one = np.empty((steps, len(starts)), np.uint64), starts.copy(), np.uint64(1)
     for j in range(steps):
-        if j % 64 == 0:
-            bits = _scatter(codes + _GOLD * np.full(1, 1 + walk + 64 * j, np.uint64))
-            bits[codes == 0] = 0
         np.take(codes, at, out=out[j])
-        at += ((bits[at] >> np.uint64(j % 64)) & one).view(np.int64)
+        at += ((bits[j // 64][at] >> np.uint64(j % 64)) & one).view(np.int64)
     return out
 
 
-def window_keys(codes: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
-    """(keys, windows): a key for each sample of each walk; two windows meet if they agree in all steps of a sample. 0 for samples of blanks only."""
-    keys = np.empty((WALKS * SAMPLES, len(starts)), np.uint64)
-    part = np.empty(len(starts), np.uint64)
-    for walk, (samples, factors) in enumerate(zip(*sampled_steps(least))):
-        written = embedding(codes, starts, walk, int(samples.max()) + 1)
-        for k, (steps, odd) in enumerate(zip(samples, factors)):
-            h = keys[walk * SAMPLES + k]
-            np.multiply(written[steps[0]], odd[0], out=h)
-            for step, factor in zip(steps[1:], odd[1:]):
-                h += np.multiply(written[step], factor, out=part)
-    return _scatter(keys)
+def window_keys(codes: np.ndarray, starts: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(number of the first window, keys (keys, windows)) for some ``TOGETHER`` windows after the other: a key for each sample of each walk.
+
+    Two windows meet if they agree in all steps of a sample. The key is 0 for samples of blanks only.
+    """
+    samples, factors = sampled_steps(least)
+    reach = int(samples.max()) + 1
+    bits = [moves(codes, walk, reach) for walk in range(WALKS)]
+    for i in range(0, len(starts), TOGETHER):
+        own = starts[i:i + TOGETHER]
+        keys, part = np.empty((WALKS * SAMPLES, len(own)), np.uint64), np.empty(len(own), np.uint64)
+        for walk in range(WALKS):
+            written = embedding(codes, own, bits[walk], reach)
+            for k, (steps, odd) in enumerate(zip(samples[walk], factors[walk])):
+                h = keys[walk * SAMPLES + k]
+                np.multiply(written[steps[0]], odd[0], out=h)
+                for step, factor in zip(steps[1:], odd[1:]):
+                    h += np.multiply(written[step], factor, out=part)
+        yield i, _scatter(keys)
 
 
 def slots_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,18 +122,27 @@ class Lines:
         flat = np.frombuffer(self.data, np.uint8)
         self.ends = np.flatnonzero((flat == 32) | (flat == 10))
         self.begins = np.concatenate([[0], self.ends[:-1] + 1]) if len(self.ends) else self.ends
-        sizes = self.ends - self.begins
-        longest = int(sizes.max(initial=0)) + 1
-        if longest > len(Lines.powers):
-            Lines.powers = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(longest + 64, _GOLD)]))
-        place = np.arange(len(flat)) - np.repeat(self.begins, sizes + 1)
-        sums = np.add.reduceat((flat.astype(np.uint64) + np.uint64(1)) * self.powers[place], self.begins) if len(flat) else np.zeros(0, np.uint64)
-        self.codes = _scatter(sums) | np.uint64(1)
+        self.codes = np.zeros(len(self.ends), np.uint64)
+        at = 0
+        while at < len(self.ends):  # words of about BYTES bytes at a time
+            stop = max(at + 1, int(np.searchsorted(self.ends, self.begins[at] + BYTES)))
+            self.codes[at:stop] = self._codes(flat, self.begins[at:stop], self.ends[at:stop])
+            at = stop
         stops = np.flatnonzero(flat[self.ends] == 10)
         self.codes[stops] = 0
         self.firsts = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else np.zeros(0, np.int64)
         self.sizes = stops - self.firsts
 
+    @staticmethod
+    def _codes(flat: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        sizes = ends - begins
+        longest = int(sizes.max()) + 1
+        if longest > len(Lines.powers):
+            Lines.powers = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(longest + 64, _GOLD)]))
+        own = flat[begins[0]:ends[-1] + 1]
+        place = np.arange(len(own)) - np.repeat(begins - begins[0], sizes + 1)
+        return _scatter(np.add.reduceat((own.astype(np.uint64) + np.uint64(1)) * Lines.powers[place], begins - begins[0])) | np.uint64(1)
+
     def part(self, text: int, first: int, last: int) -> str:
         """Words ``first`` to ``last``, excluded, of a text."""
         at, last = int(self.firsts[text]), min(last, int(self.sizes[text]))
@@ -179,7 +204,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, null_ids:
                 n = int(item.sizes[0])
                 least = class_of(n)
                 starts = np.arange(min(n, 2 * stride_of(least)))
-                found = window_keys(item.codes, starts, least)
+                found = np.concatenate([keys for _, keys in window_keys(item.codes, starts, least)], axis=1)
                 some = found != 0
                 its.append(np.full(int(some.sum()), it))
                 origins.append(np.broadcast_to(starts, found.shape)[some])
@@ -204,6 +229,18 @@ def key_table(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def grouped(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
+    """(number of the first, texts): groups of about ``BYTES`` characters, or of one longer text."""
+    first = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text or "") > BYTES:
+            yield first, texts[first:k]
+            first, size = k, 0
+        size += len(text or "")
+    if first < len(texts):
+        yield first, texts[first:]
+
+
 def candidate_windows(docs: DataFrame, id_col: str, text_col: str, classes: list[tuple[int, int]], table: Callable[[], np.ndarray]) -> DataFrame:
     """Windows of whole texts that have a key of ``table``: ``rid`` (of the row), ``row``, ``doc_id``, ``least`` (the class), ``at`` (its first
     word), ``keys``, ``base`` and ``part`` (words around it, enough for any item of the class, the first one's place being ``base``)."""
@@ -212,22 +249,23 @@ def candidate_windows(docs: DataFrame, id_col: str, text_col: str, classes: list
 
         bits = table()
         for batch in batches:
-            lines = Lines([line_of(t) for t in batch.column(3).to_pylist()])
-            owner = np.repeat(np.arange(len(lines.sizes)), lines.sizes)
-            word = np.arange(len(owner)) + owner  # among the codes
-            place = word - lines.firsts[owner]
             rows = []
-            for least, most in classes:
-                own = np.flatnonzero(place % stride_of(least) == 0)
-                found = window_keys(lines.codes, word[own], least)
-                first, second = slots_of(found)
-                hit = (bits[first >> np.uint64(3)] >> (first & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
-                some = np.nonzero(hit)
-                hit[some] = (bits[second[some] >> np.uint64(3)] >> (second[some] & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
-                for k in np.flatnonzero(hit.any(axis=0)):
-                    doc, at = int(owner[own[k]]), int(place[own[k]])
-                    base = max(0, at - 2 * stride_of(least) - most)
-                    rows.append((doc, least, at, found[hit[:, k] == 1, k].view(np.int64).tolist(), base, lines.part(doc, base, at + 2 * most)))
+            for first_row, texts in grouped(batch.column(3).to_pylist()):
+                lines = Lines([line_of(t) for t in texts])
+                owner = np.repeat(np.arange(len(lines.sizes)), lines.sizes)
+                word = np.arange(len(owner)) + owner  # among the codes
+                place = word - lines.firsts[owner]
+                for least, most in classes:
+                    own = np.flatnonzero(place % stride_of(least) == 0)
+                    for i, found in window_keys(lines.codes, word[own], least):
+                        first, second = slots_of(found)
+                        hit = (bits[first >> np.uint64(3)] >> (first & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
+                        some = np.nonzero(hit)
+                        hit[some] = (bits[second[some] >> np.uint64(3)] >> (second[some] & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
+                        for k in np.flatnonzero(hit.any(axis=0)):
+                            doc, at = int(owner[own[i + k]]), int(place[own[i + k]])
+                            base = max(0, at - 2 * stride_of(least) - most)
+                            rows.append((first_row + doc, least, at, found[hit[:, k] == 1, k].view(np.int64).tolist(), base, lines.part(doc, base, at + 2 * most)))
             at, *cols = zip(*rows) if rows else [()] * 6
             kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:3]), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["rid", "row", "doc_id", "least", "at", "keys", "base", "part"])

@@ -80,7 +80,7 @@ def test_one_id_with_two_recordings(spark):
 
 
 def test_segments_hold_every_window_once():
-    for n in (3, 16, 17, 111, 112, 127, 128, 129, 500):
+    for n in (3, 16, 17, 175, 176, 177, 190, 191, 192, 193, 700):
         prints = np.arange(n, dtype=np.uint32)
         seen = [int(p[i]) for _, p in audio.segments_of(prints, 16) for i in range(len(p) - 15)]
         assert seen == list(range(max(0, n - 15)))

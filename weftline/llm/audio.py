@@ -23,7 +23,7 @@ LEAST_RUN, BIT_ERRORS = 16, 0.05
 #: Successive integers that make a key of the index.
 KEYED = 3
 #: Places of a segment. A recording is cut into segments so that every stretch of the least length lies in one of them.
-SEGMENT = 112
+SEGMENT = 176
 #: Segments that a task remembers, so as to hand on copies once.
 REMEMBERED = 500_000
 #: Bits of segment numbers, of keys, and of a hash of the integer before a key, where they are moved.
@@ -267,7 +267,8 @@ def align_recordings(segments: DataFrame, least_run: int = LEAST_RUN, most_error
     (first place in the query), ``run`` (windows at that shift plus ``least_run`` - 1), ``votes`` and ``errors`` (see :func:`aligned`).
 
     The index holds every ``KEYED`` successive integers of every recording: two segments with ``KEYED`` equal integers in a row
-    have a common key, and such segments are compared at every shift, the query played from each of its ``STARTS`` that has the key. A stretch
+    have a common key, from any of the query's ``STARTS``, and such segments are compared at every shift with the query played from each of its ``STARTS``
+    (up to the first without a wrong bit). A stretch
     whose wrong bits leave no ``KEYED`` equal integers in a row in its segments is not nominated. Of a run of common keys only the
     first nominates: a pair is passed over at a key before whose first places both segments have equal integers, as those make
     a common key further ahead (unequal ones that agree in ``LEAD_BITS`` bits of a hash count as equal, which may lose one run in 65,000). Keys that
@@ -294,36 +295,35 @@ def align_recordings(segments: DataFrame, least_run: int = LEAST_RUN, most_error
         import pyarrow as pa
 
         for batch in batches:
-            rows: dict[tuple[int, int], int] = {}
+            rows: set[tuple[int, int]] = set()
             for x, plays in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for k, p in enumerate(plays):
-                    for key, lead in zip(*(c.tolist() for c in index_keys(np.frombuffer(p or b"", "<u4")))):
-                        at = (x * (2 << LEAD_BITS) + lead, key)
-                        rows[at] = rows.get(at, 0) | 1 << k
-            yield pa.RecordBatch.from_arrays([*(pa.array([at[i] for at in rows], pa.int64()) for i in (0, 1)), pa.array(list(rows.values()), pa.int32())], names=["xid", "xkey", "starts"])
+                for p in plays:
+                    rows.update((x * (2 << LEAD_BITS) + lead, key) for key, lead in zip(*(c.tolist() for c in index_keys(np.frombuffer(p or b"", "<u4")))))
+            yield pa.RecordBatch.from_arrays([pa.array([at[i] for at in rows], pa.int64()) for i in (0, 1)], names=["xid", "xkey"])
 
     keys = map_batches(index.select("y", "prints"), keyed, "yid long, ykey long")
-    asks = map_batches(asked.select("x", "plays"), asking, "xid long, xkey long, starts int")
+    asks = map_batches(asked.select("x", "plays"), asking, "xid long, xkey long")
     split = lambda c: (F.shiftright(c, LEAD_BITS + 1), F.col(c).bitwiseAND(F.lit((2 << LEAD_BITS) - 1)))  # noqa: E731  number and lead are moved as one
     (x, xlead), (y, ylead) = split("xid"), split("yid")
-    pairs = asks.join(keys, (F.col("xkey") == F.col("ykey")) & ((xlead != ylead) | (xlead == 0))).select(x.alias("x"), y.alias("y"), "starts").groupBy("x", "y").agg(F.bit_or("starts").alias("starts"))
-    heard = F.expr("filter(transform(plays, (p, k) -> if(shiftright(starts, k) & 1 = 1, struct(k, p), null)), e -> e is not null)")
-    sides = pairs.join(asked.select(F.col("x").alias("_x"), "c1", "n", F.col("place").alias("xplace"), "plays"), F.col("x") == F.col("_x")).select("y", "c1", "n", "xplace", heard.alias("heard"))
+    pairs = asks.join(keys, (F.col("xkey") == F.col("ykey")) & ((xlead != ylead) | (xlead == 0))).select(x.alias("x"), y.alias("y")).distinct()
+    sides = pairs.join(asked.select(F.col("x").alias("_x"), "c1", "n", F.col("place").alias("xplace"), "plays"), F.col("x") == F.col("_x")).select("y", "c1", "n", "xplace", "plays")
     # The index is dealt by segment number for this join already.
     sides = sides.join(index.select(F.col("y").alias("_y"), F.col("c1").alias("m1"), F.col("n").alias("mn"), F.col("place").alias("yplace"), F.col("prints").alias("yprints")), F.col("y") == F.col("_y"))
-    sides = sides.filter((F.col("c1") != F.col("m1")) | (F.col("n") != F.col("mn"))).select("c1", "n", "m1", "mn", "xplace", "yplace", "heard", "yprints")
+    sides = sides.filter((F.col("c1") != F.col("m1")) | (F.col("n") != F.col("mn"))).select("c1", "n", "m1", "mn", "xplace", "yplace", "plays", "yprints")
 
     def verified(batches):
         import pyarrow as pa
 
         for batch in batches:
             at, rows = [], []
-            for i, (xplace, yplace, heard, y) in enumerate(zip(*(c.to_pylist() for c in batch.columns[4:]))):
-                for play in heard:
-                    if found := aligned(np.frombuffer(play["p"], "<u4"), np.frombuffer(y, "<u4"), least_run, most_errors):
+            for i, (xplace, yplace, plays, y) in enumerate(zip(*(c.to_pylist() for c in batch.columns[4:]))):
+                for k, play in enumerate(plays):
+                    if found := aligned(np.frombuffer(play or b"", "<u4"), np.frombuffer(y, "<u4"), least_run, most_errors):
                         wrong, start, windows, shift, votes = found
                         at.append(i)
-                        rows.append((play["k"], shift + yplace - xplace, start + xplace, windows, votes, wrong))
+                        rows.append((k, shift + yplace - xplace, start + xplace, windows, votes, wrong))
+                        if not wrong:
+                            break
             cols = [*zip(*rows)] or [()] * 6
             kinds = [pa.int32(), *[pa.int64()] * 4, pa.float64()]
             yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:4]), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["c1", "n", "m1", "mn", "k", "shift", "start", "windows", "votes", "errors"])

@@ -45,15 +45,17 @@ class Prefixes:
         return h
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Sampled suffixes of one block: (place, first start, last start, bucket, identifier of the stretch).
+def anchors(pieces: list[np.ndarray], length: int = LENGTH, gram: int = GRAM, whole: bool = True) -> tuple[np.ndarray, ...]:
+    """Sampled suffixes of pieces of texts, each of ``length`` bytes or more: (piece, place, first start, last start, bucket, identifier of the stretch).
 
     Every string of ``length`` bytes is kept by the least of its q-grams (leftmost on ties), so
     equal strings are kept by equal q-grams at equal offsets. A sampled suffix at ``place`` keeps
-    the strings that start from ``first`` to ``last``; the stretch is all their bytes.
+    the strings of its piece that start from ``first`` to ``last``; the stretch is all their bytes (not made unless ``whole``).
     """
-    p = Prefixes(data)
-    g = p.grams(gram)
+    data = np.concatenate(pieces)
+    sizes = np.array([len(p) for p in pieces])
+    offset = np.cumsum(sizes) - sizes
+    g = Prefixes(data).grams(gram)
     low = np.uint64(0xFFFFFFFF)
     least = (g & ~low) | np.arange(len(g), dtype=np.uint64)
     width, want = 1, length - gram + 1
@@ -61,11 +63,14 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
         step = min(width, want - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    at = (least & low).astype(np.int64)
-    first = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
-    last = np.concatenate([first[1:] - 1, [len(at) - 1]])
-    place = at[first]
-    return place, first, last, g[place], refined(data.tobytes(), g, first, last + length, gram)
+    owner = np.repeat(np.arange(len(pieces)), sizes - length + 1)  # of each string that lies in one piece
+    start = np.arange(len(owner)) + owner * (length - 1)
+    at = (least[start] & low).astype(np.int64)
+    new = np.flatnonzero((at[1:] != at[:-1]) | (owner[1:] != owner[:-1])) + 1
+    begin = np.concatenate([[0], new])
+    first, last, place, piece = start[begin], start[np.append(new, len(start)) - 1], at[begin], owner[begin]
+    stretch = refined(data.tobytes(), g, first, last + length, gram) if whole else None
+    return piece, place - offset[piece], first - offset[piece], last - offset[piece], g[place], stretch
 
 
 def refined(data: bytes, buckets: np.ndarray, starts: np.ndarray, ends: np.ndarray, gram: int) -> np.ndarray:
@@ -90,30 +95,42 @@ def _blocks(data: np.ndarray, length: int):
         yield i, data[i:i + BLOCK + length - 1]
 
 
-def sampled_suffixes(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Rows of all texts' anchors: ``row``, ``place``, ``lead`` and ``tail`` (starts before the place), ``bucket``, ``stretch``."""
+def sampled_suffixes(docs: DataFrame, length: int, gram: int, whole: bool = True) -> DataFrame:
+    """Rows of all texts' anchors: ``row``, ``place``, ``reach`` (starts before the place: first and last), ``bucket``, ``stretch``; the bucket alone unless ``whole``."""
     def run(batches):
         import pyarrow as pa
 
+        def found(rows, offs, pieces):
+            piece, place, first, last, bucket, stretch = anchors(pieces, length, gram, whole)
+            if not whole:
+                return pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64))], names=["bucket"])
+            columns = np.array(rows, np.int64)[piece], place + np.array(offs)[piece], (place - first) * 1024 + place - last, bucket.view(np.int64), stretch.view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "place", "reach", "bucket", "stretch"])
+
         for batch in batches:
-            parts = []
+            rows, offs, pieces, size = [], [], [], 0
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
                 for off, block in _blocks(data, length):
-                    place, first, last, bucket, stretch = anchors(block, length, gram)
-                    parts.append((np.full(len(place), row, np.int64), place + off, place - first, place - last, bucket.view(np.int64), stretch.view(np.int64)))
-            if parts:
-                row, place, lead, tail, bucket, stretch = map(np.concatenate, zip(*parts))
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(place), pa.array(lead * 1024 + tail, pa.int64()), pa.array(bucket), pa.array(stretch)], names=["row", "place", "reach", "bucket", "stretch"])
+                    rows.append(row)
+                    offs.append(off)
+                    pieces.append(block)
+                    size += len(block)
+                    if size >= BLOCK:
+                        yield found(rows, offs, pieces)
+                        rows, offs, pieces, size = [], [], [], 0
+            if pieces:
+                yield found(rows, offs, pieces)
 
-    return map_batches(docs.select("row", "text"), run, "row long, place long, reach long, bucket long, stretch long")
+    return map_batches(docs.select("row", "text"), run, "row long, place long, reach long, bucket long, stretch long" if whole else "bucket long")
 
 
 def starts_of_repeats(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, texts: DataFrame) -> DataFrame:
     """``row``, ``a``, ``b``: runs of starts (both included) of strings that also start elsewhere."""
-    suffixes = sampled_suffixes(rows_of(docs, id_col, text_col), length, gram)
+    rows = rows_of(docs, id_col, text_col)
+    buckets, suffixes = sampled_suffixes(rows, length, gram, whole=False), sampled_suffixes(rows, length, gram)
     # Stored, so that both sides of the join come by plain exchanges, whose skewed partitions are split.
-    shared = stored(suffixes.select("bucket").groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_b")))
+    shared = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_b")))
     live = stored(suffixes.join(shared, F.col("bucket") == F.col("_b")).drop("_b"))
     # First refinement: buckets split by the identifier of the whole stretch around the place.
     classes = stored(live.groupBy("bucket", "reach", "stretch").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")))
@@ -173,23 +190,29 @@ def _splitter(size: int, last_size: int | None, length: int, gram: int):
         import pyarrow as pa
 
         for batch in batches:
-            parts = []
-            for ask, row, place, lead, tail, bucket, body, offs in zip(*(c.to_pylist() for c in batch.columns)):
-                p = Prefixes(np.frombuffer(body, np.uint8))
-                grams = p.grams(gram)
-                if offs is None:
-                    a, b = np.array([-lead]), np.array([1 - tail])
-                else:
-                    a = np.array(sorted(offs))
-                    b = np.minimum((a // last_size + 1) * last_size, 1 - tail)
-                cuts = np.unique(np.concatenate([np.concatenate([[x], np.arange((x // size + 1) * size, y, size)]) for x, y in zip(a, b)]))
-                ends = np.minimum((cuts // size + 1) * size, 1 - tail)
-                base = cuts // size * size
-                core = refined(body, grams, base + size - 1 + lead, base + length + lead, gram) if size > 1 else np.zeros(len(cuts), np.uint64)
-                n = len(cuts)
-                parts.append((np.full(n, ask), np.full(n, row), cuts + place, ends - cuts, cuts, np.full(n, bucket) ^ (base * 0x9E3779B9), core.view(np.int64), refined(body, grams, cuts + lead, ends - 1 + length + lead, gram).view(np.int64)))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)], names=["ask", "row", "start", "n", "off", "core_of", "core", "stretch"])
+            ask, row, place, lead, tail, bucket = (np.array(c.to_pylist(), np.int64) for c in batch.columns[:6])
+            bodies, offs = batch.column(6).to_pylist(), batch.column(7).to_pylist()
+            data = b"".join(bodies)
+            sizes = np.array([len(x) for x in bodies])
+            zero = np.cumsum(sizes) - sizes + lead  # where the place of each body stands in the data
+            grams = Prefixes(np.frombuffer(data, np.uint8)).grams(gram)
+            if last_size is None:
+                of, a = np.arange(len(bodies)), -lead
+                b = 1 - tail
+            else:
+                of, a = np.repeat(np.arange(len(bodies)), [len(x) for x in offs]), np.array([o for x in offs for o in x], np.int64)
+                b = np.minimum((a // last_size + 1) * last_size, 1 - tail[of])
+            # Each stretch from a to b is cut at multiples of size.
+            n_cuts = 1 + np.maximum(0, -(-b // size) - (a // size + 1))
+            nth = np.arange(n_cuts.sum()) - np.repeat(np.cumsum(n_cuts) - n_cuts, n_cuts)
+            of, a = np.repeat(of, n_cuts), np.repeat(a, n_cuts)
+            cuts = np.where(nth == 0, a, (a // size + nth) * size)
+            ends = np.minimum((cuts // size + 1) * size, 1 - tail[of])
+            base, at = cuts // size * size, zero[of]
+            core = refined(data, grams, at + base + size - 1, at + base + length, gram).view(np.int64) if size > 1 else np.zeros(len(cuts), np.int64)
+            own = refined(data, grams, at + cuts, at + ends - 1 + length, gram).view(np.int64)
+            columns = ask[of], row[of], cuts + place[of], ends - cuts, cuts, bucket[of] ^ (base * 0x9E3779B9), core, own
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["ask", "row", "start", "n", "off", "core_of", "core", "stretch"])
 
     return run
 

@@ -20,20 +20,19 @@ def plain_chunks(data):
 
 
 def brute(rows):
-    """Kept bytes of each (id, text): chunks of several lines go if an earlier row or place holds the same bytes."""
+    """Kept bytes of each (id, text): chunks of several lines go if an earlier row or place holds the same bytes; a short last one goes with the chunk before it."""
     seen, out = set(), []
     for _, text in sorted(rows, key=lambda r: r[0]):
-        data = (text or "").encode()
-        kept, gone = [], []
-        for k, (i, j, whole) in enumerate(plain_chunks(data)):
-            body = whole.removesuffix(b"\n")
-            if j - i >= lines.LEAST and body in seen:
-                gone.append(k)
-            else:
-                kept.append(whole)
-                if j - i >= lines.LEAST:
-                    seen.add(body)
-        out.append((b"".join(kept), len(gone)))
+        parts, gone = plain_chunks((text or "").encode()), set()
+        compared = [(k,) for k, (i, j, _) in enumerate(parts) if j - i >= lines.LEAST]
+        if len(parts) > 1 and parts[-1][1] - parts[-1][0] < lines.LEAST:
+            compared.append((len(parts) - 2, len(parts) - 1))
+        for which in compared:
+            body = b"".join(parts[k][2] for k in which).removesuffix(b"\n")
+            if body in seen:
+                gone.update(which)
+            seen.add(body)
+        out.append((b"".join(whole for k, (_, _, whole) in enumerate(parts) if k not in gone), len(gone)))
     return out
 
 
@@ -78,3 +77,12 @@ def test_odd_rows(spark):
     assert lines.dedup_lines(spark.createDataFrame([], SCHEMA)).collect() == []
     twice = lines.dedup_lines(docs(spark, [(1, "a\nb\nc\nd\ne\nf", "en", "a", 1)] * 2)).collect()
     assert len({(r["doc_id"], bytes(r["kept"])) for r in twice}) == 1 and len(twice) == 2
+
+
+def test_exact_copies_go_whole(spark):
+    """Copies of texts of several lines leave nothing, whatever their last chunk; those that differ in the last line keep it alone or with its chunk."""
+    texts = ["\n".join(prose(100 * k + i, 4) for i in range(2 + k % 9)) for k in range(30)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100 + k, t) for k, t in enumerate(texts)] + [(200 + k, t + " more") for k, t in enumerate(texts)]
+    found = {r["doc_id"]: bytes(r["kept"]) for r in lines.dedup_lines(docs(spark, [(i, t, "en", "a", 1) for i, t in rows])).collect()}
+    assert all(found[k] == t.encode() and found[100 + k] == b"" for k, t in enumerate(texts))
+    assert all(found[200 + k].endswith(b" more") for k in range(30)) and sum(len(found[200 + k].split(b"\n")) == 1 for k in range(30)) >= 3

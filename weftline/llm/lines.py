@@ -37,6 +37,14 @@ def chunks(data: bytes, window: int = WINDOW, mean: int = MEAN, least: int = LEA
     return out
 
 
+def units(spans: list[tuple[int, int, int, int]], least: int) -> list[tuple[int, int, int]]:
+    """(number, first chunk, end chunk) of what is compared: chunks of ``least`` or more lines, and a shorter last one with the chunk before it."""
+    out = [(k, k, k + 1) for k, (i, j, _, _) in enumerate(spans) if j - i >= least]
+    if len(spans) > 1 and spans[-1][1] - spans[-1][0] < least:
+        out.append((len(spans), len(spans) - 2, len(spans)))
+    return out
+
+
 def _key(data: bytes) -> tuple[int, int]:
     import xxhash
 
@@ -53,7 +61,8 @@ def _body(data: bytes) -> bytes:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mean: int = MEAN, least: int = LEAST) -> DataFrame:
     """Every row of ``docs`` without chunks of ``least`` or more lines that stand earlier in the corpus.
 
-    A rolling hash over line hashes cuts each text into chunks. Of chunks with equal bytes the
+    A rolling hash over line hashes cuts each text into chunks. Where the last one is shorter it is also compared together with the
+    chunk before it, so exact copies go whole. Of chunks with equal bytes the
     first (by id, null first, then place in the text) stays and the others go, in whatever rows.
     128-bit hashes nominate; before a chunk goes its bytes are compared with the first one's.
 
@@ -71,7 +80,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rows = []
             for row, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
                 data = (text or "").encode("utf-8", "surrogatepass")
-                rows += [(row, doc, k, *_key(_body(data[a:b]))) for k, (i, j, a, b) in enumerate(chunks(data, window, mean, least)) if j - i >= least]
+                spans = chunks(data, window, mean, least)
+                rows += [(row, doc, k, *_key(_body(data[spans[i][2]:spans[j - 1][3]]))) for k, i, j in units(spans, least)]
             cols = [*zip(*rows)] or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["row", "doc_id", "chunk", "h1", "h2"])
 
@@ -90,7 +100,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for row, z, wanted in zip(*(c.to_pylist() for c in batch.columns)):
                 data = unpack(z)
                 spans = chunks(data, window, mean, least)
-                rows += [(row, x["chunk"], x["h1"], x["h2"], x["first"], _body(data[spans[x["chunk"]][2]:spans[x["chunk"]][3]])) for x in wanted]
+                at = {k: (spans[i][2], spans[j - 1][3]) for k, i, j in units(spans, least)}
+                rows += [(row, x["chunk"], x["h1"], x["h2"], x["first"], _body(data[slice(*at[x["chunk"]])])) for x in wanted]
             cols = [*zip(*rows)] or [()] * 6
             kinds = [pa.int64()] * 4 + [pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["row", "chunk", "h1", "h2", "first", "body"])
@@ -110,6 +121,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for doc, z, out in zip(*(c.to_pylist() for c in batch.columns)):
                 data, out = unpack(z), set(out or ())
                 spans = chunks(data, window, mean, least)
+                out = {c for k, i, j in units(spans, least) if k in out for c in range(i, j)}
                 kept = b"".join(data[a:b] for k, (_, _, a, b) in enumerate(spans) if k not in out)
                 rows.append((doc, spans[-1][1], len(spans), [{"start": spans[k][0], "end": spans[k][1]} for k in sorted(out)], kept))
             cols = [*zip(*rows)] or [()] * 5

@@ -49,3 +49,9 @@ def test_draws_follow_weights(spark):
     people = spark.createDataFrame([(i, 20 + i % 4) for i in range(12)], "pos int, age int")
     drawn = sampling.draw_pairs(spark.range(300).select("id", ((F.col("id") * 7919 % 307) / 307).alias("u1"), ((F.col("id") * 104729 % 311) / 311).alias("u2")), people, "pos", "age", "u1", "u2").collect()
     assert len(drawn) == 300 and all(r["p1"] < r["p2"] for r in drawn)
+
+
+def test_language_names_are_joined(spark):
+    """J6: codes get their English and own names."""
+    codes = spark.createDataFrame([("fi",), ("cs",)], "code string").join(multilang.language_table(spark), "code").orderBy("code")
+    assert [(r["name"], r["native_name"]) for r in codes.collect()] == [("Czech", "Čeština"), ("Finnish", "Suomi")]

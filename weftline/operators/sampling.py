@@ -76,9 +76,6 @@ def draw_pairs(draws: DataFrame, people: DataFrame, pos_col: str, age_col: str,
     return out.select(*[F.col(c) for c in draws.columns], F.least("pa", "pb").alias("p1"), F.greatest("pa", "pb").alias("p2"))
 
 
-PLACES = ("platform", "community", "fandom", "gaming")
-
-
 def resolve_template(template: Column, picks: dict[str, Column]) -> Column:
     """The template with its first known placeholder (in the order of ``picks``) filled in; others stay."""
     out = None

@@ -10,10 +10,6 @@ from .. import schemas
 REQUIRED = {"persona": ["name", "age", "traits", "background", "chatting_style", "model", "id"], "experience": ["persona1", "persona2", "relationship", "situation", "topic", "id"]}
 
 
-class BadRecord(ValueError):
-    """A record that lacks a required field, where the reader may not skip it."""
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` (or a glob) has files, in any store that Spark reads."""
     jvm = spark._jvm

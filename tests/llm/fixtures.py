@@ -32,7 +32,3 @@ def clashing(df):
     for name in ("row", "_row", "_kept", "_text", "_b", "_r", "_j", "_copies", "size", "shard", "slot", "score", "predicted", "lang_pred", "fp", "z", "bucket", "component_id", "key", "p", "copies", "_src", "target", "class_id", "prints"):
         df = df.withColumn(name, F.lit(name))
     return df
-
-
-def by_id(df, *columns):
-    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)

@@ -211,10 +211,6 @@ def index_keys(prints: np.ndarray, keyed: int = KEYED) -> tuple[np.ndarray, np.n
     return keys.view(np.int64), np.where(first > 0, before[first - 1].view(np.int64) + 1, 0)
 
 
-def bit_errors(a: np.ndarray, b: np.ndarray) -> float:
-    return float(np.bitwise_count(a ^ b).mean() / 32) if len(a) else 1.0
-
-
 def window_errors(a: np.ndarray, b: np.ndarray, least_run: int) -> np.ndarray:
     """Wrong bits of ``least_run`` integers of ``a`` from place i on against as many of ``b`` from place j on, for all i and j."""
     rows, cols = len(a) - least_run + 1, len(b) - least_run + 1

@@ -84,11 +84,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def utf8_order(column: str):
-    """Sort key by code point with null last."""
-    return F.col(column).asc_nulls_last()
-
-
 def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row`` (hash of id and text), ``doc_id`` and ``z`` (the text's UTF-8 bytes, compressed) of every row.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,12 @@ from .common import map_batches, packed, rows_of, stored, unpack
 
 #: A line ends a chunk if the rolling hash of its last ``WINDOW`` lines is 0 modulo ``MEAN``; chunks have ``LEAST`` lines or more.
 WINDOW, MEAN, LEAST = 2, 3, 2
-_M = (1 << 64) - 1
+BASE, _M = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def line_hash(line: bytes) -> int:
+    """60 bits of MD5, which other engines have too."""
+    return int.from_bytes(md5(line, usedforsecurity=False).digest()[:8], "big") >> 4
 
 
 def chunks(data: bytes, window: int = WINDOW, mean: int = MEAN, least: int = LEAST) -> list[tuple[int, int, int, int]]:
@@ -18,16 +25,13 @@ def chunks(data: bytes, window: int = WINDOW, mean: int = MEAN, least: int = LEA
     Boundaries depend on the last ``window`` lines only, so they shift with their lines: text put in
     or taken out elsewhere leaves later chunks as they were.
     """
-    import xxhash
-
-    digest, base = xxhash.xxh64_intdigest, 0x9E3779B97F4A7C15
     lines = data.split(b"\n")
-    top = pow(base, window, 1 << 64)
+    top = pow(BASE, window, 1 << 64)
     out, hashes, roll, line0, byte0, at = [], [], 0, 0, 0, 0
     for i, line in enumerate(lines):
-        h = digest(line)
+        h = line_hash(line)
         hashes.append(h)
-        roll = (roll * base + h - (hashes[i - window] * top if i >= window else 0)) & _M
+        roll = (roll * BASE + h - (hashes[i - window] * top if i >= window else 0)) & _M
         at += len(line) + 1
         if (roll >> 33) % mean == 0 and i + 1 - line0 >= least:
             out.append((line0, i + 1, byte0, min(at, len(data))))

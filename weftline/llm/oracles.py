@@ -5,6 +5,7 @@ from __future__ import annotations
 from math import ceil
 
 from .licenses import BLOCK, CONTAINMENT, PHRASES, TEMPLATES
+from .lines import BASE, LEAST, MEAN, WINDOW
 from .repeats import LENGTH
 from .sharding import BUCKET_ROWS
 
@@ -73,5 +74,29 @@ SELECT doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remo
 FROM d LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)"""
 
 
+def _op4() -> str:
+    """Boundaries by window functions: of lines in a row that may end a chunk every second one does, for chunks have two lines at least."""
+    assert (WINDOW, LEAST) == (2, 2)
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT r, unnest(range(0, len(l))) AS i, unnest(l) AS x FROM d),
+hashed AS (SELECT r, i, CAST(CAST('0x' || substr(md5(x), 1, 15) AS BIGINT) AS HUGEINT) AS h FROM lines),
+rolled AS (SELECT r, i, ((h + coalesce(lag(h) OVER (PARTITION BY r ORDER BY i), 0) * {BASE}) % 18446744073709551616) // 8589934592 % {MEAN} = 0 AS may FROM hashed),
+runs AS (SELECT r, i, i - row_number() OVER (PARTITION BY r ORDER BY i) AS run FROM rolled WHERE may),
+nth AS (SELECT r, i, row_number() OVER (PARTITION BY r, run ORDER BY i) AS n, min(i) OVER (PARTITION BY r, run) AS first FROM runs),
+ends AS (SELECT r, i + 1 AS e FROM nth WHERE n % 2 = CASE WHEN first = 0 THEN 0 ELSE 1 END UNION SELECT r, len(l) FROM d),
+cut AS (SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY e), 0) AS a, e AS b, row_number() OVER (PARTITION BY r ORDER BY e) - 1 AS k, count(*) OVER (PARTITION BY r) AS n_chunks FROM ends),
+chunks AS MATERIALIZED (SELECT r, doc_id, k, a, b, n_chunks, k = n_chunks - 1 AS last, array_to_string(l[a + 1:b], chr(10)) || CASE WHEN k = n_chunks - 1 THEN '' ELSE chr(10) END AS x FROM cut JOIN d USING (r)),
+units AS (SELECT r, doc_id, k, k AS k0, k AS k1, x FROM chunks WHERE b - a >= {LEAST}
+  UNION ALL SELECT y.r, y.doc_id, y.n_chunks, z.k, y.k, z.x || y.x FROM chunks y JOIN chunks z ON y.r = z.r AND z.k = y.k - 1 WHERE y.last AND y.b - y.a < {LEAST}),
+bodies AS (SELECT r, doc_id, k, k0, k1, CASE WHEN ends_with(x, chr(10)) THEN left(x, length(x) - 1) ELSE x END AS body FROM units),
+ranked AS (SELECT r, k0, k1, row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS FIRST, r, k) AS n FROM bodies),
+gone AS (SELECT DISTINCT r, unnest([k0, k1]) AS k FROM ranked WHERE n > 1),
+marked AS (SELECT c.r, c.doc_id, c.k, c.a, c.b, c.n_chunks, c.x, g.k IS NOT NULL AS gone FROM chunks c LEFT JOIN gone g ON c.r = g.r AND c.k = g.k)
+SELECT doc_id, CAST(max(b) AS BIGINT) AS n_lines, CAST(max(n_chunks) AS BIGINT) AS n_chunks, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS removed_chunks, CAST(coalesce(sum(b - a) FILTER (WHERE gone), 0) AS BIGINT) AS removed_lines,
+  CAST(octet_length(encode(coalesce(string_agg(x, '' ORDER BY k) FILTER (WHERE NOT gone), ''))) AS BIGINT) AS kept_bytes, sha256(coalesce(string_agg(x, '' ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_interleaved_shards": _op1(), "op3_repeated_bytes": _op3(), "op6_licenses": _op6()}
+    return {"op1_interleaved_shards": _op1(), "op3_repeated_bytes": _op3(), "op4_line_chunks": _op4(), "op6_licenses": _op6()}

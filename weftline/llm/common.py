@@ -62,6 +62,14 @@ def with_results(fields: list[T.StructField], *results: tuple[str, T.DataType])
     return T.StructType([*(T.StructField(f.name, f.dataType) for f in fields), *(T.StructField(n, t) for n, t in results)])
 
 
+def with_text(df: DataFrame, kept: list[T.StructField], text_col: str) -> tuple[DataFrame, int]:
+    """(the columns ``kept`` of ``df``, place of the text among them); a text that isn't kept, or no string, is put at the end as one."""
+    for i, f in enumerate(kept):
+        if f.name == text_col and isinstance(f.dataType, T.StringType):
+            return df.select(*[F.col(f"`{k.name}`") for k in kept]), i
+    return df.select(*[F.col(f"`{k.name}`") for k in kept], F.col(text_col).cast("string").alias(fresh(df, "_text")[0])), len(kept)
+
+
 def map_batches(df: DataFrame, function: Callable[[Iterator], Iterator], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow``, ``function`` being given at most ``ARROW_ROWS`` rows at a time.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, map_batches, with_results
+from .common import map_batches, with_results, with_text
 
 #: Labelled documents that training reads at most; each is read whole.
 TRAIN_DOCS = 1200
@@ -22,7 +22,7 @@ HIDDEN = 8
 #: Bytes of a segment at most: what the network reads in one go. Segments end between characters.
 SEGMENT = 96
 #: Segments that run through the network together, and bytes that a worker gathers before it runs it.
-TOGETHER, GATHERED = 2048, 4 << 20
+TOGETHER, GATHERED = 1024, 1 << 20
 UNKNOWN = "und"
 DIRECTIONS = ("f", "b")
 
@@ -258,15 +258,16 @@ def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col
     model = train([t for t, _ in known], [y for _, y in known], len(langs)) if known else None
     kept = [f for f in docs.schema.fields if f.name.lower() not in (pred_col.lower(), score_col.lower())]
 
+    given, text_at = with_text(docs, kept, text_col)
+
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(text_at).to_pylist()
             probs = list(document_probs(texts, model, len(langs))) if model else [None] * len(texts)
             names = [UNKNOWN if p is None else langs[int(np.argmax(p))] for p in probs]
             scores = [0.0 if p is None else min(1.0, float(p.max())) for p in probs]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], pred_col, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(names), pa.array(scores, pa.float64())], names=[*(f.name for f in kept), pred_col, score_col])
 
-    given = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).cast("string").alias(fresh(docs, "_text")[0]))
     return map_batches(given, run, with_results(kept, (pred_col, T.StringType()), (score_col, T.DoubleType())))

@@ -74,9 +74,13 @@ def map_batches(df: DataFrame, function: Callable[[Iterator], Iterator], schema:
     """``mapInArrow``, ``function`` being given at most ``ARROW_ROWS`` rows at a time.
 
     Spark bounds its own batches by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``); the session's settings stay as they are.
+    A worker that is kept for later tasks gives back the memory of its batches.
     """
     def run(batches):
-        return function(part for batch in batches for part in slices(batch))
+        import pyarrow as pa
+
+        yield from function(part for batch in batches for part in slices(batch))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -19,6 +19,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
 
 #: Rows in an Arrow batch handed to Python. Bounds a worker's memory to this many texts at a time.
 ARROW_ROWS = 512
+#: What a session gets that says nothing about Arrow batches.
+ARROW_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_ROWS), "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -73,9 +75,15 @@ def with_text(df: DataFrame, kept: list[T.StructField], text_col: str) -> tuple[
 def map_batches(df: DataFrame, function: Callable[[Iterator], Iterator], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow``, ``function`` being given at most ``ARROW_ROWS`` rows at a time.
 
-    Spark bounds its own batches by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``); the session's settings stay as they are.
-    A worker that is kept for later tasks gives back the memory of its batches.
+    Spark fills a batch of 64 MB before a task sees it, which costs an executor several times that outside its heap. So the session's
+    two settings of Arrow batches are lowered, unless the session sets them itself: then they stay as they are. A worker that is kept for later
+    tasks gives back the memory of its batches.
     """
+    conf = df.sparkSession.conf
+    for key, value in ARROW_BATCHES.items():
+        if conf.get(key, None) is None:
+            conf.set(key, value)
+
     def run(batches):
         import pyarrow as pa
 

@@ -90,3 +90,74 @@ def test_query_is_the_plain_computation(spark):
     for r in queries.op5_quality(spark, sf).collect():
         score = 1 / (1 + math.exp(-(((x[r["doc_id"]] - mean) / sd) @ model["w"] - zero)))
         assert abs(r["score"] - score) < 1e-6 and r["predicted"] == int(r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
+def labelled(n, n_bad, seed=3):
+    """Features of ``n`` documents with overlapping labels, ``n_bad`` of them 0."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, quality.N_FEATURES)) * np.linspace(0.1, 30, quality.N_FEATURES)
+    x[0, 5] = 4000  # far out
+    y = np.ones(n, int)
+    y[np.argsort(x[:, 0] * 3 - x[:, 4] * 0.05 + rng.normal(scale=0.4, size=n))[:n_bad]] = 0
+    return x, y
+
+
+def test_every_pair_counts():
+    for n, n_bad in [(1500, 600), (130_000, 1), (20_000, 19_990)]:
+        x, y = labelled(n, n_bad)
+        model = quality.fit(x, y)
+        z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+        gradient = 1e-3 * model["w"]
+        for b in z[y == 0]:
+            d = z[y == 1] - b
+            gradient -= d.T @ (1 / (1 + np.exp(d @ model["w"]))) / (y == 1).sum() / n_bad
+        assert np.abs(gradient).max() < 1e-7  # the loss over all pairs has its least value there
+        s = np.sort(z @ model["w"])
+        assert abs(model["zero"] - (s[n_bad - 1] + s[n_bad]) / 2) < 1e-6
+
+
+def test_pairs_that_no_draw_hit_count_once():
+    x, y = labelled(401, 400)
+    model, few = quality.fit(x, y, n_pairs=400), quality.fit(x, y, n_pairs=399)
+    rng = np.random.default_rng(9)
+    good, bad = rng.choice(np.nonzero(y == 1)[0], 400), rng.choice(np.nonzero(y == 0)[0], 400)
+    assert len(set(good)) == 1 and len(set(bad)) < 400
+    times = np.maximum(np.bincount(bad, minlength=401), y == 0)
+    z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+    d = z[y == 1] - z
+    gradient = -(d * (times / times.sum() / (1 + np.exp(d @ model["w"])))[:, None]).sum(0) + 1e-3 * model["w"]
+    assert np.abs(gradient).max() < 1e-6 and np.abs(few["w"] - model["w"]).max() > 1e-4
+
+
+def test_ranks_are_exact():
+    rng = np.random.default_rng(2)
+    for s in (rng.normal(size=1000), np.round(rng.normal(size=1000)), np.array([-0.0, 0.0, -1e300, 5e-324, 1e300, -7.0])):
+        parts = [s[i::3] for i in range(3)]
+
+        def total(f):
+            return quality._add({}, (item for p in parts for item in f(p, None).items()))
+
+        for k in range(0, len(s), 1 + len(s) // 50):
+            assert quality.at_ranks(total, lambda x: x, [k, len(s) - 1]) == [np.sort(s)[k], s.max()]
+
+
+def test_all_labelled_documents_teach(spark, monkeypatch):
+    """More documents than the 20,000 once learnt from: the model is that of all, and as many as have label 0 are under the threshold."""
+    words = ["alpha", "Beta!", "$$ 17", "gamma.", "delta", "Eps\n"]
+    rows = [(i, " ".join(words[(i * k + k * k // 3) % 6] for k in range(1, 3 + i % 23)) + ("!" * (i % 5) if i * 2654435761 % 11 < 5 else f" w{i}"), int(i * 2654435761 % 11 >= 5 - (i % 7 == 0))) for i in range(21_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    x, y = np.array([quality.features(t) for _, t, _ in rows]), np.array([q for *_, q in rows])
+    expected = quality.score(quality.fit(x, y), x)
+    for parts in (64, 0):
+        monkeypatch.setattr(quality, "PARTS", parts, raising=False)
+        found = {r["doc_id"]: r for r in quality.score_quality(df.select("doc_id", "text"), df.select("doc_id", "quality")).collect()}
+        assert max(abs(found[i]["score"] - expected[i]) for i in range(len(rows))) < 1e-6
+    s = np.sort(expected)
+    assert s[(y == 0).sum() - 1] <= 0.5 <= s[(y == 0).sum()]
+
+
+def test_one_label_only(spark):
+    df = docs(spark, odd_rows())
+    labels = spark.createDataFrame([(5, 1), (6, 1)], "doc_id long, quality int")
+    ids = df.filter("doc_id in (5, 6)").select("doc_id").distinct().count()
+    assert {round(r["score"], 9) for r in quality.score_quality(df, labels).collect()} == {round((ids + 0.5) / (ids + 1), 9)}

@@ -32,6 +32,23 @@ def test_components_leave_one_table(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_run_few_stages(spark):
+    """No round that changes nothing: the driver keeps every stage and its tasks."""
+    def stages(pairs):
+        edges = spark.createDataFrame(pairs, "a long, b long")
+        spark.sparkContext.setJobGroup("components", "")
+        found = {r["node"]: r["root"] for r in connected_components(edges).collect()}
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("components")
+        spark.sparkContext.setJobGroup("others", "")
+        return found, jobs
+
+    star = [(0, k) for k in range(1, 30)]
+    found, first = stages(star)
+    assert found == {k: 0 for k in range(30)} and len(first) <= 10
+    found, second = stages([(k, k + 1) for k in range(9)] + star)
+    assert found == {k: 0 for k in range(30)} and len(second) - len(first) <= 20
+
+
 def test_batches_are_bounded(spark):
     """Whatever the session says of Arrow batches; what it says stays, what it doesn't say is lowered."""
     def run(batches):

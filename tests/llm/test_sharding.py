@@ -90,3 +90,9 @@ def test_odd_rows(spark):
     assert all(r["size"] == 8 and r["text_crc32"] == 0 for r in found if r["doc_id"] in (1, 2))
     assert run(spark.createDataFrame([], SCHEMA)) == []
     check_law(run(docs(spark, rows_of(3)), 24), 24)
+
+
+def test_plan_of_rows_is_short(spark):
+    """It holds no copies of the plans of counts; the driver keeps one for each stage."""
+    df = sharding.interleave_shards(docs(spark, rows_of(500)), 5)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 12

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import pytest
 import xxhash
@@ -103,3 +104,17 @@ def test_components(spark):
     root = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert {root[i] for i in range(41)} == {0} and root[201] == 200 and {root[300 + k] for k in range(50)} == {300}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+def test_values_around(spark, distance):
+    value = -(1 << 63) + 12345
+    found = spark.createDataFrame([(value,)], "fp long").selectExpr(f"{simhash.within('fp', distance)} as x").first()["x"]
+    masks = [sum(1 << b for b in c) for r in range(distance + 1) for c in combinations(range(64), r)]
+    assert sorted(x % (1 << 64) for x in found) == sorted(value % (1 << 64) ^ m for m in masks)
+
+
+def test_plans_of_links_are_short(spark):
+    """The driver keeps a copy for each stage."""
+    links = simhash.close_links(spark.createDataFrame([(x,) for x in range(50)], "fp long"))
+    assert len(links._jdf.queryExecution().toString()) < 40_000

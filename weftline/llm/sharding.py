@@ -28,7 +28,8 @@ def interleave_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str
     No rank is taken in one task. Equal rows are counted first, map-side, and take their ranks in a row from the first one's, so
     any number of them is one row until the ranks are known. Hash prefixes split each source into buckets of about
     ``BUCKET_ROWS`` rows and fractional ranks split the whole order likewise; counts per bucket
-    are summed up, in two levels, to give the rank at which a bucket starts. A source of a third of all rows is
+    are summed up, in two levels, to give the rank at which a bucket starts; these short tables are written first, as
+    the plan of the rows would else hold theirs several times, and the driver a copy for each of its stages. A source of a third of all rows is
     spread over as many buckets as its rows need.
 
     Returns id, ``size`` (UTF-8 bytes of the text, null: none, plus 8), ``text_crc32`` (null text:
@@ -53,7 +54,7 @@ def interleave_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str
     per = kinds.groupBy("_source", "_b").agg(F.sum("_m").alias("_n"))
     of_source = kinds.groupBy(F.col("_source").alias("_as")).agg(F.sum("_m").alias("_all"))
     per = summed_before(per, ["_source"], "_b", "_n", "_before").select(F.col("_source").alias("_s"), F.col("_b").alias("_sb"), "_before")
-    per = per.join(of_source, F.col("_s").eqNullSafe(F.col("_as"))).drop("_as")
+    per = cut(per.join(of_source, F.col("_s").eqNullSafe(F.col("_as"))).drop("_as"))
     inner = Window.partitionBy("_source", "_b").orderBy(*tie).rowsBetween(Window.unboundedPreceding, -1)
     ranked = kinds.withColumn("_r", F.coalesce(F.sum("_m").over(inner), F.lit(0))).join(
         per, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_sb")))
@@ -62,7 +63,7 @@ def interleave_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str
         .withColumn("_g", F.least(F.floor(F.col("_f") * n_buckets), F.lit(n_buckets - 1)).cast("int")) \
         .select("doc_id", "size", "text_crc32", "_source", "_f", "_g")
 
-    starts = summed_before(place.groupBy("_g").agg(F.count("*").alias("_n")), [], "_g", "_n", "_start").select(F.col("_g").alias("_gg"), "_start")
+    starts = summed_before(cut(place.groupBy("_g").agg(F.count("*").alias("_n"))), [], "_g", "_n", "_start").select(F.col("_g").alias("_gg"), "_start")
     order = Window.partitionBy("_g").orderBy("_f", F.col("_source").asc_nulls_last())  # no two rows of a source are equal in it
     at = place.withColumn("_p", F.row_number().over(order)).join(starts, F.col("_g") == F.col("_gg")) \
         .withColumn("_pos", (F.col("_start") + F.col("_p") - 1).cast("long"))

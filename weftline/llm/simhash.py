@@ -88,6 +88,20 @@ def n_blocks_for(n: int, distance: int = DISTANCE) -> int:
     return distance + 8
 
 
+def within(value: str, distance: int) -> str:
+    """SQL of the array of all longs within ``distance`` bits of the column ``value``, each once.
+
+    Bits are chosen in ascending order, ``BITS`` standing for none. The thousands of masks written out would be in every copy
+    of the plan that the driver keeps.
+    """
+    if not distance:
+        return f"array({value})"
+    changed = " ^ ".join([value, *(f"if(i{k} = {BITS}, 0L, shiftleft(1L, i{k}))" for k in range(distance))])
+    for k in range(distance - 1, -1, -1):
+        changed = f"transform(sequence({f'least(i{k - 1} + 1, {BITS}), {BITS}' if k else f'0, {BITS - 1}'}), i{k} -> {changed})"
+    return f"concat(array({value}), {'flatten(' * (distance - 1)}{changed}{')' * (distance - 1)})"
+
+
 def close_links(fps: DataFrame, distance: int = DISTANCE, paired: int = PAIRED, n_blocks: int | None = None) -> DataFrame:
     """``a``, ``b``: pairs of distinct fingerprints (column ``fp``, distinct) that join all within ``distance`` bits.
 
@@ -109,11 +123,7 @@ def close_links(fps: DataFrame, distance: int = DISTANCE, paired: int = PAIRED,
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= distance
     pairs = few.join(other, (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("fp") < F.col("b")) & near).select(F.col("fp").alias("a"), "b")
     hot = shared.filter(F.col("n") > paired).select("fp").distinct()
-    flips = [0]
-    for r in range(1, distance // 2 + 1):
-        flips += [sum(1 << b for b in c) for c in combinations(range(BITS), r)]
-    flips = [f - (1 << BITS) if f >> (BITS - 1) else f for f in flips]
-    around = hot.select("fp", F.explode(F.expr("transform(array(%s), x -> x ^ fp)" % ",".join(f"{f}L" if f != -(1 << 63) else "shiftleft(1L, 63)" for f in flips))).alias("mid"))
+    around = hot.select("fp", F.explode(F.expr(within("fp", distance // 2))).alias("mid"))
     least = around.groupBy("mid").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a < z").select(F.col("mid").alias("m2"), "a")
     stars = around.join(least, F.col("mid") == F.col("m2")).filter("a < fp").select("a", F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()

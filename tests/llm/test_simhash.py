@@ -118,3 +118,15 @@ def test_plans_of_links_are_short(spark):
     """The driver keeps a copy for each stage."""
     links = simhash.close_links(spark.createDataFrame([(x,) for x in range(50)], "fp long"))
     assert len(links._jdf.queryExecution().toString()) < 40_000
+
+
+def test_joins_stay_off_the_driver(spark):
+    """Midpoints of a large bucket are thousands of rows for each fingerprint, which Spark takes for few and would broadcast."""
+    fps = spark.createDataFrame([(x,) for x in range(40)], "fp long")
+    links = simhash.close_links(fps, paired=4)
+    assert {(r["a"], r["b"]) for r in links.collect()}
+    found = simhash.near_duplicates(spark.createDataFrame([(i, f"one two three four {i}") for i in range(40)], "doc_id long, text string"))
+    assert found.count() == 40
+    for df in (links, found):
+        df._jdf.queryExecution().toRdd().count()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

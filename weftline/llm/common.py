@@ -48,6 +48,20 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """``df`` dealt over all shuffle partitions by a column: for few rows that each make very many, which Spark would leave in one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
+
+
+def merge_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """An equi-join that never gathers a side on the driver.
+
+    Spark takes a side that explodes rows to be no larger than what it explodes, also once it has measured that, and so
+    broadcasts tables of any size; the driver then has to hold them.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names``, each lengthened until no column of ``df`` is called so (in any case)."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, merge_join, stored
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Large-star links each larger neighbour of a node to the node's smallest neighbour, small-star
     the smaller ones; both keep the components and never add edges, and rounds grow with the
     logarithm of the largest component. A step is an aggregation (a minimum, combined before the
-    shuffle) and an equi-join, so a hub's neighbours never meet in one task as a list, and nothing
+    shuffle) and a sort-merge join, so a hub's neighbours never meet in one task as a list, and nothing
     but a count reaches the driver. Each round is written to the checkpoint folder, and the round
     before it is deleted. It ends when every component is a star around its smallest node, which one
     aggregation tells, so no round is run only to see that nothing changes: what the driver keeps of stages and
@@ -26,9 +26,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         both = live.select("u", "v").unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        large = merge_join(both.filter("v > u"), least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
-        joined = large.join(low, F.col("u") == F.col("c"))
+        joined = merge_join(large, low, F.col("u") == F.col("c"))
         small = joined.select("v", "m").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct()
         before, live = live, stored(small)
         discard(before)

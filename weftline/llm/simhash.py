@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, map_batches, row_hash, rows_of
+from .common import cut, fresh, map_batches, merge_join, row_hash, rows_of, spread
 from .components import connected_components
 
 BITS = 64
@@ -109,7 +109,8 @@ def close_links(fps: DataFrame, distance: int = DISTANCE, paired: int = PAIRED,
     larger buckets, wherever they are, instead list all values within half the distance: two
     fingerprints share such a value exactly if they are within the (even) distance, so each is
     linked to the least one of each of its values. That has the same components, costs a fixed
-    number of rows for each fingerprint and drops no link's connection.
+    number of rows for each fingerprint and drops no link's connection. Those rows are made by all tasks, and no join
+    gathers a side on the driver.
     """
     if distance % 2:
         raise ValueError("distance must be even")
@@ -117,15 +118,15 @@ def close_links(fps: DataFrame, distance: int = DISTANCE, paired: int = PAIRED,
     masks = block_masks(n_blocks or n_blocks_for(n, distance), distance)
     keyed = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("k")) for i, m in enumerate(masks)])).alias("key")).select("fp", "key.i", "key.k")
     counts = keyed.groupBy("i", "k").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("i").alias("ci"), F.col("k").alias("ck"), "n")
-    shared = cut(keyed.join(counts, (F.col("i") == F.col("ci")) & (F.col("k") == F.col("ck"))).select("fp", "i", "k", "n"))
+    shared = cut(merge_join(keyed, counts, (F.col("i") == F.col("ci")) & (F.col("k") == F.col("ck"))).select("fp", "i", "k", "n"))
     few = shared.filter(F.col("n") <= paired).select("fp", "i", "k")
     other = few.select(F.col("fp").alias("b"), F.col("i").alias("i2"), F.col("k").alias("k2"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= distance
-    pairs = few.join(other, (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("fp") < F.col("b")) & near).select(F.col("fp").alias("a"), "b")
-    hot = shared.filter(F.col("n") > paired).select("fp").distinct()
+    pairs = merge_join(few, other, (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("fp") < F.col("b")) & near).select(F.col("fp").alias("a"), "b")
+    hot = spread(shared.filter(F.col("n") > paired).select("fp"), "fp").distinct()
     around = hot.select("fp", F.explode(F.expr(within("fp", distance // 2))).alias("mid"))
     least = around.groupBy("mid").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a < z").select(F.col("mid").alias("m2"), "a")
-    stars = around.join(least, F.col("mid") == F.col("m2")).filter("a < fp").select("a", F.col("fp").alias("b"))
+    stars = merge_join(around, least, F.col("mid") == F.col("m2")).filter("a < fp").select("a", F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 
@@ -141,10 +142,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     links = close_links(classes.select("fp"), distance, paired)
     of = connected_components(links)
-    named = classes.join(of.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    named = merge_join(classes, of.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(roots, "root").select(F.col("fp").alias("f2"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("f2")).select("row", "doc_id", "fp", "component_id")
+    named = merge_join(named, roots, "root").select(F.col("fp").alias("f2"), "component_id")
+    return merge_join(prints, named, F.col("fp") == F.col("f2")).select("row", "doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
@@ -159,5 +160,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", di
     alone = found.filter("component_id is null").select(F.col("row").alias(one))
     again = not found.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     marked = docs.withColumn(row, row_hash(id_col, text_col))
-    out = marked.join(kept.unionByName(alone).distinct(), F.col(row) == F.col(one), "left_semi")
+    out = merge_join(marked, kept.unionByName(alone).distinct(), F.col(row) == F.col(one), "left_semi")
     return (out.dropDuplicates([row]) if again else out).drop(row)

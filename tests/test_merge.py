@@ -72,3 +72,11 @@ def test_lines_of_large_files_keep_their_order(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [int(x.split()[1]) for x in got] == list(range(3000))
+
+
+def test_lines_are_parsed_once(spark):
+    """For the aggregation of first places and for what is joined with it; filters above don't parse again."""
+    from weftline.plans import catalog
+
+    plan = catalog.queries()["merge_odd"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 3 and plan.count("Join ") == 1

@@ -38,6 +38,7 @@ def classify(lines: DataFrame) -> DataFrame:
     can't be read: one isn't an object, or its messages aren't a list. Such lines get the status ``error`` and harm no others.
     A ``chat_id`` that is null, empty, 0, false or an empty list or object makes a line malformed.
     ``turns`` is 0 where ``chat_parts`` isn't a list.
+    A line is parsed once: what is found goes through a generator, as Spark would repeat the parsing in every filter of a later step.
     """
     v = F.try_parse_json("value")
     loose = F.from_json("value", "struct<chat_id:string,chat_parts:array<string>,_bad:string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowNonNumericNumbers": "true"})
@@ -49,10 +50,11 @@ def classify(lines: DataFrame) -> DataFrame:
     odd_id = _is(_kind(F.col("_id")), "ARRAY", "OBJECT") & ~_falsy(F.col("_id"))
     messages = lambda p: _kind(F.try_variant_get(p, "$.messages", "variant"))
     faulty = F.exists("_parts", lambda p: ~_is(_kind(p), "OBJECT") | ~(messages(p).isNull() | _is(messages(p), "ARRAY", "VOID")))
-    return rows.select(
-        "file", "line", "value", key.alias("chat_key"), F.greatest(F.coalesce(F.size("_parts"), F.size("loose.chat_parts"), F.lit(0)), F.lit(0)).alias("turns"),
+    found = F.struct(
+        key.alias("chat_key"), F.greatest(F.coalesce(F.size("_parts"), F.size("loose.chat_parts"), F.lit(0)), F.lit(0)).alias("turns"),
         F.when(F.col("v").isNotNull(), ~_falsy(F.col("_p1")) & ~_falsy(F.col("_p2"))).alias("named"),
         ((F.col("v").isNotNull() & ~_is(_kind(F.col("v")), "OBJECT")) | odd_id).alias("broken"), F.coalesce(faulty, F.lit(False)).alias("faulty"))
+    return rows.select("file", "line", "value", F.inline(F.array(found)))
 
 
 def keep_first(records: DataFrame, id_col: str, order: list[str], eligible: Column, malformed: Column | None = None) -> DataFrame:
@@ -103,9 +105,14 @@ def merge_chats(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = classify(lines)
     marked = keep_first(found, "chat_key", ["file", "line"], (F.col("turns") >= 2) & ~F.col("faulty"), F.col("broken"))
     marked = marked.withColumn("status", F.when((F.col("status") == "empty") & (F.col("turns") >= 2) & F.col("faulty"), F.lit("error")).otherwise(F.col("status")))
-    chat = F.from_json("value", schemas.RAW_CHAT)
-    rows = marked.filter("status = 'written'").select("file", "line", "chat_key", "named", chat.alias("c")).select("file", "line", "chat_key", "named", "c.*")
-    return rows.withColumn("chat_parts", clean_parts(F.col("chat_parts"), F.col("experience"), F.coalesce("named", F.lit(True)), raw=True)).drop("named"), marked
+    return cleaned(marked.filter("status = 'written'")).drop("status"), marked
+
+
+def cleaned(marked: DataFrame) -> DataFrame:
+    """The classified lines parsed in full and cleaned, with ``file``, ``line``, ``chat_key`` and ``status``; nulls where ``value`` is null."""
+    kept = ["file", "line", "chat_key", "status", "named"]
+    rows = marked.select(*kept, F.from_json("value", schemas.RAW_CHAT).alias("c")).select(*kept, "c.*")
+    return rows.withColumn("chat_parts", clean_parts(F.col("chat_parts"), F.col("experience"), F.coalesce("named", F.lit(True)), raw=True)).drop("named")
 
 
 def merge_files(spark: SparkSession, pattern: str, output: str, shuffle: bool = True, seed: int = 0) -> DataFrame:

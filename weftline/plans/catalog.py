@@ -126,9 +126,9 @@ def merge_odd(spark, sf_dir):
     convs = _read(spark, sf_dir, "conversations").select("conv_id").distinct()
     values = ['{"chat_id":%s,"experience":%s,"chat_parts":%s}' % row[:3] for row in _ODD]
     rows = convs.select("conv_id", F.posexplode(F.array(*map(F.lit, values))).alias("k", "value"))
-    chats, marked = merge.merge_chats(rows.select(F.lit("f").alias("file"), (F.col("conv_id") * 100 + F.col("k")).alias("line"), "value"))
-    done = chats.select(F.col("line").alias("_line"), F.to_json("chat_id").alias("chat_id"), F.to_json("chat_parts", prompts.JSON).alias("parts"))
-    return marked.join(done, F.col("line") == F.col("_line"), "left").select("line", "status", "chat_id", "parts")
+    marked = merge.merge_chats(rows.select(F.lit("f").alias("file"), (F.col("conv_id") * 100 + F.col("k")).alias("line"), "value"))[1]
+    done = merge.cleaned(marked.withColumn("value", F.when(F.col("status") == "written", F.col("value"))))
+    return done.select("line", "status", F.to_json("chat_id").alias("chat_id"), F.to_json("chat_parts", prompts.JSON).alias("parts"))
 
 
 # --- names and tags --------------------------------------------------------------------------------------------
